@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference reads only bounded inputs (files, one SQL table, one JSON
+response) and has no stream source, watermark, window or state, so this
+package deliberately holds no streaming operators.
+"""
