@@ -117,7 +117,8 @@ def histogram_equal_width(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     lo = F.when(same, lo_raw - 0.5).otherwise(lo_raw)
     hi = F.when(same, hi_raw + 0.5).otherwise(hi_raw)
     b = F.least(F.width_bucket(v, lo, hi, F.lit(bins)), F.lit(bins))
-    counts = df.where(v.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # bin first in a projection: scalar subqueries may not sit inside grouping expressions
+    counts = df.where(v.isNotNull()).select(b.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     width = (hi - lo) / F.lit(bins)
     grid = spark.range(1, bins + 1).select(F.col("id").cast("long").alias("bin"))
     return grid.join(counts, "bin", "left").select(

@@ -571,3 +571,255 @@ from s order by n_pairs desc, user_id limit 5""")
 def pair_cost_preview(spark, sf):
     g = collab.good_rows(flagged(tables(spark, sf)))
     return joins.pair_cost_preview(g, "user_id", 5)
+
+
+# ---------------------------------------------------------------- 2.1 file sources (round trips)
+from shelfwise.functions import vectors as vec  # noqa: E402
+from shelfwise.functions.hashing import hash_pair_u32, hash_sql, hash_u32  # noqa: E402
+from shelfwise.operators import metrics, sampling  # noqa: E402
+from shelfwise.session import scratch_path  # noqa: E402
+from shelfwise.sources import files  # noqa: E402
+
+
+@q("scan_csv", "select user_id, book_id, rating from fx_ratings")
+def scan_csv(spark, sf):
+    """Land the ratings as header CSV in the shared folder, read back with the declared schema."""
+    path = files.write_csv(tables(spark, sf).ratings(), scratch_path(spark, "ratings_csv"))
+    return files.read_csv(spark, path, files.RATINGS_SCHEMA)
+
+
+@q("scan_json_records", """select cast(goodreads_book_id as bigint) as goodreads_book_id, cast(tag_id as bigint) as tag_id, cnt
+from fx_book_tags""")
+def scan_json_records(spark, sf):
+    """Land book_tags (string ids) as JSON records, read back with string ids and cast them."""
+    path = files.write_json(tables(spark, sf).book_tags(), scratch_path(spark, "book_tags_json"))
+    return files.read_json_records(spark, path)
+
+
+# ---------------------------------------------------------------- 2.9 sampling and splitting
+@q("pick_user", "select user_id, count(*) as ratings from fx_ratings group by user_id having count(*) > 50 order by user_id limit 1")
+def pick_user(spark, sf):
+    per_user = tables(spark, sf).ratings().groupBy("user_id").agg(F.count(F.lit(1)).alias("ratings"))
+    return sampling.pick_user(per_user, 50)
+
+
+@q("user_ratings", "select user_id, book_id, rating, good from fx_mine")
+def user_ratings(spark, sf):
+    t = tables(spark, sf)
+    return flagged(t).where(F.col("user_id") == chosen_user(t))
+
+
+@q("train_test_split", f"select book_id, good, {hash_sql('book_id')} < 858993459 as is_test from fx_mine")
+def train_test_split(spark, sf):
+    mine = user_ratings(spark, sf).select("book_id", "good")
+    return sampling.hash_split(mine, "book_id", 0.2)
+
+
+@q("kfold_assign", f"select user_id, book_id, cast(floor({hash_sql('book_id')} * 5 / 4294967296) as integer) as fold from fx_clean")
+def kfold_assign(spark, sf):
+    return sampling.kfold_assign(clean_ratings(tables(spark, sf)).select("user_id", "book_id"), "book_id", 5)
+
+
+_PAIR_HASH = hash_sql(f"{hash_sql('user_id')} + book_id")
+
+
+@q("resample_classes", f"""with s as (select good, count(*) as n_class from fx_flag group by good)
+select 'under' as method, f.good, count(*) as n from fx_flag f join s on s.good = f.good
+where {_PAIR_HASH} < floor((select min(n_class) from s) / s.n_class * 4294967296.0) group by f.good
+union all
+select 'over' as method, f.good, cast(sum(cast(round((select max(n_class) from s) / s.n_class) as integer)) as bigint) as n
+from fx_flag f join s on s.good = f.good group by f.good""")
+def resample_classes(spark, sf):
+    fl = flagged(tables(spark, sf))
+    under = sampling.undersample(fl, "good", hash_pair_u32("user_id", "book_id"))
+    over = sampling.oversample(fl, "good")
+    cu = under.groupBy("good").agg(F.count(F.lit(1)).alias("n")).select(F.lit("under").alias("method"), "good", "n")
+    co = over.groupBy("good").agg(F.count(F.lit(1)).alias("n")).select(F.lit("over").alias("method"), "good", "n")
+    return cu.unionByName(co)
+
+
+@q("class_weights", """select good, count(*) as n_class, round((select count(*) from fx_flag) / (2 * count(*)), 6) as weight
+from fx_flag group by good""")
+def class_weights(spark, sf):
+    return sampling.class_weights(flagged(tables(spark, sf)), "good").withColumn("weight", r6("weight"))
+
+
+# ---------------------------------------------------------------- 2.10 metrics
+_PEER_SQL = """(select other_user from (select g2.user_id as other_user, count(*) n from fx_good g1 join fx_good g2
+        on g1.book_id = g2.book_id and g2.user_id <> g1.user_id where g1.user_id = (select user_id from fx_user)
+        group by g2.user_id order by n desc, other_user limit 1) p)"""
+
+
+@q("rmse", f"""select round(sqrt(avg(power(m.rating - c.rating, 2))), 6) as rmse
+from fx_mine m join fx_clean c on c.book_id = m.book_id where c.user_id = {_PEER_SQL}""")
+def rmse(spark, sf):
+    both = drop_null(spark, sf)
+    return metrics.rmse(both, "rating_x", "rating_y").withColumn("rmse", r6("rmse"))
+
+
+@q("entropy_gini", """select round(sum(-p * log2(p)), 6) as entropy, round(1 - sum(p * p), 6) as gini
+from (select count(*) / (select count(*) from fx_clean) as p from fx_clean group by rating) s""")
+def entropy_gini(spark, sf):
+    out = metrics.impurity(clean_ratings(tables(spark, sf)), "rating")
+    return out.select(r6("entropy").alias("entropy"), r6("gini").alias("gini"))
+
+
+def _emb_long(t: Tables) -> DataFrame:
+    e = t.embeddings()
+    return e.select("vec_id", "label", F.posexplode("embedding").alias("dim", "value")).withColumn("value", F.col("value").cast("double"))
+
+
+_EMB_LONG = """el as (select vec_id, label, unnest(generate_series(0, len(embedding) - 1)) as dim,
+                 cast(unnest(embedding) as double) as value from embeddings)"""
+
+
+@q("within_between_ss", """select round(sum(s2 - s * s / n), 4) as within_ss, round(sum(n * power(s / n - m, 2)), 4) as between_ss
+from (select label, dim, count(*) as n, sum(value) as s, sum(value * value) as s2 from el group by label, dim) c
+join (select dim, avg(value) as m from el group by dim) d on d.dim = c.dim""", ctes=_EMB_LONG)
+def within_between_ss(spark, sf):
+    out = metrics.within_between_ss(_emb_long(tables(spark, sf)), "label")
+    return out.select(F.round("within_ss", 4).alias("within_ss"), F.round("between_ss", 4).alias("between_ss"))
+
+
+# ---------------------------------------------------------------- 2.11 distances
+def _next_pairs(e: DataFrame) -> DataFrame:
+    """Each embedding with the next id (an equi-join on id + 1; no all-pairs product)."""
+    a = e.select("vec_id", F.col("embedding").alias("a"))
+    b = e.select(F.col("vec_id").alias("other_id"), F.col("embedding").alias("b"))
+    return a.join(b, F.col("other_id") == F.col("vec_id") + 1)
+
+
+_PAIR_LONG = """select a.vec_id, b.vec_id as other_id, {agg} as dist
+from el a join el b on b.vec_id = a.vec_id + 1 and b.dim = a.dim group by a.vec_id, b.vec_id"""
+
+
+@q("manhattan", _PAIR_LONG.format(agg="round(sum(abs(a.value - b.value)), 6)"), ctes=_EMB_LONG)
+def manhattan(spark, sf):
+    p = _next_pairs(tables(spark, sf).embeddings())
+    return p.select("vec_id", "other_id", r6(vec.manhattan("a", "b")).alias("dist"))
+
+
+@q("euclidean", _PAIR_LONG.format(agg="round(sqrt(sum(power(a.value - b.value, 2))), 6)"), ctes=_EMB_LONG)
+def euclidean(spark, sf):
+    p = _next_pairs(tables(spark, sf).embeddings())
+    return p.select("vec_id", "other_id", r6(vec.euclidean("a", "b")).alias("dist"))
+
+
+@q("gower", """select a.vec_id, b.vec_id as other_id,
+  round(sum(coalesce(abs(a.value - b.value) / nullif(r.rng, 0), 0)) / count(*), 6) as dist
+from el a join el b on b.vec_id = a.vec_id + 1 and b.dim = a.dim
+join (select dim, max(value) - min(value) as rng from el group by dim) r on r.dim = a.dim group by a.vec_id, b.vec_id""",
+   ctes=_EMB_LONG)
+def gower(spark, sf):
+    t = tables(spark, sf)
+    el = _emb_long(t)
+    # one range per dimension: as many rows as one vector has entries
+    rng = el.groupBy("dim").agg((F.max("value") - F.min("value")).alias("rng"))
+    b = el.select(F.col("vec_id").alias("other_id"), "dim", F.col("value").alias("b"))
+    p = el.join(b, (F.col("other_id") == F.col("vec_id") + 1) & (b["dim"] == el["dim"])).drop(b["dim"])
+    p = p.join(F.broadcast(rng), "dim")
+    term = F.coalesce(F.try_divide(F.abs(F.col("value") - F.col("b")), F.nullif(F.col("rng"), F.lit(0.0))), F.lit(0.0))
+    return p.groupBy("vec_id", "other_id").agg(r6(F.sum(term) / F.count(F.lit(1))).alias("dist"))
+
+
+def _book_counts(t: Tables) -> DataFrame:
+    """Per book (all books) the number of kept tags (0 when none)."""
+    s = feat.book_tag_set(long_tags(t))
+    n = s.groupBy("book_id").agg(F.count(F.lit(1)).alias("n"))
+    return t.books().select(F.col("id").alias("book_id")).join(n, "book_id", "left").select("book_id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def _next_book_overlap(t: Tables) -> DataFrame:
+    """(book_id, other_id = book_id + 1, n_a, n_b, n_ab) over the kept-tag 0/1 matrix."""
+    s = feat.book_tag_set(long_tags(t))
+    n = _book_counts(t)
+    pairs = n.select("book_id", F.col("n").alias("n_a")).join(
+        n.select(F.col("book_id").alias("other_id"), F.col("n").alias("n_b")), F.col("other_id") == F.col("book_id") + 1
+    )
+    ov = s.join(s.select(F.col("book_id").alias("other_id"), "tag_id"), "tag_id").where(F.col("other_id") == F.col("book_id") + 1)
+    ov = ov.groupBy("book_id", "other_id").agg(F.count(F.lit(1)).alias("n_ab"))
+    return pairs.join(ov, ["book_id", "other_id"], "left").withColumn("n_ab", F.coalesce("n_ab", F.lit(0)))
+
+
+_NEXT_BOOK = """nb as (select b.id as book_id, coalesce(c.n, 0) as n from fx_books b
+  left join (select book_id, count(*) as n from fx_set group by book_id) c on c.book_id = b.id),
+pr as (select a.book_id, b.book_id as other_id, a.n as n_a, b.n as n_b, coalesce(o.n_ab, 0) as n_ab
+  from nb a join nb b on b.book_id = a.book_id + 1
+  left join (select x.book_id, y.book_id as other_id, count(*) as n_ab from fx_set x join fx_set y
+             on y.tag_id = x.tag_id and y.book_id = x.book_id + 1 group by 1, 2) o
+  on o.book_id = a.book_id and o.other_id = b.book_id)"""
+
+
+@q("euclidean_limit", """select book_id, other_id, round(sqrt(n_a + n_b - 2 * n_ab), 6) as dist,
+  round(sqrt(n_a + n_b), 6) as limit_dist from pr""", ctes=_NEXT_BOOK)
+def euclidean_limit(spark, sf):
+    p = _next_book_overlap(tables(spark, sf))
+    return p.select(
+        "book_id", "other_id",
+        r6(F.sqrt(vec.multihot_sq_euclidean("n_a", "n_b", "n_ab"))).alias("dist"),
+        r6(F.sqrt(F.col("n_a") + F.col("n_b"))).alias("limit_dist"),
+    )
+
+
+@q("cosine_distance", """select book_id, other_id, round(1 - n_ab / nullif(sqrt(n_a * n_b), 0), 6) as dist from pr""", ctes=_NEXT_BOOK)
+def cosine_distance(spark, sf):
+    p = _next_book_overlap(tables(spark, sf))
+    return p.select("book_id", "other_id", r6(vec.multihot_cosine_distance("n_a", "n_b", "n_ab")).alias("dist"))
+
+
+@q("hamming", """select book_id, other_id, cast(n_a + n_b - 2 * n_ab as integer) as dist from pr""", ctes=_NEXT_BOOK)
+def hamming(spark, sf):
+    t = tables(spark, sf)
+    k = kept(t)
+    dense = feat.dense_tag_arrays(long_tags(t), k)
+    width = k.agg(F.count(F.lit(1))).scalar()
+    books = t.books().select(F.col("id").alias("book_id")).join(dense, "book_id", "left")
+    books = books.withColumn("vec", F.coalesce("vec", F.array_repeat(F.lit(0.0), width.cast("int"))))
+    a = books.select("book_id", F.col("vec").alias("a"))
+    b = books.select(F.col("book_id").alias("other_id"), F.col("vec").alias("b"))
+    p = a.join(b, F.col("other_id") == F.col("book_id") + 1)
+    return p.select("book_id", "other_id", vec.hamming("a", "b").alias("dist"))
+
+
+@q("pairwise_overlap_summary", """with df as (select tag_id, count(*) as df from fx_set group by tag_id),
+mo as (select s.book_id, sum(df.df) / (select count(distinct book_id) from fx_set) as v from fx_set s join df on df.tag_id = s.tag_id group by s.book_id)
+select count(v) as "count", round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std, round(min(v), 6) as min,
+  round(quantile_cont(v, 0.25), 6) as p25, round(quantile_cont(v, 0.5), 6) as p50, round(quantile_cont(v, 0.75), 6) as p75,
+  round(max(v), 6) as max from mo""")
+def pairwise_overlap_summary(spark, sf):
+    s = feat.book_tag_set(long_tags(tables(spark, sf)))
+    from shelfwise.operators.distances import mean_overlap
+
+    mo = mean_overlap(s)
+    d = agg.describe_column(mo, ["mean_overlap"]).drop("column")
+    return _r6_all(d, ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+# ---------------------------------------------------------------- UBCF and user comparison
+@q("user_similarity", """select g1.user_id, g2.user_id as other_user, count(*) as n_common
+from fx_good g1 join fx_good g2 on g2.book_id = g1.book_id and g2.user_id <> g1.user_id
+where g1.user_id = (select user_id from fx_user) group by g1.user_id, g2.user_id""")
+def user_similarity(spark, sf):
+    t = tables(spark, sf)
+    return collab.user_similarity(flagged(t), chosen_user(t))
+
+
+@q("ubcf_recommend", """with peers as (select g2.user_id as other_user, count(*) as n from fx_good g1 join fx_good g2
+  on g2.book_id = g1.book_id and g2.user_id <> g1.user_id where g1.user_id = (select user_id from fx_user)
+  group by g2.user_id order by n desc, other_user limit 10)
+select f.book_id, round(avg(f.rating), 6) as mean_rating, count(*) as n_raters from fx_flag f
+where f.user_id in (select other_user from peers) and f.book_id not in (select book_id from fx_mine)
+group by f.book_id order by avg(f.rating) desc, n_raters desc, f.book_id limit 10""")
+def ubcf_recommend(spark, sf):
+    t = tables(spark, sf)
+    return collab.ubcf_recommend(flagged(t), chosen_user(t), 10, 10).withColumn("mean_rating", r6("mean_rating"))
+
+
+@q("user_compare", f"""select c.book_id, b.title, c.rating as rating_y from fx_clean c join fx_books b on b.id = c.book_id
+where c.user_id = {_PEER_SQL} and c.rating = 5 and c.book_id not in (select book_id from fx_mine)""")
+def user_compare(spark, sf):
+    t = tables(spark, sf)
+    cmp = collab.user_compare(clean_ratings(t), chosen_user(t), peer_user(t))
+    pred = cmp.where(F.col("rating_x").isNull() & (F.col("rating_y") == 5))
+    titles = t.books().select(F.col("id").alias("book_id"), "title")
+    return pred.join(titles, "book_id").select("book_id", "title", "rating_y")
