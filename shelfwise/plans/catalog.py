@@ -770,17 +770,20 @@ def cosine_distance(spark, sf):
 @q("hamming", """select book_id, other_id, cast(n_a + n_b - 2 * n_ab as integer) as dist from pr""", ctes=_NEXT_BOOK)
 def hamming(spark, sf):
     t = tables(spark, sf)
-    k = kept(t)
-    dense = feat.dense_tag_arrays(long_tags(t), k)
-    width = k.agg(F.count(F.lit(1))).scalar()
-    books = t.books().select(F.col("id").alias("book_id")).join(dense, "book_id", "left")
-    books = books.withColumn("vec", F.coalesce("vec", F.array_repeat(F.lit(0.0), width.cast("int"))))
+    dense, width = tag_vectors(t)
+    books = rec_vectors(t.books().select(F.col("id").alias("book_id")), dense, width)
     a = books.select("book_id", F.col("vec").alias("a"))
     b = books.select(F.col("book_id").alias("other_id"), F.col("vec").alias("b"))
     p = a.join(b, F.col("other_id") == F.col("book_id") + 1)
     return p.select("book_id", "other_id", vec.hamming("a", "b").alias("dist"))
 
 
+def rec_vectors(books: DataFrame, dense: DataFrame, width: int) -> DataFrame:
+    from shelfwise.plans.recommend import with_vectors
+
+    return with_vectors(books, dense, width)
+
+
 @q("pairwise_overlap_summary", """with df as (select tag_id, count(*) as df from fx_set group by tag_id),
 mo as (select s.book_id, sum(df.df) / (select count(distinct book_id) from fx_set) as v from fx_set s join df on df.tag_id = s.tag_id group by s.book_id)
 select count(v) as "count", round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std, round(min(v), 6) as min,
@@ -823,3 +826,169 @@ def user_compare(spark, sf):
     pred = cmp.where(F.col("rating_x").isNull() & (F.col("rating_y") == 5))
     titles = t.books().select(F.col("id").alias("book_id"), "title")
     return pred.join(titles, "book_id").select("book_id", "title", "rating_y")
+
+
+# ---------------------------------------------------------------- 2.12 kNN and the content-based recommendation
+from shelfwise.operators import neighbors as nbrs  # noqa: E402
+from shelfwise.plans import recommend as rec  # noqa: E402
+
+
+def tag_vectors(t: Tables) -> tuple[DataFrame, int]:
+    """Dense 0/1 arrays over the kept tags (books with at least one kept tag) and their width."""
+    kl = feat.resolve_kept(kept(t))
+    return feat.dense_tag_arrays(norm_tags(t), kl), len(kl)
+
+
+def knn_scores_tags(t: Tables) -> DataFrame:
+    vecs, width = tag_vectors(t)
+    return rec.knn_scores(flagged(t), t.books(), vecs, width, chosen_user(t), k=2, weights="distance")
+
+
+_KNN_CTES = """nbk as (select book_id, count(*) as n from fx_set group by book_id),
+cand as (select c.book_id from (select book_id, avg(good) as m from fx_flag where book_id not in (select book_id from fx_mine)
+         group by book_id order by m desc, book_id limit 1000) c where c.book_id in (select id from fx_books)),
+ov as (select x.book_id as qid, y.book_id as tid, count(*) as n_ab from fx_set x join fx_set y on y.tag_id = x.tag_id
+       where y.book_id in (select book_id from fx_mine) group by 1, 2),
+pairs as (select c.book_id as qid, m.book_id as tid, m.good as label,
+          coalesce(a.n, 0) + coalesce(b.n, 0) - 2 * coalesce(ov.n_ab, 0) as d2
+   from cand c cross join fx_mine m left join nbk a on a.book_id = c.book_id left join nbk b on b.book_id = m.book_id
+   left join ov on ov.qid = c.book_id and ov.tid = m.book_id),
+top2 as (select * from (select *, sqrt(d2) as dist, row_number() over (partition by qid order by d2, tid) as rk from pairs) r where rk <= 2),
+hz as (select qid, max(case when d2 = 0 then 1 else 0 end) as hz, avg(dist) as dist from top2 group by qid),
+sc as (select t.qid, t.label, sum(case when h.hz = 1 then (case when t.d2 = 0 then 1.0 else 0.0 end) else 1.0 / t.dist end) as score
+       from top2 t join hz h on h.qid = t.qid group by t.qid, t.label),
+pr as (select qid, label as pred from (select *, row_number() over (partition by qid order by score desc, label) as rk from sc) s where rk = 1),
+scores as (select p.qid as book_id, p.pred, h.dist from pr p join hz h on h.qid = p.qid),
+recs as (select s.book_id, s.pred, s.dist, b.title from scores s join fx_books b on b.id = s.book_id where s.pred = 1
+         order by round(s.dist, 9), s.book_id limit 10)"""
+
+
+@q("mean_neighbor_distance", "select book_id, pred, round(dist, 6) as dist from scores", ctes=_KNN_CTES)
+def mean_neighbor_distance(spark, sf):
+    return knn_scores_tags(tables(spark, sf)).withColumn("dist", r6("dist"))
+
+
+def _knn_recs(t: Tables) -> DataFrame:
+    return rec.knn_recommend(knn_scores_tags(t), t.books(), 10)
+
+
+@q("knn_recommend", "select book_id, pred, round(dist, 6) as dist, title from recs", ctes=_KNN_CTES)
+def knn_recommend(spark, sf):
+    return _knn_recs(tables(spark, sf)).withColumn("dist", r6("dist"))
+
+
+@q("validate_recommendations", """select coalesce(a.tag_name, p.tag_name) as tag_name, a.share as share_act, p.share as share_pred
+from (select tag_name, round(count(tag_id) / (select count(*) from fx_mine), 6) as share from fx_long
+      where book_id in (select book_id from fx_mine) group by tag_name order by count(tag_id) desc, tag_name limit 10) a
+full join (select tag_name, round(count(tag_id) / (select count(*) from recs), 6) as share from fx_long
+      where book_id in (select book_id from recs) group by tag_name order by count(tag_id) desc, tag_name limit 10) p
+on a.tag_name = p.tag_name""", ctes=_KNN_CTES)
+def validate_recommendations(spark, sf):
+    t = tables(spark, sf)
+    recs = _knn_recs(t)
+    mine = flagged(t).where(F.col("user_id") == chosen_user(t)).select("book_id")
+    out = rec.validate_tag_shares(recs, mine, long_tags(t), 10)
+    return out.withColumns({"share_act": r6("share_act"), "share_pred": r6("share_pred")})
+
+
+@q("validate_membership", """select r.book_id,
+  r.book_id in (select book_id from fx_to_read where user_id = (select user_id from fx_user)) as in_to_read,
+  r.book_id in (select book_id from (select book_id, avg(good) as m from fx_flag where book_id not in (select book_id from fx_mine)
+                group by book_id order by m desc, book_id limit 100) x) as in_top100
+from recs r""", ctes=_KNN_CTES)
+def validate_membership(spark, sf):
+    t = tables(spark, sf)
+    fl = flagged(t)
+    user = chosen_user(t)
+    mine = fl.where(F.col("user_id") == user)
+    top_books = topk.top_unread_books(fl, mine, 1000)
+    return rec.validate_membership(_knn_recs(t), t.to_read(), top_books, user, 100)
+
+
+def _user_split(t: Tables):
+    from shelfwise.operators.sampling import hash_split
+
+    vecs, width = tag_vectors(t)
+    mine = flagged(t).where(F.col("user_id") == chosen_user(t)).select("book_id", "good")
+    split = hash_split(mine, "book_id", 0.2)
+    data = rec.with_vectors(split, vecs, width)
+    train = data.where(~F.col("is_test")).select(F.col("book_id").alias("tid"), "vec", F.col("good").alias("label"))
+    test = data.where(F.col("is_test")).select(F.col("book_id").alias("qid"), "vec", F.col("good").alias("label"))
+    return train, test
+
+
+_SPLIT_CTES = f"""nbk as (select book_id, count(*) as n from fx_set group by book_id),
+sp as (select book_id, good, {hash_sql('book_id')} < 858993459 as is_test from fx_mine),
+tr as (select book_id, good from sp where not is_test), te as (select book_id, good from sp where is_test),
+ov as (select x.book_id as qid, y.book_id as tid, count(*) as n_ab from fx_set x join fx_set y on y.tag_id = x.tag_id group by 1, 2),
+pairs as (select q.book_id as qid, q.good as y, t.book_id as tid, t.good as label,
+          coalesce(a.n, 0) + coalesce(b.n, 0) - 2 * coalesce(ov.n_ab, 0) as d2
+  from te q cross join tr t left join nbk a on a.book_id = q.book_id left join nbk b on b.book_id = t.book_id
+  left join ov on ov.qid = q.book_id and ov.tid = t.book_id),
+rk as (select *, sqrt(d2) as dist, row_number() over (partition by qid order by d2, tid) as r from pairs)"""
+
+
+@q("tune_curve", """select k, round(avg(case when (case when n1 > n0 then 1 else 0 end) = y then 1.0 else 0.0 end), 6) as accuracy
+from (select qid, y, k, sum(label) as n1, count(*) - sum(label) as n0
+      from rk join (select unnest(range(1, 20)) as k) ks on rk.r <= ks.k group by qid, y, k) v group by k""", ctes=_SPLIT_CTES)
+def tune_curve(spark, sf):
+    train, test = _user_split(tables(spark, sf))
+    nb = nbrs.knn_neighbors(test, train, 19)
+    acc = nbrs.prefix_accuracy(nb, train, test, 19)
+    return acc.select(F.col("k").cast("bigint").alias("k"), r6("accuracy").alias("accuracy"))
+
+
+@q("confusion_matrix", """with top2 as (select * from rk where r <= 2),
+hz as (select qid, max(case when d2 = 0 then 1 else 0 end) as hz from top2 group by qid),
+sc as (select t.qid, t.label, sum(case when h.hz = 1 then (case when t.d2 = 0 then 1.0 else 0.0 end) else 1.0 / t.dist end) as score
+       from top2 t join hz h on h.qid = t.qid group by t.qid, t.label),
+pr as (select s.qid, s.label as pred from (select *, row_number() over (partition by qid order by score desc, label) as o from sc) s where o = 1),
+j as (select p.pred, te.good as y from pr p join te on te.book_id = p.qid)
+select pred, count(*) filter (where y = 0) as actual_0, count(*) filter (where y = 1) as actual_1 from j group by pred""", ctes=_SPLIT_CTES)
+def confusion_matrix(spark, sf):
+    train, test = _user_split(tables(spark, sf))
+    nb = nbrs.knn_neighbors(test, train, 2)
+    scored = nbrs.vote(nb, train.select("tid", "label"), weights="distance")
+    j = scored.join(test.select("qid", "label"), "qid")
+    return metrics.confusion_matrix(j, "pred", "label", (0, 1))
+
+
+def _emb_split(t: Tables):
+    from shelfwise.operators.sampling import hash_split
+
+    e = hash_split(t.embeddings(), "vec_id", 0.2)
+    vecd = F.transform("embedding", lambda x: x.cast("double")).alias("vec")
+    train = e.where(~F.col("is_test")).select(F.col("vec_id").alias("tid"), vecd, "label")
+    test = e.where(F.col("is_test")).select(F.col("vec_id").alias("qid"), vecd, "label")
+    return train, test
+
+
+_EMB_KNN = f"""el as (select vec_id, label, unnest(generate_series(0, len(embedding) - 1)) as dim,
+                 cast(unnest(embedding) as double) as value from embeddings),
+es as (select vec_id, label, {hash_sql('vec_id')} < 858993459 as is_test from embeddings),
+d as (select a.vec_id as qid, b.vec_id as tid, sum(power(a.value - b.value, 2)) as d2
+      from el a join el b on b.dim = a.dim
+      where a.vec_id in (select vec_id from es where is_test) and b.vec_id in (select vec_id from es where not is_test)
+      group by a.vec_id, b.vec_id),
+nb as (select d.*, l.label from (select *, row_number() over (partition by qid order by d2, tid) as r from d) d
+       join es l on l.vec_id = d.tid where r <= 5),
+pr as (select qid, label as pred from (select qid, label, row_number() over (partition by qid order by count(*) desc, label) as o
+       from nb group by qid, label) x where o = 1),
+cls as (select p.qid as vec_id, p.pred, e.label from pr p join es e on e.vec_id = p.qid)"""
+
+
+def _knn_classify(spark, sf) -> DataFrame:
+    train, test = _emb_split(tables(spark, sf))
+    nb = nbrs.knn_neighbors(test, train, 5)
+    scored = nbrs.vote(nb, train.select("tid", "label"), weights="uniform")
+    return scored.join(test.select("qid", "label"), "qid").select(F.col("qid").alias("vec_id"), "pred", "label")
+
+
+@q("knn_classify", "select vec_id, pred, label from cls", ctes=_EMB_KNN)
+def knn_classify(spark, sf):
+    return _knn_classify(spark, sf)
+
+
+@q("accuracy", "select round(avg(case when pred = label then 1.0 else 0.0 end), 6) as accuracy from cls", ctes=_EMB_KNN)
+def accuracy(spark, sf):
+    return metrics.accuracy(_knn_classify(spark, sf), "pred", "label").withColumn("accuracy", r6("accuracy"))

@@ -55,22 +55,22 @@ def multi_hot_vectors(long: DataFrame, vocab: list[str]) -> DataFrame:
     return model.transform(tokens).select("book_id", "features")
 
 
-def dense_tag_arrays(long: DataFrame, kept: DataFrame) -> DataFrame:
-    """Per book a dense 0/1 array over the kept tags in tag-id order: (book_id, vec array<double>).
-
-    The position of each kept tag comes from a bounded (<= n rows) ranking, broadcast to the join.
-    """
-    pos = kept.select("tag_id").withColumn("_p", F.row_number().over(_by_tag()) - 1)
-    k = kept.count()
-    hits = long.select("book_id", "tag_id").distinct().join(F.broadcast(pos), "tag_id")
+def resolve_kept(kept: DataFrame) -> list[tuple[int, str]]:
+    """The kept tags as (tag_id, tag_name) in id order. Bounded by the top-n limit, so fetching
+    them once lets every later plan use a literal list instead of recomputing the ranking."""
+    return [(int(r["tag_id"]), r["tag_name"]) for r in kept.select("tag_id", "tag_name").orderBy("tag_id").collect()]
+
+
+def dense_tag_arrays(book_tags: DataFrame, kept_list: list[tuple[int, str]]) -> DataFrame:
+    """Per book with at least one kept tag, a dense 0/1 array over the kept tags in id order:
+    (book_id, vec array<double>). The tag filter is a literal IN list (pushed to the scan side)."""
+    ids = [tid for tid, _ in kept_list]
+    width = len(ids)
+    pos = F.array_position(F.array(*[F.lit(i).cast("long") for i in ids]), F.col("tag_id")) - 1
+    hits = book_tags.where(F.col("tag_id").isin(ids)).select("book_id", pos.alias("_p"))
     per_book = hits.groupBy("book_id").agg(F.collect_set("_p").alias("_ps"))
     return per_book.select(
         "book_id",
-        F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.when(F.array_contains("_ps", i), 1.0).otherwise(0.0)).alias("vec"),
+        F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
+                    lambda i: F.when(F.array_contains("_ps", i), 1.0).otherwise(0.0)).alias("vec"),
     )
-
-
-def _by_tag():
-    from pyspark.sql import Window
-
-    return Window.orderBy("tag_id")
