@@ -992,3 +992,187 @@ def knn_classify(spark, sf):
 @q("accuracy", "select round(avg(case when pred = label then 1.0 else 0.0 end), 6) as accuracy from cls", ctes=_EMB_KNN)
 def accuracy(spark, sf):
     return metrics.accuracy(_knn_classify(spark, sf), "pred", "label").withColumn("accuracy", r6("accuracy"))
+
+
+# ---------------------------------------------------------------- 2.12 regression
+from shelfwise.operators import regression as reg  # noqa: E402
+
+# The reference's cross-validated LASSO alpha and its alpha grid (logspace(-4, -0.5, 30)).
+LASSO_ALPHA = 0.00017433288221999874
+LASSO_GRID = [10 ** (-4 + 3.5 * i / 29) for i in range(30)]
+KKT_TOL = 1e-6
+
+
+def _regression_inputs(t: Tables):
+    vecs, _ = tag_vectors(t)
+    terms = [tid for tid, _ in feat.resolve_kept(kept(t))]
+    design = reg.book_design(clean_ratings(t), vecs)
+    return design, terms, vecs
+
+
+def _zero(c) -> Column:
+    """Round to 4 places and turn -0.0 into 0.0."""
+    return F.round(c, 4) + F.lit(0.0)
+
+
+@q("ols_fit", """select cast(0 as bigint) as term, count(*) as support, cast(0.0 as double) as grad from fx_clean where book_id in (select book_id from fx_set)
+union all select s.tag_id as term, count(*) as support, cast(0.0 as double) as grad from fx_clean c join fx_set s on s.book_id = c.book_id group by s.tag_id""")
+def ols_fit(spark, sf):
+    """Certificate of the OLS fit: the raw-row gradient of every term (incl. intercept) is zero."""
+    design, terms, _ = _regression_inputs(tables(spark, sf))
+    model = reg.ols_fit(design)
+    g = reg.gradient_table(design, model, terms)
+    # mean residual over the rows carrying the term: scale-free, ~0 at the optimum
+    return g.select("term", "support", (F.round(F.col("grad") / F.col("support"), 6) + F.lit(0.0)).alias("grad"))
+
+
+@q("ols_coefficients")
+def ols_coefficients(spark, sf):
+    """OLS coefficients per term (intercept = term 0)."""
+    design, terms, _ = _regression_inputs(tables(spark, sf))
+    return reg.coefficient_table(spark, reg.ols_fit(design), terms)
+
+
+@q("ols_inference")
+def ols_inference(spark, sf):
+    t = tables(spark, sf)
+    _, terms, vecs = _regression_inputs(t)
+    return reg.ols_inference(reg.raw_design(clean_ratings(t), vecs), spark, terms)
+
+
+@q("ols_predict_item")
+def ols_predict_item(spark, sf):
+    """Predicted rating of book 18 next to the distribution of its actual ratings."""
+    t = tables(spark, sf)
+    design, _, _ = _regression_inputs(t)
+    model = reg.ols_fit(design)
+    pred = model.transform(design.where(F.col("book_id") == 18)).select("book_id", F.col("prediction").alias("pred"))
+    actual = agg.describe_column(clean_ratings(t).where(F.col("book_id") == 18), ["rating"]).drop("column")
+    return pred.join(actual.withColumn("book_id", F.lit(18).cast("long")), "book_id")
+
+
+@q("ols_r_squared")
+def ols_r_squared(spark, sf):
+    design, _, _ = _regression_inputs(tables(spark, sf))
+    return reg.r_squared_raw(design, reg.ols_fit(design))
+
+
+@q("r_squared", """select round(1 - sum(power(c.rating - m.m, 2)) / sum(power(c.rating - (select avg(rating) from fx_clean), 2)), 6) as r2
+from fx_clean c join (select book_id, avg(rating) as m from fx_clean group by book_id) m on m.book_id = c.book_id""")
+def r_squared(spark, sf):
+    """R^2 of the per-book mean rating (the OLS fit on book dummies) over the raw rows."""
+    c = clean_ratings(tables(spark, sf))
+    pred = c.join(c.groupBy("book_id").agg(F.avg("rating").alias("m")), "book_id")
+    return metrics.r_squared(pred, "m", "rating").withColumn("r2", r6("r2"))
+
+
+@q("lasso_fit", "select cast(0 as bigint) as term, true as kkt_ok union all select tag_id as term, true as kkt_ok from fx_kept")
+def lasso_fit(spark, sf):
+    """KKT certificate of the L1 fit at the reference alpha: every term satisfies its condition."""
+    design, terms, _ = _regression_inputs(tables(spark, sf))
+    model = reg.lasso_fit(design, LASSO_ALPHA)
+    return reg.kkt_table(design, model, terms, LASSO_ALPHA, KKT_TOL).select("term", "kkt_ok")
+
+
+@q("lasso_coefficients")
+def lasso_coefficients(spark, sf):
+    design, terms, _ = _regression_inputs(tables(spark, sf))
+    return reg.coefficient_table(spark, reg.lasso_fit(design, LASSO_ALPHA), terms)
+
+
+@q("lasso_cv")
+def lasso_cv(spark, sf):
+    """5-fold CV of R^2 over the 30-alpha grid from one pass of per-fold sufficient statistics."""
+    t = tables(spark, sf)
+    terms = [tid for tid, _ in feat.resolve_kept(kept(t))]
+    folded = clean_ratings(t).withColumn("fold", F.floor(hash_pair_u32("user_id", "book_id") * 5 / F.lit(1 << 32)).cast("int"))
+    stats = reg.fold_statistics(folded, feat.book_tag_set(long_tags(t)), terms)
+    rows = reg.lasso_cv(stats, LASSO_GRID)
+    return spark.createDataFrame(rows, "alpha double, mean_score double, std_score double, std_error double")
+
+
+# ---------------------------------------------------------------- 2.12 PCA
+from shelfwise.operators import decompose as dec  # noqa: E402
+
+PCA_SHARE = 0.015
+
+
+def _pca(t: Tables):
+    vecs, width = tag_vectors(t)
+    terms = [tid for tid, _ in feat.resolve_kept(kept(t))]
+    fit = dec.PcaFit(vecs, width)
+    return vecs, terms, fit
+
+
+@q("pca_covariance", """with n as (select count(distinct book_id) as n from fx_set),
+ni as (select tag_id, count(*) as c from fx_set group by tag_id),
+co as (select a.tag_id as ti, b.tag_id as tj, count(*) as nij from fx_set a join fx_set b on a.book_id = b.book_id group by 1, 2)
+select co.ti, co.tj, round((co.nij - a.c * b.c / n.n) / (n.n - 1), 6) as cov
+from co join ni a on a.tag_id = co.ti join ni b on b.tag_id = co.tj cross join n""")
+def pca_covariance(spark, sf):
+    s = feat.book_tag_set(long_tags(tables(spark, sf)))
+    return dec.covariance_long(s).withColumn("cov", r6("cov"))
+
+
+@q("topk_abs_per_group", """with n as (select count(distinct book_id) as n from fx_set),
+ni as (select tag_id, count(*) as c from fx_set group by tag_id),
+co as (select a.tag_id as ti, b.tag_id as tj, count(*) as nij from fx_set a join fx_set b on a.book_id = b.book_id
+       where a.tag_id <> b.tag_id group by 1, 2),
+cv as (select co.ti, co.tj, (co.nij - a.c * b.c / n.n) / (n.n - 1) as cov
+       from co join ni a on a.tag_id = co.ti join ni b on b.tag_id = co.tj cross join n)
+select ti, tj, round(cov, 6) as cov, cast(rk as integer) as rank from
+  (select *, row_number() over (partition by ti order by abs(cov) desc, tj) as rk from cv) x where rk <= 5""")
+def topk_abs_per_group(spark, sf):
+    """Per tag, the 5 other tags with the largest |covariance| (ties by id)."""
+    s = feat.book_tag_set(long_tags(tables(spark, sf)))
+    cov = dec.covariance_long(s).where(F.col("ti") != F.col("tj"))
+    out = topk.topk_abs_per_group(cov, "ti", "cov", "tj", 5)
+    return out.select("ti", "tj", r6("cov").alias("cov"), "rank")
+
+
+@q("pca_fit")
+def pca_fit(spark, sf):
+    """Explained-variance share of every component."""
+    _, _, fit = _pca(tables(spark, sf))
+    return dec.variance_table(spark, fit.ratios)
+
+
+@q("pca_select")
+def pca_select(spark, sf):
+    """Components whose explained-variance share exceeds 0.015."""
+    _, _, fit = _pca(tables(spark, sf))
+    return dec.variance_table(spark, fit.ratios).where(F.col("ratio") > PCA_SHARE)
+
+
+@q("pca_loadings")
+def pca_loadings(spark, sf):
+    """Top 5 tags by |loading| for each kept component, with names."""
+    t = tables(spark, sf)
+    _, terms, fit = _pca(t)
+    n_comp = dec.select_components(fit.ratios, PCA_SHARE)
+    lt = dec.loadings_table(spark, fit.pc, terms, n_comp).join(t.tags(), "tag_id")
+    return topk.topk_abs_per_group(lt, "component", "loading", "tag_name", 5).select("component", "rank", "tag_name", "loading")
+
+
+@q("pca_transform", "select cast(0.0 as double) as max_offdiag_cov")
+def pca_transform(spark, sf):
+    """Certificate of the centred projection: the scores' covariance matrix is diagonal."""
+    t = tables(spark, sf)
+    vecs, _, fit = _pca(t)
+    n_comp = max(2, dec.select_components(fit.ratios, PCA_SHARE))
+    scores = fit.scores(vecs, n_comp)
+    ex = scores.select("book_id", F.posexplode("vec").alias("i", "xi"), "vec").select(
+        "book_id", "i", "xi", F.posexplode("vec").alias("j", "xj")).where(F.col("i") < F.col("j"))
+    cov = ex.groupBy("i", "j").agg((F.sum(F.col("xi") * F.col("xj")) / (F.count(F.lit(1)) - 1)).alias("c"))
+    return cov.agg((F.round(F.max(F.abs("c")), 6) + F.lit(0.0)).alias("max_offdiag_cov"))
+
+
+@q("knn_recommend_pca")
+def knn_recommend_pca(spark, sf):
+    """The kNN recommendation on centred PCA scores instead of raw tags."""
+    t = tables(spark, sf)
+    vecs, _, fit = _pca(t)
+    n_comp = dec.select_components(fit.ratios, PCA_SHARE)
+    scores = fit.scores(vecs, n_comp)
+    sc = rec.knn_scores(flagged(t), t.books(), scores, n_comp, chosen_user(t), k=2, weights="distance")
+    return rec.knn_recommend(sc, t.books(), 10)
