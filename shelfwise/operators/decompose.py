@@ -154,15 +154,18 @@ def _gram(block: DataFrame, l: int) -> np.ndarray:
 
 
 def _apply(block: DataFrame, m: np.ndarray, key: str) -> DataFrame:
-    """block @ m with a small literal matrix (l x r): pure column expressions."""
-    x = F.col("vec")
-    out = []
-    for c in range(m.shape[1]):
-        expr = F.lit(0.0)
-        for r in range(m.shape[0]):
-            expr = expr + x[r] * float(m[r, c])
-        out.append(expr)
-    return block.select(key, F.array(*out).alias("vec"))
+    """block @ m for a small matrix m (l x r), row-local: NumPy per Arrow batch, no shuffle."""
+    mat = np.asarray(m, dtype=np.float64)
+
+    def mult(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+            y = x @ mat
+            yield pd.DataFrame({key: pdf[key].to_numpy(), "vec": list(y)})
+
+    return block.select(key, "vec").mapInPandas(mult, f"{key} long, vec array<double>")
 
 
 def _orthonormalize(block: DataFrame, key: str, l: int) -> DataFrame:

@@ -1176,3 +1176,107 @@ def knn_recommend_pca(spark, sf):
     scores = fit.scores(vecs, n_comp)
     sc = rec.knn_scores(flagged(t), t.books(), scores, n_comp, chosen_user(t), k=2, weights="distance")
     return rec.knn_recommend(sc, t.books(), 10)
+
+
+# ---------------------------------------------------------------- 2.12 clustering, SVD, factorisation
+from shelfwise.operators import cluster as clu  # noqa: E402
+
+KMEANS_K = 3
+SVD_K = 10
+
+
+@q("kmeans_fit")
+def kmeans_fit(spark, sf):
+    """Cluster sizes of k-means (k = 3) on users' good-book vectors (zero vectors included)."""
+    vecs = clu.user_vectors(flagged(tables(spark, sf)), "good")
+    model = clu.kmeans_fit(vecs, KMEANS_K)
+    return clu.cluster_sizes(model, vecs)
+
+
+@q("kmeans_elbow")
+def kmeans_elbow(spark, sf):
+    """Within-cluster SS for k = 1..10 (k = 1 from aggregates; Spark ML needs k >= 2)."""
+    t = tables(spark, sf)
+    fl = flagged(t)
+    vecs = clu.user_vectors(fl, "good")
+    n_users = fl.agg(F.max("user_id")).scalar()
+    k1 = clu.total_ss_binary(collab.good_rows(fl), n_users).select(F.lit(1).alias("k"), "inertia")
+    rest = spark.createDataFrame(clu.elbow(vecs, range(2, 11)), "k int, inertia double")
+    return k1.unionByName(rest)
+
+
+@q("kmeans_step", """with firsts as (select user_id, cast(row_number() over (order by user_id) as integer) as cluster
+                 from (select distinct user_id from fx_good order by user_id limit 3) x),
+c0 as (select f.cluster, g.book_id, cast(1.0 as double) as v from fx_good g join firsts f on f.user_id = g.user_id),
+norms as (select cluster, sum(v * v) as c2 from c0 group by cluster),
+dots as (select g.user_id, c0.cluster, sum(c0.v) as dot from fx_good g join c0 on c0.book_id = g.book_id group by 1, 2),
+users as (select unnest(range(1, (select max(user_id) from fx_flag) + 1)) as user_id),
+nu as (select user_id, count(*) as nu from fx_good group by user_id),
+d as (select u.user_id, n.cluster, coalesce(nu.nu, 0) + n.c2 - 2 * coalesce(dots.dot, 0) as d2
+      from users u cross join norms n left join nu on nu.user_id = u.user_id
+      left join dots on dots.user_id = u.user_id and dots.cluster = n.cluster),
+best as (select user_id, cluster, d2 from (select *, row_number() over (partition by user_id order by d2, cluster) as rk from d) x
+         where rk = 1)
+select cluster, count(*) as size, round(sum(d2), 6) as sse from best group by cluster""")
+def kmeans_step(spark, sf):
+    """One assign step from the first three users' vectors: cluster sizes and within SS."""
+    fl = flagged(tables(spark, sf))
+    good = collab.good_rows(fl)
+    users = clean.id_spine(fl, "user_id")
+    best, _ = clu.kmeans_step(good, users, clu.first_users_as_centers(good, KMEANS_K))
+    return best.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), r6(F.sum("d2")).alias("sse"))
+
+
+@q("scale_features", """select vec_id, cast(dim as integer) as dim, round((value - avg(value) over (partition by dim))
+  / stddev_samp(value) over (partition by dim), 6) as z from el""", ctes=_EMB_LONG)
+def scale_features(spark, sf):
+    """Each embedding dimension standardised: (x - mean) / sample std."""
+    el = _emb_long(tables(spark, sf))
+    stats = el.groupBy("dim").agg(F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s"))
+    # one row per dimension: bounded by the vector length
+    j = el.join(F.broadcast(stats), "dim")
+    return j.select("vec_id", "dim", r6(F.try_divide(F.col("value") - F.col("_m"), F.col("_s"))).alias("z"))
+
+
+def _svd(t: Tables):
+    good = collab.good_rows(flagged(t))
+    entries = good.select(F.col("user_id").alias("row"), F.col("book_id").alias("col"), F.lit(1.0).alias("value"))
+    return dec.svd_randomized(entries, SVD_K)
+
+
+@q("svd_fit")
+def svd_fit(spark, sf):
+    """Truncated SVD (10 factors) of the user x book good matrix: singular values, descending."""
+    _, s, _ = _svd(tables(spark, sf))
+    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(s)], "component int, singular_value double")
+
+
+@q("latent_nearest_user")
+def latent_nearest_user(spark, sf):
+    """The five users nearest to the chosen user in the SVD user factors U (users without good
+    rows sit at the origin)."""
+    t = tables(spark, sf)
+    fl = flagged(t)
+    u, _, _ = _svd(t)
+    users = clean.id_spine(fl, "user_id")
+    zero = F.array_repeat(F.lit(0.0), SVD_K)
+    uu = users.join(u.withColumnRenamed("row", "user_id"), "user_id", "left").select(
+        "user_id", F.coalesce("vec", zero).alias("vec"))
+    uu = uu.checkpoint()
+    me = uu.where(F.col("user_id") == chosen_user(t)).first()  # one row of 10 numbers
+    mine = F.array(*[F.lit(float(x)) for x in (me["vec"] if me else [0.0] * SVD_K)])
+    others = uu.where(F.col("user_id") != (me["user_id"] if me else -1))
+    d = others.select("user_id", vec.euclidean("vec", mine).alias("dist"))
+    return topk.top_n(d, [F.asc("dist"), F.asc("user_id")], 5)
+
+
+@q("factorize_ratings")
+def factorize_ratings(spark, sf):
+    """ALS factorisation of the observed ratings: train RMSE against the global-mean baseline."""
+    c = clean_ratings(tables(spark, sf))
+    model = dec.als_fit(c)
+    pred = model.transform(c)
+    als_rmse = metrics.rmse(pred, "prediction", "rating").withColumnRenamed("rmse", "rmse_als")
+    mean = c.agg(F.avg("rating")).scalar()
+    base = metrics.rmse(c.withColumn("m", mean), "m", "rating").withColumnRenamed("rmse", "rmse_mean")
+    return als_rmse.select("rmse_als", base.select("rmse_mean").scalar().alias("rmse_mean"))
