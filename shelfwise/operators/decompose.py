@@ -79,29 +79,29 @@ def svd_randomized(entries: DataFrame, k: int = 10, oversample: int = 10, passes
     """Truncated SVD of the sparse matrix in ``entries`` (row, col, value) by randomised subspace
     iteration (Halko, Martinsson, Tropp 2011).
 
-    Every product with the matrix is a join on the long table plus a group-by (distributed);
-    the only local work is on l x l matrices (l = k + oversample): Gram matrices, Cholesky and
-    one eigen problem. Row and column blocks stay distributed as (id, array<double>) tables and
-    are checkpointed each pass. Returns (U as (row, vec), s as ndarray, V as (col, vec)).
+    Every product with the matrix is a join on the long table plus one group-by with ``l`` sum
+    aggregates (l = k + oversample; partial aggregation, one shuffle). The only local work is on
+    l x l matrices: Gram matrices, Cholesky factors and one eigen problem. Row and column blocks
+    stay distributed as (id, array<double>) tables; the entries and every product are
+    checkpointed (reliable storage), so each product is computed once and lineage stays short.
+    Returns (U as (row, vec), s as ndarray, V as (col, vec)).
     """
-    spark = entries.sparkSession
     l = k + oversample
     e = entries.select(F.col("row").cast("long"), F.col("col").cast("long"), F.col("value").cast("double"))
+    if checkpoint:
+        e = e.checkpoint()
     cols = e.select("col").distinct()
-    # deterministic Gaussian test matrix from the column id
-    omega = _det(cols, seed, l)
-    z = omega
+    z = _det(cols, seed, l)  # deterministic Gaussian test matrix from the column id
     q = None
     for it in range(passes + 1):
-        y = _multiply(e, z, "col", "row")
-        q = _orthonormalize(y, "row", l)
+        y = _multiply(e, z, "col", "row", l)  # A Z
         if checkpoint:
-            q = q.checkpoint()
-        z = _multiply(e, q, "row", "col")  # A^T Q
+            y = y.checkpoint()
+        q = _orthonormalize(y, "row", l)
+        zt = _multiply(e, q, "row", "col", l)  # A^T Q
         if checkpoint:
-            z = z.checkpoint()
-        if it < passes:
-            z = _orthonormalize(z, "col", l)
+            zt = zt.checkpoint()
+        z = _orthonormalize(zt, "col", l) if it < passes else zt
     # B = Q^T A = Z^T; B B^T = Z^T Z (l x l)
     gz = _gram(z, l)
     evals, w = np.linalg.eigh(gz)
@@ -126,13 +126,11 @@ def _det(df: DataFrame, seed: int, l: int) -> DataFrame:
     return df.select("col", F.array(*vals).alias("vec"))
 
 
-def _multiply(e: DataFrame, block: DataFrame, key: str, out: str) -> DataFrame:
-    """(out, vec) = sum over key of value * block[key] (sparse x tall-skinny, long form)."""
-    j = e.join(block.withColumnRenamed(key, key), key)
-    exploded = j.select(out, F.posexplode("vec").alias("_j", "_x"), "value")
-    summed = exploded.groupBy(out, "_j").agg(F.sum(F.col("_x") * F.col("value")).alias("_v"))
-    return summed.groupBy(out).agg(F.array_sort(F.collect_list(F.struct("_j", "_v"))).alias("_s")).select(
-        out, F.transform("_s", lambda t: t["_v"]).alias("vec"))
+def _multiply(e: DataFrame, block: DataFrame, key: str, out: str, l: int) -> DataFrame:
+    """(out, vec) = sum over key of value * block[key]: sparse x tall-skinny, one group-by."""
+    j = e.join(block, key)
+    sums = [F.sum(F.col("vec")[i] * F.col("value")).alias(f"_{i}") for i in range(l)]
+    return j.groupBy(out).agg(*sums).select(out, F.array(*[F.col(f"_{i}") for i in range(l)]).alias("vec"))
 
 
 def _gram(block: DataFrame, l: int) -> np.ndarray:
