@@ -42,7 +42,7 @@ def relevel_ids(df: DataFrame, col: str, name: str | None = None, start: int = 0
 
 def cast_ids(df: DataFrame, cols: Sequence[str], lenient: bool = False, to: str = "long") -> DataFrame:
     """String ids -> integers. Strict cast raises on malformed values (ANSI); lenient gives NULL."""
-    conv = (lambda c: F.try_cast(F.col(c), to)) if lenient else (lambda c: F.col(c).cast(to))
+    conv = (lambda c: F.col(c).try_cast(to)) if lenient else (lambda c: F.col(c).cast(to))
     return df.withColumns({c: conv(c) for c in cols})
 
 
