@@ -16,6 +16,8 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.session import materialize
+
 INTERCEPT = 0  # term id of the intercept in coefficient tables (tag ids start at 1)
 
 
@@ -129,9 +131,10 @@ def fold_statistics(ratings_fold: DataFrame, book_tag_set: DataFrame, terms: Seq
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(y).cast("double").alias("sy"),
         F.sum(F.col(y) * F.col(y)).cast("double").alias("syy"))
     tags = book_tag_set.where(F.col("tag_id").isin([int(t) for t in terms])).select("book_id", "tag_id")
-    with_icpt = tags.unionByName(book_tag_set.select("book_id").distinct().withColumn("tag_id", F.lit(INTERCEPT).cast("long")))
+    with_icpt = materialize(  # (book, term) rows incl. the intercept term: read by three aggregates
+        tags.unionByName(book_tag_set.select("book_id").distinct().withColumn("tag_id", F.lit(INTERCEPT).cast("long"))))
     # only books with at least one feature take part (inner merge)
-    per = per.join(tags.select("book_id").distinct(), "book_id", "left_semi")
+    per = materialize(per.join(tags.select("book_id").distinct(), "book_id", "left_semi"))  # folds x books rows
     a = with_icpt.withColumnRenamed("tag_id", "ti")
     b = with_icpt.withColumnRenamed("tag_id", "tj")
     gram = per.join(a, "book_id").join(b, "book_id").groupBy("fold", "ti", "tj").agg(F.sum("n").alias("v"))

@@ -577,7 +577,7 @@ def pair_cost_preview(spark, sf):
 from shelfwise.functions import vectors as vec  # noqa: E402
 from shelfwise.functions.hashing import hash_pair_u32, hash_sql, hash_u32  # noqa: E402
 from shelfwise.operators import metrics, sampling  # noqa: E402
-from shelfwise.session import scratch_path  # noqa: E402
+from shelfwise.session import materialize, scratch_path  # noqa: E402
 from shelfwise.sources import files  # noqa: E402
 
 
@@ -833,10 +833,14 @@ from shelfwise.operators import neighbors as nbrs  # noqa: E402
 from shelfwise.plans import recommend as rec  # noqa: E402
 
 
-def tag_vectors(t: Tables) -> tuple[DataFrame, int]:
-    """Dense 0/1 arrays over the kept tags (books with at least one kept tag) and their width."""
+def tag_vectors(t: Tables, with_terms: bool = False):
+    """Dense 0/1 arrays over the kept tags (books with at least one kept tag) and their width
+    (and the kept tag ids). One row per book, materialised once: several jobs read it."""
     kl = feat.resolve_kept(kept(t))
-    return feat.dense_tag_arrays(norm_tags(t), kl), len(kl)
+    vecs = materialize(feat.dense_tag_arrays(norm_tags(t), kl))
+    if with_terms:
+        return vecs, len(kl), [tid for tid, _ in kl]
+    return vecs, len(kl)
 
 
 def knn_scores_tags(t: Tables) -> DataFrame:
@@ -1004,9 +1008,9 @@ KKT_TOL = 1e-6
 
 
 def _regression_inputs(t: Tables):
-    vecs, _ = tag_vectors(t)
-    terms = [tid for tid, _ in feat.resolve_kept(kept(t))]
-    design = reg.book_design(clean_ratings(t), vecs)
+    vecs, _, terms = tag_vectors(t, with_terms=True)
+    # one row per book: the fit, the certificate and R^2 all read the written copy
+    design = materialize(reg.book_design(clean_ratings(t), vecs))
     return design, terms, vecs
 
 
@@ -1098,8 +1102,7 @@ PCA_SHARE = 0.015
 
 
 def _pca(t: Tables):
-    vecs, width = tag_vectors(t)
-    terms = [tid for tid, _ in feat.resolve_kept(kept(t))]
+    vecs, width, terms = tag_vectors(t, with_terms=True)
     fit = dec.PcaFit(vecs, width)
     return vecs, terms, fit
 

@@ -9,6 +9,7 @@ from shelfwise.operators import neighbors as nbrs
 from shelfwise.operators.aggregates import tag_share
 from shelfwise.operators.joins import membership_flag
 from shelfwise.operators.topk import top_n, top_unread_books
+from shelfwise.session import materialize
 
 
 def with_vectors(books: DataFrame, vectors: DataFrame, width: Column | int, missing: str = "zero") -> DataFrame:
@@ -28,8 +29,9 @@ def knn_scores(flagged: DataFrame, books: DataFrame, vectors: DataFrame, width,
     mine = flagged.where(F.col("user_id") == user).select("book_id", "good")
     cands = top_unread_books(flagged, mine, n_candidates).select("book_id")
     cands = books.select(F.col("id").alias("book_id")).join(cands, "book_id", "left_semi")
-    train = with_vectors(mine, vectors, width)
-    queries = with_vectors(cands, vectors, width)
+    # the user's rows and the (at most n_candidates) candidates are read by several jobs
+    train = materialize(with_vectors(mine, vectors, width))
+    queries = materialize(with_vectors(cands, vectors, width))
     nb = nbrs.knn_neighbors(queries.withColumnRenamed("book_id", "qid"), train.withColumnRenamed("book_id", "tid"), k)
     scored = nbrs.vote(nb, train.select(F.col("book_id").alias("tid"), F.col("good").alias("label")), weights=weights)
     return scored.withColumnRenamed("qid", "book_id")

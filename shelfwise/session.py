@@ -47,3 +47,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+
+    Used for small derived tables (one row per book, per fold, per candidate) that several
+    later jobs read: each is computed once, lineage is cut, and a lost executor re-reads the
+    reliable copy instead of recomputing the chain."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
