@@ -134,21 +134,32 @@ def fold_statistics(ratings_fold: DataFrame, book_tag_set: DataFrame, terms: Seq
     with_icpt = materialize(  # (book, term) rows incl. the intercept term: read by three aggregates
         tags.unionByName(book_tag_set.select("book_id").distinct().withColumn("tag_id", F.lit(INTERCEPT).cast("long"))))
     # only books with at least one feature take part (inner merge)
-    per = materialize(per.join(tags.select("book_id").distinct(), "book_id", "left_semi"))  # folds x books rows
+    per = per.join(tags.select("book_id").distinct(), "book_id", "left_semi")
     a = with_icpt.withColumnRenamed("tag_id", "ti")
     b = with_icpt.withColumnRenamed("tag_id", "tj")
-    gram = per.join(a, "book_id").join(b, "book_id").groupBy("fold", "ti", "tj").agg(F.sum("n").alias("v"))
-    xty = per.join(a, "book_id").groupBy("fold", "ti").agg(F.sum("sy").alias("v"))
-    yy = per.groupBy("fold").agg(F.sum("syy").alias("syy"), F.sum("n").alias("n"))
+    # one job: X^T X cells (ti, tj), X^T y cells (ti, -1) and the y^T y / n row (-1, -1)
+    gram = per.join(a, "book_id").join(b, "book_id").groupBy("fold", "ti", "tj").agg(
+        F.sum("n").alias("v"), F.lit(0.0).alias("v2"))
+    xty = per.join(a, "book_id").groupBy("fold", "ti").agg(F.sum("sy").alias("v"), F.lit(0.0).alias("v2")).select(
+        "fold", "ti", F.lit(-1).cast("long").alias("tj"), "v", "v2")
+    yy = per.groupBy("fold").agg(F.sum("syy").alias("v"), F.sum("n").alias("v2")).select(
+        "fold", F.lit(-1).cast("long").alias("ti"), F.lit(-1).cast("long").alias("tj"), "v", "v2")
+    cells = gram.unionByName(xty).unionByName(yy).collect()  # folds x (p^2 + p + 1) rows
     idx = {INTERCEPT: 0, **{int(t): i + 1 for i, t in enumerate(terms)}}
     p = len(idx)
     stats: dict = {}
-    for r in yy.collect():  # one row per fold
-        stats[int(r["fold"])] = {"G": np.zeros((p, p)), "c": np.zeros(p), "yy": float(r["syy"]), "n": float(r["n"])}
-    for r in gram.collect():  # folds x p^2 rows at most
-        stats[int(r["fold"])]["G"][idx[int(r["ti"])], idx[int(r["tj"])]] = float(r["v"])
-    for r in xty.collect():
-        stats[int(r["fold"])]["c"][idx[int(r["ti"])]] = float(r["v"])
+
+    def fold(f):
+        return stats.setdefault(f, {"G": np.zeros((p, p)), "c": np.zeros(p), "yy": 0.0, "n": 0.0})
+
+    for r in cells:
+        f, ti, tj = int(r["fold"]), int(r["ti"]), int(r["tj"])
+        if ti == -1:
+            fold(f)["yy"], fold(f)["n"] = float(r["v"]), float(r["v2"])
+        elif tj == -1:
+            fold(f)["c"][idx[ti]] = float(r["v"])
+        else:
+            fold(f)["G"][idx[ti], idx[tj]] = float(r["v"])
     return stats
 
 

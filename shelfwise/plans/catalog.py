@@ -833,11 +833,24 @@ from shelfwise.operators import neighbors as nbrs  # noqa: E402
 from shelfwise.plans import recommend as rec  # noqa: E402
 
 
+def model_tags(t: Tables):
+    """Inputs of the model queries, built once per query: the normalised book tags (written to
+    the checkpoint folder), the kept tags resolved to a list (bounded by the top-n limit), the
+    per-book 0/1 vectors (written) and the distinct (book, kept tag) set."""
+    def build():
+        nt = materialize(norm_tags(t))
+        kl = feat.resolve_kept(feat.kept_tags(nt, t.tags()))
+        vecs = materialize(feat.dense_tag_arrays(nt, kl))
+        tag_set = nt.where(F.col("tag_id").isin([tid for tid, _ in kl])).select("book_id", "tag_id").distinct()
+        return nt, kl, vecs, tag_set
+
+    return t.memo("model_tags", build)
+
+
 def tag_vectors(t: Tables, with_terms: bool = False):
     """Dense 0/1 arrays over the kept tags (books with at least one kept tag) and their width
-    (and the kept tag ids). One row per book, materialised once: several jobs read it."""
-    kl = feat.resolve_kept(kept(t))
-    vecs = materialize(feat.dense_tag_arrays(norm_tags(t), kl))
+    (and the kept tag ids)."""
+    _, kl, vecs, _ = model_tags(t)
     if with_terms:
         return vecs, len(kl), [tid for tid, _ in kl]
     return vecs, len(kl)
@@ -1088,9 +1101,10 @@ def lasso_coefficients(spark, sf):
 def lasso_cv(spark, sf):
     """5-fold CV of R^2 over the 30-alpha grid from one pass of per-fold sufficient statistics."""
     t = tables(spark, sf)
-    terms = [tid for tid, _ in feat.resolve_kept(kept(t))]
+    _, kl, _, tag_set = model_tags(t)
+    terms = [tid for tid, _ in kl]
     folded = clean_ratings(t).withColumn("fold", F.floor(hash_pair_u32("user_id", "book_id") * 5 / F.lit(1 << 32)).cast("int"))
-    stats = reg.fold_statistics(folded, feat.book_tag_set(long_tags(t)), terms)
+    stats = reg.fold_statistics(folded, tag_set, terms)
     rows = reg.lasso_cv(stats, LASSO_GRID)
     return spark.createDataFrame(rows, "alpha double, mean_score double, std_score double, std_error double")
 
@@ -1283,3 +1297,36 @@ def factorize_ratings(spark, sf):
     mean = c.agg(F.avg("rating")).scalar()
     base = metrics.rmse(c.withColumn("m", mean), "m", "rating").withColumnRenamed("rmse", "rmse_mean")
     return als_rmse.select("rmse_als", base.select("rmse_mean").scalar().alias("rmse_mean"))
+
+
+# ---------------------------------------------------------------- single metrics and the remaining views
+@q("entropy", """select round(sum(-p * log2(p)), 6) as entropy
+from (select count(*) / (select count(*) from fx_clean) as p from fx_clean group by rating) s""")
+def entropy(spark, sf):
+    return entropy_gini(spark, sf).select("entropy")
+
+
+@q("gini", """select round(1 - sum(p * p), 6) as gini
+from (select count(*) / (select count(*) from fx_clean) as p from fx_clean group by rating) s""")
+def gini(spark, sf):
+    return entropy_gini(spark, sf).select("gini")
+
+
+@q("histogram_ratings", """with s as (select min(rating) as lo, max(rating) as hi from fx_clean),
+b as (select least(cast(floor((rating - s.lo) * 10.0 / (s.hi - s.lo)) as bigint) + 1, 10) as bin from fx_clean, s)
+select g.bin, s.lo + (g.bin - 1) * (s.hi - s.lo) / 10.0 as lo, s.lo + g.bin * (s.hi - s.lo) / 10.0 as hi, count(b.bin) as n
+from (select unnest(range(1, 11)) as bin) g cross join s left join b on b.bin = g.bin group by g.bin, s.lo, s.hi""")
+def histogram_ratings(spark, sf):
+    """Ten equal-width bins over the cleaned ratings (the data behind the rating histogram)."""
+    out = agg.histogram_equal_width(clean_ratings(tables(spark, sf)), "rating", 10)
+    return out.withColumn("bin", F.col("bin").cast("long"))
+
+
+@q("validate_recommendations_pca")
+def validate_recommendations_pca(spark, sf):
+    """Tag shares of the user's books against the PCA-based recommendations (full outer)."""
+    t = tables(spark, sf)
+    recs = knn_recommend_pca(spark, sf)
+    mine = flagged(t).where(F.col("user_id") == chosen_user(t)).select("book_id")
+    out = rec.validate_tag_shares(recs, mine, long_tags(t), 10)
+    return out.withColumns({"share_act": r6("share_act"), "share_pred": r6("share_pred")})

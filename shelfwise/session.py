@@ -32,7 +32,10 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when unset (tests)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Connect session has no SparkContext; the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current

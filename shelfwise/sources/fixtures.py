@@ -7,7 +7,7 @@ to_read.  Every view is a lazy DataFrame; scans read only the columns they need.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class Tables:
     spark: SparkSession
     sf_dir: str
+    _memo: dict = field(default_factory=dict, repr=False)
+
+    def memo(self, key: str, build):
+        """Build a derived table once per query (callers materialise what several jobs reuse)."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
