@@ -1063,9 +1063,9 @@ def ols_predict_item(spark, sf):
     t = tables(spark, sf)
     design, _, _ = _regression_inputs(t)
     model = reg.ols_fit(design)
-    pred = model.transform(design.where(F.col("book_id") == 18)).select("book_id", F.col("prediction").alias("pred"))
+    pred = model.transform(design.where(F.col("book_id") == 18)).select("prediction").scalar()
     actual = agg.describe_column(clean_ratings(t).where(F.col("book_id") == 18), ["rating"]).drop("column")
-    return pred.join(actual.withColumn("book_id", F.lit(18).cast("long")), "book_id")
+    return actual.select(F.lit(18).cast("long").alias("book_id"), pred.alias("pred"), "*")
 
 
 @q("ols_r_squared")
