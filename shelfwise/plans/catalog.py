@@ -421,11 +421,11 @@ def label_counts(spark, sf):
 
 @q("histogram_equal_width", """with s as (select min(n_books) as lo, max(n_books) as hi from fx_kept),
 b as (select least(cast(floor((n_books - s.lo) * 20.0 / (s.hi - s.lo)) as bigint) + 1, 20) as bin from fx_kept, s)
-select g.bin, s.lo + (g.bin - 1) * (s.hi - s.lo) / 20.0 as lo, s.lo + g.bin * (s.hi - s.lo) / 20.0 as hi, count(b.bin) as n
+select g.bin, round(s.lo + (g.bin - 1) * (s.hi - s.lo) / 20.0, 6) as lo, round(s.lo + g.bin * (s.hi - s.lo) / 20.0, 6) as hi, count(b.bin) as n
 from (select unnest(range(1, 21)) as bin) g cross join s left join b on b.bin = g.bin group by g.bin, s.lo, s.hi""")
 def histogram_equal_width(spark, sf):
     out = agg.histogram_equal_width(kept(tables(spark, sf)), "n_books", 20)
-    return out.withColumn("bin", F.col("bin").cast("long"))
+    return out.withColumns({"bin": F.col("bin").cast("long"), "lo": r6("lo"), "hi": r6("hi")})
 
 
 @q("pivot_tag_matrix", """with r as (select tag_id, row_number() over (order by tag_id) as pos from fx_kept)
@@ -1318,12 +1318,12 @@ def gini(spark, sf):
 
 @q("histogram_ratings", """with s as (select min(rating) as lo, max(rating) as hi from fx_clean),
 b as (select least(cast(floor((rating - s.lo) * 10.0 / (s.hi - s.lo)) as bigint) + 1, 10) as bin from fx_clean, s)
-select g.bin, s.lo + (g.bin - 1) * (s.hi - s.lo) / 10.0 as lo, s.lo + g.bin * (s.hi - s.lo) / 10.0 as hi, count(b.bin) as n
+select g.bin, round(s.lo + (g.bin - 1) * (s.hi - s.lo) / 10.0, 6) as lo, round(s.lo + g.bin * (s.hi - s.lo) / 10.0, 6) as hi, count(b.bin) as n
 from (select unnest(range(1, 11)) as bin) g cross join s left join b on b.bin = g.bin group by g.bin, s.lo, s.hi""")
 def histogram_ratings(spark, sf):
     """Ten equal-width bins over the cleaned ratings (the data behind the rating histogram)."""
     out = agg.histogram_equal_width(clean_ratings(tables(spark, sf)), "rating", 10)
-    return out.withColumn("bin", F.col("bin").cast("long"))
+    return out.withColumns({"bin": F.col("bin").cast("long"), "lo": r6("lo"), "hi": r6("hi")})
 
 
 @q("validate_recommendations_pca")
