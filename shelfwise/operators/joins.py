@@ -51,11 +51,13 @@ def gram_join(df: DataFrame, group_col: str, item_col: str, left: str = "item_a"
     """
     base = df.select(F.col(group_col).alias("_g"), F.col(item_col).alias("_i"))
     sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    salted = base.join(sizes, "_g").select(
-        "_g",
-        "_i",
-        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(cell_rows))).cast("int").alias("_s"),
-    )
+    # only groups above one cell need salting; that table is small (at most rows / cell_rows
+    # groups), so AQE can broadcast it from its measured size and the base rows are not
+    # reshuffled for the lookup. Every other group keeps a single bucket.
+    heavy = sizes.where(F.col("_n") > cell_rows).select(
+        "_g", F.ceil(F.col("_n") / F.lit(cell_rows)).cast("int").alias("_hs"))
+    salted = base.join(heavy, "_g", "left").select(
+        "_g", "_i", F.coalesce(F.col("_hs"), F.lit(1)).alias("_s"))
     salted = salted.withColumn("_b", F.pmod(F.xxhash64("_i"), F.col("_s")).cast("int"))
     lhs = salted.select(
         "_g", F.col("_b").alias("_ba"), F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_bb"),
