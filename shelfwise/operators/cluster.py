@@ -93,3 +93,23 @@ def first_users_as_centers(good: DataFrame, k: int) -> DataFrame:
     firsts = good.select("user_id").distinct().orderBy("user_id").limit(k)
     ranked = firsts.withColumn("cluster", F.row_number().over(Window.orderBy("user_id")))  # k rows
     return good.join(F.broadcast(ranked), "user_id").select("cluster", "book_id", F.lit(1.0).alias("v"))
+
+
+def centers_long(model: KMeansModel, spark) -> DataFrame:
+    """Fitted centers as (cluster, book_id, v) over their nonzero entries (k x books at most).
+
+    Vector position i stands for book id i + 1 (the vocabulary of ``user_vectors``)."""
+    rows = []
+    for c, center in enumerate(model.clusterCenters()):
+        for i in center.nonzero()[0]:
+            rows.append((c, int(i) + 1, float(center[i])))
+    return spark.createDataFrame(rows, "cluster int, book_id long, v double")
+
+
+def assignment_check(model: KMeansModel, vectors: DataFrame, good: DataFrame, users: DataFrame) -> DataFrame:
+    """Certificate of a fitted k-means: recompute every user's nearest center in long form and
+    count how many agree with the model's assignment: (n_users, n_nearest)."""
+    best, _ = kmeans_step(good, users, centers_long(model, vectors.sparkSession))
+    pred = model.transform(vectors).select("user_id", F.col("prediction").alias("pred"))
+    j = best.join(pred, "user_id")
+    return j.agg(F.count(F.lit(1)).alias("n_users"), F.count_if(F.col("cluster") == F.col("pred")).alias("n_nearest"))

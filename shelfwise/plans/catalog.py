@@ -1334,3 +1334,13 @@ def validate_recommendations_pca(spark, sf):
     mine = flagged(t).where(F.col("user_id") == chosen_user(t)).select("book_id")
     out = rec.validate_tag_shares(recs, mine, long_tags(t), 10)
     return out.withColumns({"share_act": r6("share_act"), "share_pred": r6("share_pred")})
+
+
+@q("kmeans_assignment", """select count(*) as n_users, count(*) as n_nearest
+from (select unnest(range(1, (select max(user_id) from fx_flag) + 1)) as user_id) u""")
+def kmeans_assignment(spark, sf):
+    """Certificate of the k-means fit (k = 3): every user's label is its nearest fitted center."""
+    fl = flagged(tables(spark, sf))
+    vecs = materialize(clu.user_vectors(fl, "good"))
+    model = clu.kmeans_fit(vecs, KMEANS_K)
+    return clu.assignment_check(model, vecs, collab.good_rows(fl), clean.id_spine(fl, "user_id"))
