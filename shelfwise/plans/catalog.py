@@ -1344,3 +1344,15 @@ def kmeans_assignment(spark, sf):
     vecs = materialize(clu.user_vectors(fl, "good"))
     model = clu.kmeans_fit(vecs, KMEANS_K)
     return clu.assignment_check(model, vecs, collab.good_rows(fl), clean.id_spine(fl, "user_id"))
+
+
+@q("svd_energy", "select count(*) as frobenius_sq, true as captured_within_total from fx_good")
+def svd_energy(spark, sf):
+    """Certificate of the truncated SVD: the squared Frobenius norm of the good matrix and
+    sum s^2 <= that norm (the 10 factors never capture more energy than the matrix holds)."""
+    t = tables(spark, sf)
+    _, s, _ = _svd(t)
+    captured = float((s ** 2).sum())
+    good = collab.good_rows(flagged(t))
+    fro = good.agg(F.count(F.lit(1)).alias("frobenius_sq"))
+    return fro.select("frobenius_sq", (F.lit(captured) <= F.col("frobenius_sq") * (1 + 1e-9)).alias("captured_within_total"))
