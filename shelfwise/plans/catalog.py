@@ -575,7 +575,7 @@ def pair_cost_preview(spark, sf):
 
 # ---------------------------------------------------------------- 2.1 file sources (round trips)
 from shelfwise.functions import vectors as vec  # noqa: E402
-from shelfwise.functions.hashing import hash_pair_u32, hash_sql, hash_u32  # noqa: E402
+from shelfwise.functions.hashing import hash_pair_u32, hash_sql  # noqa: E402
 from shelfwise.operators import metrics, sampling  # noqa: E402
 from shelfwise.session import materialize, scratch_path  # noqa: E402
 from shelfwise.sources import files  # noqa: E402
