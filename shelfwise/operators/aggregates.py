@@ -45,9 +45,18 @@ def mean_per_group(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.avg(value).alias(name))
 
 
-def describe_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def describe_column(df: DataFrame, cols: Sequence[str], approx_accuracy: int | None = None) -> DataFrame:
     """pandas-style describe in long form: one row per column with count, mean, sample std,
-    min, exact 25/50/75 % (linear interpolation) and max."""
+    min, 25/50/75 % and max.
+
+    Quartiles are exact (linear interpolation, one counter per distinct value in the final merge)
+    unless ``approx_accuracy`` is given, which switches to ``percentile_approx`` (bounded memory)."""
+
+    def q(v, p):
+        if approx_accuracy is None:
+            return F.percentile(v, F.lit(p))
+        return F.percentile_approx(v, p, approx_accuracy).cast("double")
+
     parts = []
     for c in cols:
         v = F.col(c).cast("double")
@@ -57,9 +66,9 @@ def describe_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                 F.avg(v).alias("mean"),
                 F.stddev_samp(v).alias("std"),
                 F.min(v).alias("min"),
-                F.percentile(v, F.lit(0.25)).alias("p25"),
-                F.percentile(v, F.lit(0.5)).alias("p50"),
-                F.percentile(v, F.lit(0.75)).alias("p75"),
+                q(v, 0.25).alias("p25"),
+                q(v, 0.5).alias("p50"),
+                q(v, 0.75).alias("p75"),
                 F.max(v).alias("max"),
             ).select(F.lit(c).alias("column"), "*")
         )
