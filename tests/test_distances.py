@@ -63,3 +63,13 @@ def test_mean_overlap_equals_dense_product(spark):
     ids = np.nonzero(keep)[0] + 1
     for i, e in zip(ids, expect):
         assert math.isclose(got[i], e)
+
+
+def test_describe_exact_and_approximate_quartiles(spark):
+    from shelfwise.operators.aggregates import describe_column
+
+    df = spark.range(1, 1001).selectExpr("id as x")
+    exact = describe_column(df, ["x"]).first()
+    assert (exact["p25"], exact["p50"], exact["p75"]) == (250.75, 500.5, 750.25)
+    approx = describe_column(df, ["x"], approx_accuracy=10000).first()
+    assert abs(approx["p50"] - 500.5) <= 1.0 and approx["count"] == 1000
