@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +47,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors (once per application), so that functions that run
+    there import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_shelfwise_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="shelfwise-code-"), "shelfwise.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    sc.addPyFile(target)
+    sc._shelfwise_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)

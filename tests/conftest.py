@@ -14,7 +14,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from shelfwise.session import ensure_checkpoint_dir
+    from shelfwise.session import ensure_checkpoint_dir, ship_package
 
     s = (
         SparkSession.builder.master("local[*]")
@@ -29,5 +29,6 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
+    ship_package(s)
     yield s
     s.stop()
