@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import linededup, mixing, toxicity
+from shelfwise.llm import jaccard, linededup, mixing, pieces, queries, toxicity
 from shelfwise.llm.common import table
 from shelfwise.session import scratch_path
 
@@ -27,12 +27,30 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                        F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(F.length("kept_text")).alias("n_chars"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest id; rows that repeat
+    it go too. Rows without an id stay."""
+    gone = jaccard.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    twice = left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & F.col("doc_id").isNotNull())
+    if twice.isEmpty():
+        return left
+    return left.where(F.col("doc_id").isNull()).union(left.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, globally sorted into the mixed order of their sources."""
     return mixing.mixed_order(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("mixing", mix)]
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip): the SentencePiece ids of every text; round_trip tells that
+    they decode to it."""
+    return pieces.encode_checked(docs, queries.PIECES)
+
+
+STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("near_duplicates", drop_near_duplicates),
+          ("mixing", mix), ("sentencepiece", tokenize)]
 
 #: Model predictions and token ids cannot be stated in SQL; the tests compare with brute force.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, langid, linededup, mixing, quality, tokencount, toxicity
+from shelfwise.llm import chat, jaccard, langid, linededup, mixing, pieces, quality, tokencount, toxicity
 from shelfwise.llm.common import table
 
 #: Tokenizer files; a cluster may keep them elsewhere.
@@ -24,6 +24,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digest(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.predict_toxicity(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
@@ -51,6 +59,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_quality_rules, op5_toxicity, op6_line_dedup, op7_source_mixing, op8_chat_format, op9_token_counts)}
+    op1_language_id, op2_quality_rules, op3_ngram_jaccard, op4_sentencepiece, op5_toxicity, op6_line_dedup, op7_source_mixing, op8_chat_format, op9_token_counts)}
 
 ORACLES: dict[str, str] = {}
