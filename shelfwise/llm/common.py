@@ -115,3 +115,9 @@ def local_roots(adj: np.ndarray) -> np.ndarray:
         if (new == lab).all():
             return lab
         lab = new
+
+
+def sized(rows: DataFrame, key: str = "path") -> DataFrame:
+    """The rows of the keys that two or more rows share, with the number of rows as ``size``."""
+    size = rows.groupBy(key).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    return rows.join(size, key)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import block_pairs, local_roots, map_groups, mix64, saved, string_buffer
+from shelfwise.llm.common import block_pairs, local_roots, map_groups, mix64, saved, sized, string_buffer
 from shelfwise.llm.graph import components
 from shelfwise.llm.shingles import common_counts, fingerprints, shingle_sets
 
@@ -101,24 +101,18 @@ def _children(rows: DataFrame, branching: float) -> DataFrame:
     return rows.select("path", "size", "rep", "sk").mapInArrow(run, "path long, parent long, psize long, rep long")
 
 
-def _sized(rows: DataFrame) -> DataFrame:
-    """Rows of the paths that two or more rows share, with the number of rows."""
-    size = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    return rows.join(size, "path")
-
-
 def choose_paths(reps: DataFrame, branching: float, bucket: int, max_depth: int) -> DataFrame:
     """(path, size, rep): the buckets in which representatives are compared.
 
     A bucket of up to ``bucket`` rows is final. A larger one is split on further sampled tokens, unless
     splitting does not help: where at least as many rows as it has stand in large children again, its
     sets are alike, and it is compared as it is. So are buckets left at ``max_depth``."""
-    rows = saved(_sized(saved(reps.select(F.explode("paths").alias("path"), "rep"))))
+    rows = saved(sized(saved(reps.select(F.explode("paths").alias("path"), "rep")))).select("path", "size", "rep")
     final, large = rows.where(F.col("size") <= bucket), rows.where(F.col("size") > bucket)
     for _ in range(max_depth):
         if large.isEmpty():
             return final
-        below = saved(_sized(saved(_children(large.join(reps.select("rep", "sk"), "rep"), branching))))
+        below = saved(sized(saved(_children(large.join(reps.select("rep", "sk"), "rep"), branching))))
         dense = below.where(F.col("size") > bucket).groupBy("parent").agg(
             F.count(F.lit(1)).alias("_in"), F.max("psize").alias("_of")).where(F.col("_in") >= F.col("_of"))
         dense = saved(dense.select("parent"))

@@ -24,25 +24,22 @@ def _letters() -> np.ndarray:
     return _LETTERS
 
 
-def _piece_grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    cp = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    letter = _letters()[cp]
-    cp = np.where(letter, cp, _GAP)
-    cp = cp[letter | np.concatenate(([True], letter[:-1]))]  # one gap for a run of other characters
-    if cp.size and cp[0] != _GAP:
-        cp = np.concatenate(([_GAP], cp))
-    if cp.size and cp[-1] != _GAP:
-        cp = np.concatenate((cp, [_GAP]))
-    two = cp[:-1] << _BITS | cp[1:]
-    three = two[:-1] << _BITS | cp[2:]
-    return np.unique(np.concatenate((cp[cp != _GAP], two, three)), return_counts=True)
-
-
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(code, count) of all 1- to 3-grams of the lower-cased text; words keep a gap at both ends."""
-    if len(text) <= _PIECE:
-        return _piece_grams(text)
-    parts = [_piece_grams(text[i : i + _PIECE]) for i in range(0, len(text), _PIECE)]
+    low = text.lower() + " "
+    before, parts = np.array([_GAP], np.int64), []
+    for i in range(0, len(low), _PIECE):
+        new = np.frombuffer(low[i : i + _PIECE].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        new[~_letters()[new]] = _GAP
+        new = new[(new != _GAP) | (np.concatenate((before[-1:], new[:-1])) != _GAP)]  # one gap for a run
+        line = np.concatenate((before, new))
+        two = line[:-1] << _BITS | line[1:]
+        three = two[:-1] << _BITS | line[2:]
+        old = len(before)  # n-grams that end in what is new
+        parts.append(np.unique(np.concatenate((new[new != _GAP], two[old - 1 :], three[max(0, old - 2) :])), return_counts=True))
+        before = line[-2:]
+    if len(parts) == 1:
+        return parts[0]
     codes, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     return codes, np.bincount(back, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
@@ -86,9 +83,9 @@ class Profiles:
             return "und", 0.0
         at = np.minimum(np.searchsorted(self.codes, own), len(self.codes) - 1)
         known = self.codes[at] == own
-        gap = np.abs(self.ranks[at[known]] - np.arange(len(own))[known, None])
-        missing = self.top * (len(own) - int(known.sum()))
-        far = np.minimum(gap, self.top).sum(axis=0) + missing
+        there = self.ranks[at[known]]
+        gap = np.where(there < self.top, np.abs(there - np.arange(len(own))[known, None]), self.top)
+        far = gap.sum(axis=0) + self.top * (len(own) - int(known.sum()))
         best = int(np.argmin(far))
         return self.langs[best], float(1 - far[best] / (self.top * len(own)))
 
