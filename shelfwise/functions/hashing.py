@@ -1,7 +1,8 @@
-"""Deterministic 32-bit multiplicative hash (Knuth) in plain long arithmetic.
+"""Seeded 32-bit hash in plain long arithmetic: multiply, fold the high half into the low one, multiply.
 
-``(key * 2654435761) mod 2^32`` computed without 64-bit overflow, so it is identical in Spark
-(ANSI mode) and in any SQL engine, independent of partitioning.
+Multiplication modulo 2^32 (Knuth's constant) is split in 16-bit halves, so nothing overflows in
+ANSI mode and any SQL engine computes the same number, independent of partitioning. The fold between
+the two rounds breaks the linearity in the key, so hashes of different seeds are unrelated.
 """
 
 from __future__ import annotations
@@ -13,19 +14,28 @@ from pyspark.sql import functions as F
 KNUTH = 2654435761
 _HI, _LO = KNUTH >> 16, KNUTH & 0xFFFF
 U32 = 1 << 32
+_SEED_STEP = 40503
 
 
-def hash_u32(key) -> Column:
-    k = F.pmod(F.col(key) if isinstance(key, str) else key, F.lit(U32))
+def _round(k: Column) -> Column:
     return F.pmod(k * _LO + F.pmod(k * _HI, F.lit(1 << 16)) * (1 << 16), F.lit(U32))
 
 
-def hash_pair_u32(a, b) -> Column:
+def hash_u32(key, seed: int = 0) -> Column:
+    k = F.pmod((F.col(key) if isinstance(key, str) else key) + F.lit(seed * _SEED_STEP), F.lit(U32))
+    a = _round(k)
+    return _round(F.pmod(a + F.shiftright(a, 16) * F.lit(2 * seed + 1), F.lit(U32)))
+
+
+def hash_pair_u32(a, b, seed: int = 0) -> Column:
     """Hash of a two-column key: hash(hash(a) + b)."""
-    return hash_u32(hash_u32(a) + (F.col(b) if isinstance(b, str) else b))
+    return hash_u32(hash_u32(a, seed) + (F.col(b) if isinstance(b, str) else b), seed)
 
 
-def hash_sql(expr: str) -> str:
+def hash_sql(expr: str, seed: int = 0) -> str:
     """The same hash as SQL text (for oracles)."""
-    k = f"(({expr}) % {U32} + {U32}) % {U32}"
-    return f"(({k}) * {_LO} + ((({k}) * {_HI}) % 65536) * 65536) % {U32}"
+    def one(k: str) -> str:
+        return f"(({k}) * {_LO} + ((({k}) * {_HI}) % 65536) * 65536) % {U32}"
+
+    a = one(f"((({expr}) + {seed * _SEED_STEP}) % {U32} + {U32}) % {U32}")
+    return one(f"(({a}) + (({a}) // 65536) * {2 * seed + 1}) % {U32}")

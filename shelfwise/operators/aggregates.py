@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import materialize
+
 
 def tag_frequency(book_tags: DataFrame, tag_col: str = "tag_id", count_col: str = "cnt") -> DataFrame:
     """Per tag: total uses (sum of counts) and number of book rows carrying it."""
@@ -26,9 +28,10 @@ def rating_distribution(ratings: DataFrame, col: str = "rating") -> DataFrame:
 
 
 def duplicate_ratings(ratings: DataFrame, keys: Sequence[str] = ("user_id", "book_id")) -> DataFrame:
-    """Rows whose key occurs more than once, with the group size ``dups``."""
-    dups = ratings.groupBy(*keys).agg(F.count(F.lit(1)).alias("dups")).where(F.col("dups") > 1)
-    return dups.join(ratings, list(keys))
+    """Rows whose key occurs more than once, with the group size ``dups`` (one pass: a count over a window)."""
+    counted = ratings.withColumn("dups", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    rest = [c for c in ratings.columns if c not in keys]
+    return counted.where(F.col("dups") > 1).select(*keys, "dups", *rest)
 
 
 def duplicate_check(ratings: DataFrame, keys: Sequence[str] = ("user_id", "book_id")) -> DataFrame:
@@ -45,33 +48,49 @@ def mean_per_group(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.avg(value).alias(name))
 
 
-def describe_column(df: DataFrame, cols: Sequence[str], approx_accuracy: int | None = None) -> DataFrame:
-    """pandas-style describe in long form: one row per column with count, mean, sample std,
-    min, 25/50/75 % and max.
+def value_ranks(df: DataFrame, col: str) -> DataFrame:
+    """(v, n, last): the distinct non-null values of ``col`` as doubles, how often each occurs, and how
+    many rows hold it or a smaller one.
 
-    Quartiles are exact (linear interpolation, one counter per distinct value in the final merge)
-    unless ``approx_accuracy`` is given, which switches to ``percentile_approx`` (bounded memory)."""
+    Values are counted (partial aggregation), range-sorted and written once; the running count is a
+    window inside each range partition plus the counts of the partitions before it, so no task holds
+    more than its own range, however many distinct values there are."""
+    v = F.col(col).cast("double")
+    counts = df.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ordered = materialize(counts.orderBy("v").withColumn("_p", F.spark_partition_id()))
+    inside = Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    per = ordered.groupBy("_p").agg(F.sum("n").alias("_t"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    off = per.select("_p", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    running = ordered.withColumn("_run", F.sum("n").over(inside))
+    return running.join(F.broadcast(off), "_p").select("v", "n", (F.col("_run") + F.col("_off")).alias("last"))
 
-    def q(v, p):
-        if approx_accuracy is None:
-            return F.percentile(v, F.lit(p))
-        return F.percentile_approx(v, p, approx_accuracy).cast("double")
 
+def describe_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """pandas-style describe in long form: one row per column with count, mean, sample std,
+    min, 25/50/75 % and max.
+
+    Quartiles are exact (linear interpolation between the two ranks around (count - 1) p), read off
+    :func:`value_ranks`; count and mean come first, as the ranks asked for depend on the count."""
     parts = []
     for c in cols:
-        v = F.col(c).cast("double")
-        parts.append(
-            df.agg(
-                F.count(v).alias("count"),
-                F.avg(v).alias("mean"),
-                F.stddev_samp(v).alias("std"),
-                F.min(v).alias("min"),
-                q(v, 0.25).alias("p25"),
-                q(v, 0.5).alias("p50"),
-                q(v, 0.75).alias("p75"),
-                F.max(v).alias("max"),
-            ).select(F.lit(c).alias("column"), "*")
-        )
+        ranks = materialize(value_ranks(df, c))
+        total, mean = ranks.agg(F.sum("n"), F.sum(F.col("v") * F.col("n")) / F.sum("n")).first()
+        total = int(total or 0)
+
+        def rank(i: int) -> Column:
+            return F.min(F.when(F.col("last") > i, F.col("v")))
+
+        def quantile(p: float) -> Column:
+            h = max(0, total - 1) * p
+            return rank(int(h)) + (rank(min(int(h) + 1, max(0, total - 1))) - rank(int(h))) * F.lit(h - int(h))
+
+        mu = F.lit(mean).cast("double")
+        spread = F.sqrt(F.try_divide(F.sum(F.col("n") * (F.col("v") - mu) ** 2), F.lit(float(total - 1))))
+        parts.append(ranks.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.max(mu).alias("mean"), spread.alias("std"), F.min("v").alias("min"),
+            quantile(0.25).alias("p25"), quantile(0.5).alias("p50"), quantile(0.75).alias("p75"), F.max("v").alias("max"),
+        ).select(F.lit(c).alias("column"), "*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

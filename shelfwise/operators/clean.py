@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import materialize
+
 # The tag-exclusion pattern of the reference workflow.
 SHELF_TAG_PATTERN = "read|own|buy|default|favou?rit|book|library|wish"
 
@@ -16,11 +18,12 @@ _POS_BITS = 33  # monotonically_increasing_id keeps the partition index above bi
 def dense_ids(df: DataFrame, order_cols: Sequence[str], name: str, start: int = 1) -> DataFrame:
     """Number rows 1..N in the order of ``order_cols`` without a single-partition window.
 
-    The rows are range-sorted across partitions; each partition's row count (one
-    row per partition, a bounded table) gives its offset. ``order_cols`` must be
-    unique so recomputation after a lost executor reproduces the same numbers.
+    The rows are range-sorted across partitions and written once with their place; each
+    partition's row count (one row per partition, a bounded table) gives its offset. Counts and
+    numbers read the same written copy, so they agree whatever the planner shares or prunes, and
+    a lost executor re-reads it. ``order_cols`` should be unique for a reproducible order.
     """
-    ordered = df.orderBy(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
+    ordered = materialize(df.orderBy(*order_cols).withColumn("_mid", F.monotonically_increasing_id()))
     ordered = ordered.withColumn("_pid", F.shiftright("_mid", _POS_BITS)).withColumn(
         "_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1)
     )
@@ -63,12 +66,10 @@ def dedup_keep_max(ratings: DataFrame, keys: Sequence[str] = ("user_id", "book_i
 def group_max_broadcast(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Attach the group maximum to every row (``transform(max)``).
 
-    Written as partial aggregate + equi-join rather than a whole-group window: a hot key is
-    pre-aggregated map-side and AQE can split its join partition, while a window would
-    buffer the whole group in one task.
+    A window on the keys: the input (often itself a join) is read and shuffled once, where an
+    aggregate joined back would read it twice. The window spills a large group to disk.
     """
-    maxima = df.groupBy(*keys).agg(F.max(value).alias(name))
-    return df.join(maxima, list(keys))
+    return df.withColumn(name, F.max(value).over(Window.partitionBy(*keys)))
 
 
 def dedup_keep_max_rows(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -14,32 +14,34 @@ def good_rows(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.col("good") == 1).select("user_id", "book_id")
 
 
-def item_similarity(flagged: DataFrame) -> DataFrame:
+def item_similarity(flagged: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """sim(i, j) = n(users liking i and j) / n(users liking i), diagonal removed (asymmetric).
 
     Output (book_id, other_id, n_both, n_good, sim). Books without a good rating, or without any
-    partner, have no rows.
+    partner, have no rows. ``only``: (book_id) rows; only their rows of the table are formed.
     """
     good = good_rows(flagged)
     diag = good.groupBy("book_id").agg(F.count(F.lit(1)).alias("n_good"))
-    pairs = gram_join(good, "user_id", "book_id", left="book_id", right="other_id").withColumnRenamed("n", "n_both")
+    pairs = gram_join(good, "user_id", "book_id", left="book_id", right="other_id", only_left=only).withColumnRenamed("n", "n_both")
     return pairs.join(diag, "book_id").withColumn("sim", F.col("n_both") / F.col("n_good"))
 
 
 def item_closest(similarity: DataFrame) -> DataFrame:
     """Most similar other item per item: (book_id, closest, sim). Ties go to the lowest id.
 
-    Within one row the denominator is constant, so the argmax is taken on the integer co-count.
+    Within one row the denominator is constant, so the argmax is taken on the integer co-count: first
+    the lowest partner of every (book, count), then the one with the largest count. Both steps are
+    hash aggregates on longs.
     """
-    best = similarity.groupBy("book_id").agg(
-        F.min(F.struct((-F.col("n_both")).alias("neg"), F.col("other_id"))).alias("_b"),
-        F.first("n_good").alias("n_good"),
-    )
-    return best.select(
-        "book_id",
-        F.col("_b.other_id").alias("closest"),
-        (-F.col("_b.neg") / F.col("n_good")).alias("sim"),
-    )
+    best = _argmax(similarity, "book_id", "other_id", "n_both", "n_good")
+    return best.select("book_id", F.col("other_id").alias("closest"), (F.col("n_both") / F.col("n_good")).alias("sim"))
+
+
+def _argmax(df: DataFrame, row: str, col: str, value: str, carry: str) -> DataFrame:
+    """(row, col, value, carry) at the largest value of each row, ties to the lowest col; ``carry`` is
+    constant within a row."""
+    low = df.groupBy(row, value).agg(F.min(col).alias(col), F.max(carry).alias(carry))
+    return low.groupBy(row).agg(F.max_by(col, value).alias(col), F.max(value).alias(value), F.max(carry).alias(carry))
 
 
 def row_neighbors(similarity: DataFrame, book: Column | int, k: int = 5) -> DataFrame:
@@ -90,7 +92,8 @@ def user_compare(ratings: DataFrame, user: Column, other: Column) -> DataFrame:
     return a.join(b, "book_id", "full")
 
 
-def idxmax_per_row(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
-    """Best column and its value per row of a long matrix (ties: lowest column id)."""
-    best = df.groupBy(row).agg(F.min(F.struct((-F.col(value)).alias("neg"), F.col(col))).alias("_b"))
-    return best.select(row, F.col(f"_b.{col}").alias(f"best_{col}"), (-F.col("_b.neg")).alias(f"max_{value}"))
+def idxmax_per_row(df: DataFrame, row: str, col: str, value: str, carry: str) -> DataFrame:
+    """Best column, its value and ``carry`` (constant within a row) per row of a long matrix (ties:
+    lowest column id)."""
+    best = _argmax(df, row, col, value, carry)
+    return best.select(row, F.col(col).alias(f"best_{col}"), F.col(value).alias(f"max_{value}"), carry)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.clean import relevel_ids
 from shelfwise.operators.joins import gram_join
+from shelfwise.session import materialize
 
 
 def covariance_long(book_tag_set: DataFrame, item: str = "tag_id", group: str = "book_id") -> DataFrame:
@@ -74,113 +78,189 @@ def loadings_table(spark: SparkSession, pc: np.ndarray, terms: Sequence[int], n_
     return spark.createDataFrame(rows, "tag_id long, component int, loading double")
 
 
-def svd_randomized(entries: DataFrame, k: int = 10, oversample: int = 10, passes: int = 4, seed: int = 7,
-                   checkpoint: bool = True):
-    """Truncated SVD of the sparse matrix in ``entries`` (row, col, value) by randomised subspace
-    iteration (Halko, Martinsson, Tropp 2011).
-
-    Every product with the matrix is a join on the long table plus one group-by with ``l`` sum
-    aggregates (l = k + oversample; partial aggregation, one shuffle). The only local work is on
-    l x l matrices: Gram matrices, Cholesky factors and one eigen problem. Row and column blocks
-    stay distributed as (id, array<double>) tables; the entries and every product are
-    checkpointed (reliable storage), so each product is computed once and lineage stays short.
-    Returns (U as (row, vec), s as ndarray, V as (col, vec)).
-    """
-    l = k + oversample
+class SvdResult(NamedTuple):
+    """u: (row, vec), s: singular values (descending), v: (col, vec), products: block products made."""
+
+    u: DataFrame
+    s: np.ndarray
+    v: DataFrame
+    products: int
+
+
+def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 150, tol: float = 1e-6,
+               max_products: int = 120, seed: int = 7) -> SvdResult:
+    """The ``k`` leading singular triplets of the sparse matrix in ``entries`` (row, col, value), iterated
+    until ||A^T u - s v|| <= tol * s for each (A v = s u holds by construction). Raises RuntimeError when
+    ``max_products`` block products do not suffice. A matrix of lower rank gives fewer triplets.
+
+    Thick-restart block Krylov on A^T A. The column table holds, per column of A, its row of the
+    orthonormal basis V, of W = A^T A V and of the next block. A product is a join with the entries and
+    one group-by; all else is row-local NumPy, except Gram matrices of at most (2 basis)^2 numbers, which
+    are added up on executors before they reach the driver. When V has ``basis`` columns it shrinks to
+    the leading Ritz vectors, and the next block, orthogonal to all of V, follows on. The table is written
+    once per product, so lineage stays short. Vectors are signed so that the entry of v with the largest
+    magnitude is positive (ties: the smallest column)."""
+    e = materialize(entries.select(F.col("row").cast("long"), F.col("col").cast("long"), F.col("value").cast("double")))
+    names = materialize(e.select("col").distinct())
+    n_col = names.count()
+    block = min(block, n_col)
+    limit = max(basis, 2 * block + k)
+    first = materialize(_gaussian(names, seed, block))
+    turn, width = _whiten(_gram(first, ["vec"]))
+    cols = _rows(first, "col", ["vec"], ["v", "w", "q"], lambda x, t=turn: (x[:, :0], x[:, :0], x @ t))
+    m = 0
+    for done in range(1, max_products + 1):
+        y = materialize(_multiply(e, cols.select("col", F.col("q").alias("vec")), "col", "row", width))
+        w = _multiply(e, y, "row", "col", width).withColumnRenamed("vec", "_w")
+        full = materialize(cols.join(w, "col").select("col", F.concat("v", "q").alias("v"), F.concat("w", "_w").alias("w")))
+        m += width
+        g = _gram(full, ["v", "w"])
+        ritz, z = np.linalg.eigh((g[:m, m:] + g[:m, m:].T) / 2)
+        ritz, z = ritz[::-1], z[:, ::-1]
+        lead, sq = z[:, :k], np.clip(ritz[:k], 0, None)
+        dot = lambda q: np.einsum("ij,ij->j", lead, q @ lead)
+        off = np.sqrt(np.clip(dot(g[m:, m:]) - 2 * sq * dot(g[:m, m:]) + sq**2, 0, None))
+        if m >= min(k, n_col) and (off <= tol * sq + 1e-12 * sq[0]).all():
+            break
+        # the next block: what A^T A made of the last one, orthogonal to V and orthonormal in two passes
+        h1 = g[:m, 2 * m - width :]
+        t1, width = _whiten(g[2 * m - width :, 2 * m - width :] - h1.T @ h1, np.diag(g)[2 * m - width :])
+        if not width:  # V spans all that A^T A reaches
+            break
+        once = lambda v, w, h=h1, t=t1: (w[:, -h.shape[1] :] - v @ h) @ t
+        g2 = _gram(_rows(full, "col", ["v", "w"], ["v", "q"], lambda v, w, f=once: (v, f(v, w))), ["v", "q"])
+        h2 = g2[:m, m:]
+        t2, width = _whiten(g2[m:, m:] - h2.T @ h2, np.diag(g2)[m:])
+        if not width:
+            break
+        keep = z[:, : k + block] if m + width > limit else None
+
+        def advance(v, w, f=once, h=h2, t=t2, z=keep):
+            q = (f(v, w) - v @ h) @ t
+            return (v, w, q) if z is None else (v @ z, w @ z, q)
+
+        cols = _rows(full, "col", ["v", "w"], ["v", "w", "q"], advance)
+        m = m if keep is None else keep.shape[1]
+    else:
+        raise RuntimeError(f"svd: not converged to {tol} in {max_products} block products")
+    some = sq > 1e-20 * max(float(sq[0]), 1e-300)
+    lead, s = lead[:, some], np.sqrt(sq[some])
+    v = materialize(_rows(full, "col", ["v"], ["vec"], lambda v: (v @ lead,)))
+    top = v.select("col", F.posexplode("vec").alias("i", "x")).groupBy("i").agg(
+        F.max(F.struct(F.abs("x").alias("a"), (-F.col("col")).alias("c"), "x")).alias("b")).collect()
+    sign = np.array([np.sign(r["b"]["x"]) or 1.0 for r in sorted(top, key=lambda r: r["i"])])
+    v = materialize(_rows(v, "col", ["vec"], ["vec"], lambda x: (x * sign,)))
+    u = materialize(_rows(_multiply(e, v, "col", "row", len(s)), "row", ["vec"], ["vec"], lambda x: (x / s,)))
+    return SvdResult(u, s, v, done)
+
+
+def svd_certificate(entries: DataFrame, svd: SvdResult) -> DataFrame:
+    """(component, s, res_left, res_right, ortho_u, ortho_v): ||A v - s u|| / s, ||A^T u - s v|| / s and the
+    largest deviation of the component's row of U^T U and V^T V from the identity, all recomputed."""
+    k, scale = len(svd.s), svd.s  # the closures below must not hold the tables
     e = entries.select(F.col("row").cast("long"), F.col("col").cast("long"), F.col("value").cast("double"))
-    if checkpoint:
-        e = e.checkpoint()
-    cols = e.select("col").distinct()
-    z = _det(cols, seed, l)  # deterministic Gaussian test matrix from the column id
-    q = None
-    for it in range(passes + 1):
-        y = _multiply(e, z, "col", "row", l)  # A Z
-        if checkpoint:
-            y = y.checkpoint()
-        q = _orthonormalize(y, "row", l)
-        zt = _multiply(e, q, "row", "col", l)  # A^T Q
-        if checkpoint:
-            zt = zt.checkpoint()
-        z = _orthonormalize(zt, "col", l) if it < passes else zt
-    # B = Q^T A = Z^T; B B^T = Z^T Z (l x l)
-    gz = _gram(z, l)
-    evals, w = np.linalg.eigh(gz)
-    order = np.argsort(evals)[::-1][:k]
-    s = np.sqrt(np.clip(evals[order], 0, None))
-    w = w[:, order]
-    signs = np.sign(w[np.argmax(np.abs(w), axis=0), np.arange(k)])
-    signs[signs == 0] = 1
-    w = w * signs
-    u = _apply(q, w, "row")
-    v = _apply(z, w / np.where(s > 0, s, 1.0), "col")
-    return u, s, v
 
+    def residual(block: DataFrame, key: str, other: DataFrame, out: str) -> np.ndarray:
+        made = _multiply(e, block, key, out, k).withColumnRenamed("vec", "a").join(other, out)
+        diff = _rows(made, out, ["a", "vec"], ["d"], lambda a, x: (a - x * scale,))
+        return np.sqrt(np.clip(np.diag(_gram(diff, ["d"])), 0, None)) / scale
+
+    left, right = residual(svd.v, "col", svd.u, "row"), residual(svd.u, "row", svd.v, "col")
+    off = [np.abs(_gram(x, ["vec"]) - np.eye(k)).max(axis=1) for x in (svd.u, svd.v)]
+    rows = [(i + 1, *(float(c[i]) for c in (scale, left, right, *off))) for i in range(k)]
+    return entries.sparkSession.createDataFrame(
+        rows, "component int, s double, res_left double, res_right double, ortho_u double, ortho_v double")
 
-def _det(df: DataFrame, seed: int, l: int) -> DataFrame:
-    """Replace partition-dependent randn with a hash-seeded normal (Box-Muller on xxhash64)."""
+
+def _gaussian(cols: DataFrame, seed: int, width: int) -> DataFrame:
+    """A hash-seeded normal test matrix (Box-Muller on xxhash64): the same rows on every run."""
     def u01(j, salt):
         h = F.xxhash64(F.col("col"), F.lit(seed), F.lit(j), F.lit(salt))
         return (F.pmod(h, F.lit(1 << 30)).cast("double") + 0.5) / float(1 << 30)
 
-    vals = [F.sqrt(-2.0 * F.log(u01(j, 0))) * F.cos(2 * np.pi * u01(j, 1)) for j in range(l)]
-    return df.select("col", F.array(*vals).alias("vec"))
+    vals = [F.sqrt(-2.0 * F.log(u01(j, 0))) * F.cos(2 * np.pi * u01(j, 1)) for j in range(width)]
+    return cols.select("col", F.array(*vals).alias("vec"))
 
 
-def _multiply(e: DataFrame, block: DataFrame, key: str, out: str, l: int) -> DataFrame:
+def _multiply(e: DataFrame, block: DataFrame, key: str, out: str, width: int) -> DataFrame:
     """(out, vec) = sum over key of value * block[key]: sparse x tall-skinny, one group-by."""
     j = e.join(block, key)
-    sums = [F.sum(F.col("vec")[i] * F.col("value")).alias(f"_{i}") for i in range(l)]
-    return j.groupBy(out).agg(*sums).select(out, F.array(*[F.col(f"_{i}") for i in range(l)]).alias("vec"))
+    sums = [F.sum(F.col("vec")[i] * F.col("value")).alias(f"_{i}") for i in range(width)]
+    return j.groupBy(out).agg(*sums).select(out, F.array(*[F.col(f"_{i}") for i in range(width)]).alias("vec"))
+
+
+def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def _rows(df: DataFrame, key: str, ins: Sequence[str], outs: Sequence[str], fn) -> DataFrame:
+    """Row-local map of array columns: ``fn`` takes one matrix per input column and returns one per output."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                lists = [pa.array(list(x), pa.list_(pa.float64())) for x in fn(*[_matrix(batch, c) for c in ins])]
+                yield pa.RecordBatch.from_arrays([batch.column(key), *lists], [key, *outs])
+
+    return df.select(key, *ins).mapInArrow(run, ", ".join([f"{key} long", *(f"{c} array<double>" for c in outs)]))
+
 
+def _gram(df: DataFrame, names: Sequence[str], gather: int = 8) -> np.ndarray:
+    """X^T X of the array columns side by side. Tasks sum their rows' products, ``gather`` tasks add these
+    up, and so many partial matrices reach the driver."""
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = np.concatenate([_matrix(batch, c) for c in names], axis=1)
+                total = x.T @ x if total is None else total + x.T @ x
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"g": pa.array([total.ravel()], pa.list_(pa.float64()))})
 
-def _gram(block: DataFrame, l: int) -> np.ndarray:
-    """B^T B for a tall (id, vec) block: each task sums its rows' outer products with NumPy
-    (one l x l partial per Arrow batch), Spark adds the partials; only l^2 numbers reach the driver."""
-    def partial(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            yield pd.DataFrame({"g": [(x.T @ x).ravel()]})
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch, "g").sum(axis=0)
+                total = x if total is None else total + x
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"g": pa.array([total], pa.list_(pa.float64()))})
 
-    parts = block.select("vec").mapInPandas(partial, "g array<double>")
-    sums = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).collect()
-    m = np.zeros(l * l)
-    for r in sums:
-        m[int(r["i"])] = float(r["v"])
-    return m.reshape(l, l)
+    parts = df.select(*names).mapInArrow(partial, "g array<double>").repartition(gather).mapInArrow(add, "g array<double>")
+    total = np.sum([np.array(r["g"]) for r in parts.collect()], axis=0)
+    n = math.isqrt(total.size)
+    return total.reshape(n, n)
 
 
-def _apply(block: DataFrame, m: np.ndarray, key: str) -> DataFrame:
-    """block @ m for a small matrix m (l x r), row-local: NumPy per Arrow batch, no shuffle."""
-    mat = np.asarray(m, dtype=np.float64)
+def _whiten(gram: np.ndarray, size: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """T that makes X T orthonormal for X^T X = ``gram``, and its number of columns: directions that are
+    nothing but rounding next to ``size`` (squared lengths before a projection) are left out."""
+    scale = np.sqrt(np.maximum(np.diag(gram) if size is None else size, 1e-300))
+    lam, z = np.linalg.eigh(gram / np.outer(scale, scale))
+    good = lam > 1e-11
+    return (z[:, good] / np.sqrt(lam[good])) / scale[:, None], int(good.sum())
 
-    def mult(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            y = x @ mat
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "vec": list(y)})
 
-    return block.select(key, "vec").mapInPandas(mult, f"{key} long, vec array<double>")
+class AlsFit:
+    """Regularised factorisation of the observed ratings (ALS) with ids of any size.
 
+    Spark's ALS takes 32-bit ids, so users and items are numbered densely first. Spark scales lambda by
+    each user's and item's number of ratings (weighted-lambda regularisation)."""
 
-def _orthonormalize(block: DataFrame, key: str, l: int) -> DataFrame:
-    """Q = Y R^-1 with R from the Cholesky factor of Y^T Y (tall-skinny QR through the Gram)."""
-    g = _gram(block, l)
-    g = g + np.eye(l) * 1e-12 * max(np.trace(g), 1.0)
-    r = np.linalg.cholesky(g).T
-    return _apply(block, np.linalg.inv(r), key)
+    def __init__(self, ratings: DataFrame, rank: int = 10, reg: float = 0.1, seed: int = 7, max_iter: int = 10):
+        self.users = materialize(relevel_ids(ratings, "user_id", "_u"))
+        self.items = materialize(relevel_ids(ratings, "book_id", "_i"))
+        als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="_u", itemCol="_i", ratingCol="rating",
+                  coldStartStrategy="drop", nonnegative=False)
+        self.model = als.fit(self._numbered(ratings))
 
+    def _numbered(self, ratings: DataFrame) -> DataFrame:
+        j = ratings.join(self.users, "user_id").join(self.items, "book_id")
+        return j.withColumns({"_u": F.col("_u").cast("int"), "_i": F.col("_i").cast("int")})
 
-def als_fit(ratings: DataFrame, rank: int = 10, reg: float = 0.1, seed: int = 7, max_iter: int = 10):
-    """Regularised factorisation of the observed ratings (ALS). Spark scales lambda by each
-    user's / item's number of ratings (weighted-lambda regularisation)."""
-    als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="user_id", itemCol="book_id",
-              ratingCol="rating", coldStartStrategy="drop", nonnegative=False)
-    return als.fit(ratings)
+    def predict(self, ratings: DataFrame) -> DataFrame:
+        """The rows with a known user and item, with ``prediction``."""
+        return self.model.transform(self._numbered(ratings)).drop("_u", "_i")
 
 
 __all__ = ["covariance_long", "PcaFit", "variance_table", "select_components", "loadings_table",
-           "svd_randomized", "als_fit", "vector_to_array"]
+           "svd_krylov", "svd_certificate", "SvdResult", "AlsFit", "vector_to_array"]

@@ -40,14 +40,17 @@ def membership_flag(df: DataFrame, keys: DataFrame, col: str, key_col: str | Non
 
 
 def gram_join(df: DataFrame, group_col: str, item_col: str, left: str = "item_a", right: str = "item_b",
-              include_diagonal: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
+              include_diagonal: bool = False, cell_rows: int = CELL_ROWS, only_left: DataFrame | None = None) -> DataFrame:
     """Co-incidence counts ``(left, right, n)`` = number of groups holding both items (A^T A for 0/1 A).
 
     Groups are salted by their size: a group with n rows is split into s = ceil(n / cell_rows)
     buckets and the self-join runs on (group, bucket_a, bucket_b), so a hot group (say a third of
     all rows) spreads over s^2 tasks instead of one. Every pair is still produced exactly once and
-    is counted by a partial (map-side) aggregate before the shuffle on the pair key.
+    is counted by a partial (map-side) aggregate before the shuffle on the pair key. Counts are
+    symmetric, so only pairs with left < right are joined and counted; they are mirrored afterwards.
     Input rows must be distinct per (group, item).
+
+    ``only_left``: (item_col) rows; only pairs whose left item is among them are formed.
     """
     base = df.select(F.col(group_col).alias("_g"), F.col(item_col).alias("_i"))
     sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
@@ -67,10 +70,21 @@ def gram_join(df: DataFrame, group_col: str, item_col: str, left: str = "item_a"
         "_g", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)).alias("_ba"), F.col("_b").alias("_bb"),
         F.col("_i").alias(right),
     )
-    pairs = lhs.join(rhs, ["_g", "_ba", "_bb"])
-    if not include_diagonal:
-        pairs = pairs.where(F.col(left) != F.col(right))
-    return pairs.groupBy(left, right).agg(F.count(F.lit(1)).alias("n"))
+    if only_left is not None:
+        wanted = lhs.join(only_left.select(F.col(item_col).alias(left)).distinct(), left, "left_semi")
+        pairs = wanted.join(rhs, ["_g", "_ba", "_bb"])
+        if not include_diagonal:
+            pairs = pairs.where(F.col(left) != F.col(right))
+        return pairs.groupBy(left, right).agg(F.count(F.lit(1)).alias("n"))
+    upper = lhs.join(rhs, ["_g", "_ba", "_bb"]).where(F.col(left) < F.col(right))
+    counts = upper.groupBy(left, right).agg(F.count(F.lit(1)).alias("n"))
+    # each counted pair in both directions, from one pass over the counts
+    both = F.array(F.struct(F.col(left).alias("_l"), F.col(right).alias("_r")), F.struct(F.col(right).alias("_l"), F.col(left).alias("_r")))
+    out = counts.select(F.explode(both).alias("_p"), "n").select(F.col("_p._l").alias(left), F.col("_p._r").alias(right), "n")
+    if include_diagonal:
+        own = base.groupBy(F.col("_i").alias(left)).agg(F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(own.select(left, F.col(left).alias(right), "n"))
+    return out
 
 
 def pair_cost_preview(df: DataFrame, group_col: str, top: int = 5, cell_rows: int = CELL_ROWS) -> DataFrame:

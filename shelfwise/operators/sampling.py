@@ -13,17 +13,22 @@ def pick_user(per_user: DataFrame, min_ratings: int = 50, seed: int | None = Non
     heavy = per_user.where(F.col("ratings") > min_ratings)
     if seed is None:
         return heavy.orderBy("user_id").limit(1)
-    return heavy.orderBy(F.xxhash64("user_id", F.lit(seed)), "user_id").limit(1)
+    return heavy.orderBy(hash_u32("user_id", seed), "user_id").limit(1)
 
 
-def hash_split(df: DataFrame, key: str | Column, test_fraction: float = 0.2, name: str = "is_test") -> DataFrame:
-    """Deterministic train/test flag from a hash of the key (the same on every engine and run)."""
-    return df.withColumn(name, hash_u32(key) < F.lit(int(test_fraction * U32)))
+# Seeds of the split and of the folds: different, so that folds of the training rows stay even.
+SPLIT_SEED, FOLD_SEED = 11, 23
 
 
-def kfold_assign(df: DataFrame, key: str | Column, folds: int = 5, name: str = "fold") -> DataFrame:
-    """Fold number 0..folds-1 from the key hash, for ``CrossValidator(foldCol=...)``."""
-    return df.withColumn(name, F.floor(hash_u32(key) * folds / F.lit(U32)).cast("int"))
+def hash_split(df: DataFrame, key: str | Column, test_fraction: float = 0.2, name: str = "is_test",
+               seed: int = SPLIT_SEED) -> DataFrame:
+    """Deterministic train/test flag from a seeded hash of the key (the same on every engine and run)."""
+    return df.withColumn(name, hash_u32(key, seed) < F.lit(int(test_fraction * U32)))
+
+
+def kfold_assign(df: DataFrame, key: str | Column, folds: int = 5, name: str = "fold", seed: int = FOLD_SEED) -> DataFrame:
+    """Fold number 0..folds-1 from a seeded key hash, for ``CrossValidator(foldCol=...)``."""
+    return df.withColumn(name, F.floor(hash_u32(key, seed) * folds / F.lit(U32)).cast("int"))
 
 
 def class_sizes(df: DataFrame, label: str) -> DataFrame:
@@ -38,19 +43,37 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     return sizes.withColumn(name, n / (k * F.col("n_class")))
 
 
+def _with_sizes(df: DataFrame, label: str) -> DataFrame:
+    """Rows with the size of their class, from an aggregate joined back (AQE broadcasts it when small)."""
+    return df.join(class_sizes(df, label), label)
+
+
+def _thin(rows: DataFrame, target: Column, hashed: Column) -> DataFrame:
+    """Each row of a class stays when its u32 hash < target / class size * 2^32 (deterministic Bernoulli)."""
+    return rows.where(hashed < F.floor(target / F.col("n_class") * F.lit(float(U32))))
+
+
+def _repeat(rows: DataFrame, target: Column) -> DataFrame:
+    """Each row of a class stands round(target / class size) times."""
+    reps = F.round(target / F.col("n_class")).cast("int")
+    return rows.withColumn("_rep", F.explode(F.sequence(F.lit(1), reps))).drop("_rep")
+
+
 def undersample(df: DataFrame, label: str, hashed: Column) -> DataFrame:
-    """Keep each row of class c when its u32 hash < n_min / n_c * 2^32 (deterministic Bernoulli)."""
-    sizes = class_sizes(df, label)  # one row per class: small
-    n_min = sizes.agg(F.min("n_class")).scalar()
-    j = df.join(F.broadcast(sizes), label)
-    keep = hashed < F.floor(n_min / F.col("n_class") * F.lit(float(U32)))
-    return j.where(keep).drop("n_class")
+    """Every class is thinned to the size of the smallest one."""
+    n_min = class_sizes(df, label).agg(F.min("n_class")).scalar()
+    return _thin(_with_sizes(df, label), n_min, hashed).drop("n_class")
 
 
 def oversample(df: DataFrame, label: str) -> DataFrame:
-    """Repeat each row of class c round(n_max / n_c) times."""
-    sizes = class_sizes(df, label)
-    n_max = sizes.agg(F.max("n_class")).scalar()
-    j = df.join(F.broadcast(sizes), label)
-    reps = F.round(n_max / F.col("n_class")).cast("int")
-    return j.withColumn("_rep", F.explode(F.sequence(F.lit(1), reps))).drop("_rep", "n_class")
+    """Rows of every class are repeated to about the size of the largest one."""
+    n_max = class_sizes(df, label).agg(F.max("n_class")).scalar()
+    return _repeat(_with_sizes(df, label), n_max).drop("n_class")
+
+
+def hybrid_sample(df: DataFrame, label: str, hashed: Column) -> DataFrame:
+    """Classes meet at the mean class size: larger ones are thinned to it, smaller ones repeated."""
+    mean = class_sizes(df, label).agg(F.avg("n_class")).scalar()
+    rows = _with_sizes(df, label)
+    large = _thin(rows.where(F.col("n_class") >= mean), mean, hashed)
+    return large.unionByName(_repeat(rows.where(F.col("n_class") < mean), mean)).drop("n_class")

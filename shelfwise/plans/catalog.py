@@ -15,6 +15,7 @@ from shelfwise.operators import aggregates as agg
 from shelfwise.operators import clean, collab, joins, topk
 from shelfwise.plans import features as feat
 from shelfwise.plans.oracle_sql import with_fixtures
+from shelfwise.session import delete_path, materialize, scratch_path
 from shelfwise.sources.fixtures import Tables, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +41,11 @@ def flagged(t: Tables) -> DataFrame:
     return clean.flag_good(clean_ratings(t))
 
 
+def written_flags(t: Tables) -> DataFrame:
+    """``flagged``, written once per query for plans that read it several times."""
+    return t.memo("flagged", lambda: materialize(flagged(t)))
+
+
 def norm_tags(t: Tables) -> DataFrame:
     return feat.book_tags_norm(t.book_tags(), t.books())
 
@@ -53,15 +59,26 @@ def long_tags(t: Tables) -> DataFrame:
 
 
 def chosen_user(t: Tables) -> Column:
-    """Smallest user id with more than 50 (raw) ratings, as a scalar subquery."""
-    heavy = t.ratings().groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 50)
-    return heavy.agg(F.min("user_id")).scalar()
+    """Smallest user id with more than 50 (raw) ratings, found once per query."""
+    def build():
+        heavy = t.ratings().groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 50)
+        return heavy.agg(F.min("user_id")).first()[0]
+
+    return F.lit(t.memo("chosen_user", build)).cast("long")
 
 
 def peer_user(t: Tables) -> Column:
-    """The user sharing most good books with the chosen one (ties: lowest id)."""
-    sim = collab.user_similarity(flagged(t), chosen_user(t))
-    return sim.agg(F.min(F.struct((-F.col("n_common")).alias("neg"), F.col("other_user"))).alias("b")).select("b.other_user").scalar()
+    """The user sharing most good books with the chosen one (ties: lowest id), found once per query."""
+    def build():
+        best = topk.top_n(collab.user_similarity(written_flags(t), chosen_user(t)), [F.desc("n_common"), F.asc("other_user")], 1)
+        row = best.first()
+        return row["other_user"] if row else None
+
+    return F.lit(t.memo("peer_user", build)).cast("long")
+
+
+def _compared(t: Tables) -> DataFrame:
+    return collab.user_compare(written_flags(t), chosen_user(t), peer_user(t))
 
 
 def r6(c) -> Column:
@@ -161,9 +178,7 @@ where c.user_id = (select other_user from (select g2.user_id as other_user, coun
         group by g2.user_id order by n desc, other_user limit 1) p)
   and c.book_id not in (select book_id from fx_mine)""")
 def where_null(spark, sf):
-    t = tables(spark, sf)
-    cmp = collab.user_compare(clean_ratings(t), chosen_user(t), peer_user(t))
-    return cmp.where(F.col("rating_x").isNull()).select("book_id", "rating_y")
+    return _compared(tables(spark, sf)).where(F.col("rating_x").isNull()).select("book_id", "rating_y")
 
 
 @q("drop_null", """select m.book_id, m.rating as rating_x, c.rating as rating_y from fx_mine m join fx_clean c on c.book_id = m.book_id
@@ -171,8 +186,7 @@ where c.user_id = (select other_user from (select g2.user_id as other_user, coun
         on g1.book_id = g2.book_id and g2.user_id <> g1.user_id where g1.user_id = (select user_id from fx_user)
         group by g2.user_id order by n desc, other_user limit 1) p)""")
 def drop_null(spark, sf):
-    t = tables(spark, sf)
-    return collab.user_compare(clean_ratings(t), chosen_user(t), peer_user(t)).dropna()
+    return _compared(tables(spark, sf)).dropna()
 
 
 @q("scale_by_scalar", """select rating, count(*) as n, round(count(*) / (select count(*) from fx_clean), 6) as share
@@ -262,8 +276,7 @@ from (select book_id, rating from fx_mine) a full join (select book_id, rating f
         on g1.book_id = g2.book_id and g2.user_id <> g1.user_id where g1.user_id = (select user_id from fx_user)
         group by g2.user_id order by n desc, other_user limit 1) p)) b on a.book_id = b.book_id""")
 def join_ratings_outer(spark, sf):
-    t = tables(spark, sf)
-    return collab.user_compare(clean_ratings(t), chosen_user(t), peer_user(t))
+    return _compared(tables(spark, sf))
 
 
 @q("semi_join", "select id, title from fx_books where id in (select book_id from fx_mine)")
@@ -407,11 +420,10 @@ def tag_share(spark, sf):
         on a.user_id = b.user_id and a.book_id <> b.book_id group by 1, 2) p
   join (select book_id, count(*) as n_good from fx_good group by book_id) d on d.book_id = p.book_id) x where rn = 1""")
 def idxmax_per_row(spark, sf):
-    sim = collab.item_similarity(flagged(tables(spark, sf)))
-    out = collab.idxmax_per_row(sim.select("book_id", "other_id", F.col("n_both")), "book_id", "other_id", "n_both")
     # the argmax over the integer co-count equals the argmax of sim within a row
-    out = out.join(sim.select("book_id", "other_id", "sim").withColumnRenamed("other_id", "best_other_id"), ["book_id", "best_other_id"])
-    return out.select("book_id", "best_other_id", r6("sim").alias("max_sim"))
+    sim = collab.item_similarity(flagged(tables(spark, sf)))
+    out = collab.idxmax_per_row(sim, "book_id", "other_id", "n_both", "n_good")
+    return out.select("book_id", "best_other_id", r6(F.col("max_n_both") / F.col("n_good")).alias("max_sim"))
 
 
 @q("label_counts", "select label, count(*) as n from embeddings group by label")
@@ -428,23 +440,16 @@ def histogram_equal_width(spark, sf):
     return out.withColumns({"bin": F.col("bin").cast("long"), "lo": r6("lo"), "hi": r6("hi")})
 
 
-@q("pivot_tag_matrix", """with r as (select tag_id, row_number() over (order by tag_id) as pos from fx_kept)
-select s.book_id, """ + ", ".join(
-    f"max(case when r.pos = {i} then 1 else 0 end) as t{i:02d}" for i in range(1, 11)
-) + """ from fx_set s join r on r.tag_id = s.tag_id group by s.book_id""")
+@q("pivot_tag_matrix", """select b.book_id, k.tag_id, cast(s.book_id is not null as integer) as value
+from (select distinct book_id from fx_set) b cross join fx_kept k left join fx_set s on s.book_id = b.book_id and s.tag_id = k.tag_id""")
 def pivot_tag_matrix(spark, sf):
+    """The wide 0/1 matrix over every kept tag, folded back to (book_id, tag_id, value) with its zeros."""
     t = tables(spark, sf)
-    k = kept(t)
-    ranked = k.select("tag_id").withColumn("pos", F.row_number().over(_by("tag_id")))  # <= 60 rows
-    lt = long_tags(t).join(F.broadcast(ranked), "tag_id")
-    wide = agg.pivot_tag_matrix(lt, list(range(1, 11)), [f"t{i:02d}" for i in range(1, 11)], pivot_col="pos")
-    return wide
-
-
-def _by(col):
-    from pyspark.sql import Window
-
-    return Window.orderBy(col)
+    nt = materialize(norm_tags(t))
+    ids = [tid for tid, _ in feat.resolve_kept(feat.kept_tags(nt, t.tags()))]
+    wide = agg.pivot_tag_matrix(nt.where(F.col("tag_id").isin(ids)), ids)
+    cells = F.array(*[F.struct(F.lit(i).cast("long").alias("tag_id"), F.col(f"`{i}`").alias("value")) for i in ids])
+    return wide.select("book_id", F.inline(cells))
 
 
 @q("multi_hot_vectors", """with r as (select tag_id, row_number() over (order by tag_id) - 1 as pos from fx_kept)
@@ -509,7 +514,9 @@ def slice_first_n(spark, sf):
   join (select book_id, count(*) as n_good from fx_good group by book_id) d on d.book_id = p.book_id
 order by p.n_both desc, p.other_id limit 5""")
 def row_neighbors(spark, sf):
-    sim = collab.item_similarity(flagged(tables(spark, sf)))
+    t = tables(spark, sf)
+    one = t.books().where(F.col("id") == 1428).select(F.col("id").alias("book_id"))
+    sim = collab.item_similarity(flagged(t), only=one)
     return collab.row_neighbors(sim, 1428, 5).withColumn("sim", r6("sim"))
 
 
@@ -557,9 +564,11 @@ def join_add_names(spark, sf):
 join (""" + _CLOSEST_SQL + """) c on c.book_id = m.book_id""")
 def ibcf_recommend(spark, sf):
     t = tables(spark, sf)
-    fl = flagged(t)
-    closest = collab.item_closest(collab.item_similarity(fl))
-    return collab.ibcf_recommend(fl, closest, chosen_user(t)).withColumn("sim", r6("sim"))
+    fl = written_flags(t)
+    user = chosen_user(t)
+    mine = fl.where((F.col("user_id") == user) & (F.col("good") == 1)).select("book_id")
+    closest = collab.item_closest(collab.item_similarity(fl, only=mine))
+    return collab.ibcf_recommend(fl, closest, user).withColumn("sim", r6("sim"))
 
 
 # ---------------------------------------------------------------- 2.15 re-aimed
@@ -577,7 +586,6 @@ def pair_cost_preview(spark, sf):
 from shelfwise.functions import vectors as vec  # noqa: E402
 from shelfwise.functions.hashing import hash_pair_u32, hash_sql  # noqa: E402
 from shelfwise.operators import metrics, sampling  # noqa: E402
-from shelfwise.session import materialize, scratch_path  # noqa: E402
 from shelfwise.sources import files  # noqa: E402
 
 
@@ -585,15 +593,20 @@ from shelfwise.sources import files  # noqa: E402
 def scan_csv(spark, sf):
     """Land the ratings as header CSV in the shared folder, read back with the declared schema."""
     path = files.write_csv(tables(spark, sf).ratings(), scratch_path(spark, "ratings_csv"))
-    return files.read_csv(spark, path, files.RATINGS_SCHEMA)
+    out = materialize(files.read_csv(spark, path, files.RATINGS_SCHEMA))
+    delete_path(spark, path)
+    return out
 
 
 @q("scan_json_records", """select cast(goodreads_book_id as bigint) as goodreads_book_id, cast(tag_id as bigint) as tag_id, cnt
 from fx_book_tags""")
 def scan_json_records(spark, sf):
-    """Land book_tags (string ids) as JSON records, read back with string ids and cast them."""
-    path = files.write_json(tables(spark, sf).book_tags(), scratch_path(spark, "book_tags_json"))
-    return files.read_json_records(spark, path)
+    """Land book_tags (string ids, field ``count``) as JSON arrays, read back with string ids and cast them."""
+    rows = tables(spark, sf).book_tags().withColumnRenamed("cnt", "count")
+    path = files.write_json_arrays(rows, scratch_path(spark, "book_tags_json"))
+    out = materialize(files.read_json_records(spark, path))
+    delete_path(spark, path)
+    return out
 
 
 # ---------------------------------------------------------------- 2.9 sampling and splitting
@@ -603,19 +616,26 @@ def pick_user(spark, sf):
     return sampling.pick_user(per_user, 50)
 
 
+@q("pick_user_seeded", f"""select user_id, ratings from (select user_id, count(*) as ratings from fx_ratings group by user_id having count(*) > 50) u
+order by {hash_sql('user_id', 5)}, user_id limit 1""")
+def pick_user_seeded(spark, sf):
+    per_user = tables(spark, sf).ratings().groupBy("user_id").agg(F.count(F.lit(1)).alias("ratings"))
+    return sampling.pick_user(per_user, 50, seed=5)
+
+
 @q("user_ratings", "select user_id, book_id, rating, good from fx_mine")
 def user_ratings(spark, sf):
     t = tables(spark, sf)
     return flagged(t).where(F.col("user_id") == chosen_user(t))
 
 
-@q("train_test_split", f"select book_id, good, {hash_sql('book_id')} < 858993459 as is_test from fx_mine")
+@q("train_test_split", f"select book_id, good, {hash_sql('book_id', sampling.SPLIT_SEED)} < 858993459 as is_test from fx_mine")
 def train_test_split(spark, sf):
     mine = user_ratings(spark, sf).select("book_id", "good")
     return sampling.hash_split(mine, "book_id", 0.2)
 
 
-@q("kfold_assign", f"select user_id, book_id, cast(floor({hash_sql('book_id')} * 5 / 4294967296) as integer) as fold from fx_clean")
+@q("kfold_assign", f"select user_id, book_id, cast(floor({hash_sql('book_id', sampling.FOLD_SEED)} * 5 / 4294967296) as integer) as fold from fx_clean")
 def kfold_assign(spark, sf):
     return sampling.kfold_assign(clean_ratings(tables(spark, sf)).select("user_id", "book_id"), "book_id", 5)
 
@@ -628,6 +648,11 @@ select 'under' as method, f.good, count(*) as n from fx_flag f join s on s.good
 where {_PAIR_HASH} < floor((select min(n_class) from s) / s.n_class * 4294967296.0) group by f.good
 union all
 select 'over' as method, f.good, cast(sum(cast(round((select max(n_class) from s) / s.n_class) as integer)) as bigint) as n
+from fx_flag f join s on s.good = f.good group by f.good
+union all
+select 'hybrid' as method, f.good, cast(sum(case when s.n_class >= (select avg(n_class) from s)
+    then case when {_PAIR_HASH} < floor((select avg(n_class) from s) / s.n_class * 4294967296.0) then 1 else 0 end
+    else cast(round((select avg(n_class) from s) / s.n_class) as integer) end) as bigint) as n
 from fx_flag f join s on s.good = f.good group by f.good""")
 def resample_classes(spark, sf):
     fl = flagged(tables(spark, sf))
@@ -635,7 +660,9 @@ def resample_classes(spark, sf):
     over = sampling.oversample(fl, "good")
     cu = under.groupBy("good").agg(F.count(F.lit(1)).alias("n")).select(F.lit("under").alias("method"), "good", "n")
     co = over.groupBy("good").agg(F.count(F.lit(1)).alias("n")).select(F.lit("over").alias("method"), "good", "n")
-    return cu.unionByName(co)
+    hybrid = sampling.hybrid_sample(fl, "good", hash_pair_u32("user_id", "book_id"))
+    ch = hybrid.groupBy("good").agg(F.count(F.lit(1)).alias("n")).select(F.lit("hybrid").alias("method"), "good", "n")
+    return cu.unionByName(co).unionByName(ch)
 
 
 @q("class_weights", """select good, count(*) as n_class, round((select count(*) from fx_flag) / (2 * count(*)), 6) as weight
@@ -822,8 +849,7 @@ def ubcf_recommend(spark, sf):
 where c.user_id = {_PEER_SQL} and c.rating = 5 and c.book_id not in (select book_id from fx_mine)""")
 def user_compare(spark, sf):
     t = tables(spark, sf)
-    cmp = collab.user_compare(clean_ratings(t), chosen_user(t), peer_user(t))
-    pred = cmp.where(F.col("rating_x").isNull() & (F.col("rating_y") == 5))
+    pred = _compared(t).where(F.col("rating_x").isNull() & (F.col("rating_y") == 5))
     titles = t.books().select(F.col("id").alias("book_id"), "title")
     return pred.join(titles, "book_id").select("book_id", "title", "rating_y")
 
@@ -935,7 +961,7 @@ def _user_split(t: Tables):
 
 
 _SPLIT_CTES = f"""nbk as (select book_id, count(*) as n from fx_set group by book_id),
-sp as (select book_id, good, {hash_sql('book_id')} < 858993459 as is_test from fx_mine),
+sp as (select book_id, good, {hash_sql('book_id', sampling.SPLIT_SEED)} < 858993459 as is_test from fx_mine),
 tr as (select book_id, good from sp where not is_test), te as (select book_id, good from sp where is_test),
 ov as (select x.book_id as qid, y.book_id as tid, count(*) as n_ab from fx_set x join fx_set y on y.tag_id = x.tag_id group by 1, 2),
 pairs as (select q.book_id as qid, q.good as y, t.book_id as tid, t.good as label,
@@ -982,7 +1008,7 @@ def _emb_split(t: Tables):
 
 _EMB_KNN = f"""el as (select vec_id, label, unnest(generate_series(0, len(embedding) - 1)) as dim,
                  cast(unnest(embedding) as double) as value from embeddings),
-es as (select vec_id, label, {hash_sql('vec_id')} < 858993459 as is_test from embeddings),
+es as (select vec_id, label, {hash_sql('vec_id', sampling.SPLIT_SEED)} < 858993459 as is_test from embeddings),
 d as (select a.vec_id as qid, b.vec_id as tid, sum(power(a.value - b.value, 2)) as d2
       from el a join el b on b.dim = a.dim
       where a.vec_id in (select vec_id from es where is_test) and b.vec_id in (select vec_id from es where not is_test)
@@ -1200,10 +1226,7 @@ from shelfwise.operators import cluster as clu  # noqa: E402
 
 KMEANS_K = 3
 SVD_K = 10
-# oversampling and power passes of the randomised SVD: on the uniform-noise fixture (no spectral
-# gap) this keeps every one of the 10 singular values within 1 % of the exact ones
-SVD_OVERSAMPLE = 30
-SVD_PASSES = 8
+SVD_TOL = 1e-6
 
 
 @q("kmeans_fit")
@@ -1259,26 +1282,45 @@ def scale_features(spark, sf):
     return j.select("vec_id", "dim", r6(F.try_divide(F.col("value") - F.col("_m"), F.col("_s"))).alias("z"))
 
 
-def _svd(t: Tables):
-    good = collab.good_rows(flagged(t))
-    entries = good.select(F.col("user_id").alias("row"), F.col("book_id").alias("col"), F.lit(1.0).alias("value"))
-    return dec.svd_randomized(entries, SVD_K, SVD_OVERSAMPLE, SVD_PASSES)
+def _entries(t: Tables) -> DataFrame:
+    good = collab.good_rows(written_flags(t))
+    return good.select(F.col("user_id").alias("row"), F.col("book_id").alias("col"), F.lit(1.0).alias("value"))
+
+
+def _svd(t: Tables) -> dec.SvdResult:
+    return t.memo("svd", lambda: dec.svd_krylov(_entries(t), SVD_K, tol=SVD_TOL))
 
 
 @q("svd_fit")
 def svd_fit(spark, sf):
     """Truncated SVD (10 factors) of the user x book good matrix: singular values, descending."""
-    _, s, _ = _svd(tables(spark, sf))
+    s = _svd(tables(spark, sf)).s
     return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(s)], "component int, singular_value double")
 
 
+@q("svd_certificate", """select cast(unnest(range(1, 11)) as integer) as component, true as left_ok, true as right_ok,
+  true as u_orthonormal, true as v_orthonormal, true as descending""")
+def svd_certificate(spark, sf):
+    """Per component: A v = s u and A^T u = s v to 1e-6 s, U and V orthonormal, values descending."""
+    t = tables(spark, sf)
+    c = dec.svd_certificate(_entries(t), _svd(t))
+    s = [float(x) for x in _svd(t).s]
+    below = F.array(*[F.lit(x) for x in [*s[1:], 0.0]])
+    return c.select("component", (F.col("res_left") <= SVD_TOL).alias("left_ok"), (F.col("res_right") <= SVD_TOL).alias("right_ok"),
+                    (F.col("ortho_u") <= 1e-9).alias("u_orthonormal"), (F.col("ortho_v") <= 1e-9).alias("v_orthonormal"),
+                    (F.col("s") >= F.get(below, F.col("component") - 1)).alias("descending"))
+
+
 @q("latent_nearest_user")
 def latent_nearest_user(spark, sf):
     """The five users nearest to the chosen user in the SVD user factors U (users without good
     rows sit at the origin)."""
-    t = tables(spark, sf)
-    fl = flagged(t)
-    u, _, _ = _svd(t)
+    return latent_nearest_user_of(tables(spark, sf))
+
+
+def latent_nearest_user_of(t: Tables) -> DataFrame:
+    fl = written_flags(t)
+    u = _svd(t).u
     users = clean.id_spine(fl, "user_id")
     zero = F.array_repeat(F.lit(0.0), SVD_K)
     uu = users.join(u.withColumnRenamed("row", "user_id"), "user_id", "left").select(
@@ -1291,12 +1333,44 @@ def latent_nearest_user(spark, sf):
     return topk.top_n(d, [F.asc("dist"), F.asc("user_id")], 5)
 
 
+def _latent_compared(t: Tables) -> DataFrame:
+    """The chosen user's ratings beside those of the nearest user in the latent factors."""
+    def build():
+        row = latent_nearest_user_of(t).first()
+        return row["user_id"] if row else None
+
+    other = F.lit(t.memo("latent_peer", build)).cast("long")
+    return collab.user_compare(written_flags(t), chosen_user(t), other)
+
+
+@q("svd_recommend")
+def svd_recommend(spark, sf):
+    """Books the latent neighbour rated 5 and the chosen user has not rated, with titles."""
+    t = tables(spark, sf)
+    pred = _latent_compared(t).where(F.col("rating_x").isNull() & (F.col("rating_y") == 5))
+    return pred.join(t.books().select(F.col("id").alias("book_id"), "title"), "book_id").select("book_id", "title", "rating_y")
+
+
+@q("svd_user_rmse")
+def svd_user_rmse(spark, sf):
+    """RMSE between the two users over the books both rated (NULL when there is none), and their number."""
+    both = _latent_compared(tables(spark, sf)).dropna()
+    return metrics.rmse(both, "rating_x", "rating_y").select("rmse", both.agg(F.count(F.lit(1))).scalar().alias("n_both"))
+
+
+@q("own_fives", """select m.book_id, b.title, m.rating from fx_mine m join fx_books b on b.id = m.book_id where m.rating = 5""")
+def own_fives(spark, sf):
+    """The chosen user's own books rated 5, with titles."""
+    t = tables(spark, sf)
+    mine = flagged(t).where((F.col("user_id") == chosen_user(t)) & (F.col("rating") == 5))
+    return mine.join(t.books().select(F.col("id").alias("book_id"), "title"), "book_id").select("book_id", "title", "rating")
+
+
 @q("factorize_ratings")
 def factorize_ratings(spark, sf):
     """ALS factorisation of the observed ratings: train RMSE against the global-mean baseline."""
-    c = clean_ratings(tables(spark, sf))
-    model = dec.als_fit(c)
-    pred = model.transform(c)
+    c = materialize(clean_ratings(tables(spark, sf)))
+    pred = dec.AlsFit(c).predict(c)
     als_rmse = metrics.rmse(pred, "prediction", "rating").withColumnRenamed("rmse", "rmse_als")
     mean = c.agg(F.avg("rating")).scalar()
     base = metrics.rmse(c.withColumn("m", mean), "m", "rating").withColumnRenamed("rmse", "rmse_mean")
@@ -1351,8 +1425,7 @@ def svd_energy(spark, sf):
     """Certificate of the truncated SVD: the squared Frobenius norm of the good matrix and
     sum s^2 <= that norm (the 10 factors never capture more energy than the matrix holds)."""
     t = tables(spark, sf)
-    _, s, _ = _svd(t)
-    captured = float((s ** 2).sum())
-    good = collab.good_rows(flagged(t))
+    captured = float((_svd(t).s ** 2).sum())
+    good = collab.good_rows(written_flags(t))
     fro = good.agg(F.count(F.lit(1)).alias("frobenius_sq"))
     return fro.select("frobenius_sq", (F.lit(captured) <= F.col("frobenius_sq") * (1 + 1e-9)).alias("captured_within_total"))

@@ -42,7 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        configured = tempfile.mkdtemp(prefix="shelfwise-ckpt-")  # one machine: tests and the bench
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -71,6 +73,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, wherever Spark's file systems keep it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df):
     """Write ``df`` to the shared checkpoint folder and continue from the written copy.
 

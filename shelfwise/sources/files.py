@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators.clean import cast_ids
@@ -25,13 +26,25 @@ TO_READ_SCHEMA = T.StructType([
 BOOK_TAGS_JSON_SCHEMA = T.StructType([
     T.StructField("goodreads_book_id", T.StringType(), True),
     T.StructField("tag_id", T.StringType(), True),
-    T.StructField("cnt", T.LongType(), True),
+    T.StructField("count", T.LongType(), True),
 ])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """Header CSV with a declared schema; malformed rows fail the job (mode FAILFAST)."""
-    return spark.read.schema(schema).option("header", header).option("mode", "FAILFAST").csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Header CSV with a declared schema. Columns are taken by their header name, in any order, and cast
+    strictly; a header without a declared column raises ValueError, a malformed value or an empty
+    field of a non-nullable column fails the job. Columns that are not declared are not read."""
+    raw = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    missing = [f.name for f in schema if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    return raw.select(*[_required(F.col(f.name).cast(f.dataType), f) for f in schema])
+
+
+def _required(value: Column, field: T.StructField) -> Column:
+    if not field.nullable:
+        value = F.coalesce(value, F.raise_error(F.lit(f"missing value of {field.name}")).cast(field.dataType))
+    return value.alias(field.name)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -40,13 +53,23 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType = BOOK_TAGS_JSON_SCHEMA,
-                      multi_line: bool = False, cast_cols: tuple[str, ...] = ("goodreads_book_id", "tag_id")) -> DataFrame:
-    """JSON records (one object per line, or ``multi_line=True`` for files holding a JSON array)
-    read with string ids, then strictly cast to long."""
+                      multi_line: bool = False, cast_cols: tuple[str, ...] = ("goodreads_book_id", "tag_id"),
+                      rename: dict[str, str] | None = None) -> DataFrame:
+    """JSON records read with string ids, which are then strictly cast to long; a record that lacks a
+    declared field fails the job. ``rename`` maps field names to column names (default: count to cnt).
+
+    A line holds one object or an array of objects, so a file of many lines is read in parallel;
+    ``multi_line=True`` is for a file that spreads its array over lines and is read by one task."""
     df = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    need = [_required(F.col(f"`{f.name}`"), T.StructField(f.name, f.dataType, False)) for f in schema]
+    df = df.select(*need).withColumnsRenamed({"count": "cnt"} if rename is None else rename)
     return cast_ids(df, list(cast_cols)) if cast_cols else df
 
 
-def write_json(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").json(path)
+def write_json_arrays(df: DataFrame, path: str, rows_per_array: int = 1000) -> str:
+    """Land rows as JSON arrays, one array of about ``rows_per_array`` objects a line."""
+    n = df.count()
+    chunk = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, -(-n // rows_per_array))))
+    arrays = df.groupBy(chunk.alias("_chunk")).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.select("value").write.mode("overwrite").text(path)
     return path

@@ -67,8 +67,11 @@ class Tables:
 
     # tags(tag_id dense by name, tag_name)
     def tags(self) -> DataFrame:
-        names = self.part_tags().select("tag_name").distinct()
-        return dense_ids(names, ["tag_name"], "tag_id").select("tag_id", "tag_name")
+        def build():
+            names = self.part_tags().select("tag_name").distinct()
+            return dense_ids(names, ["tag_name"], "tag_id").select("tag_id", "tag_name")
+
+        return self.memo("tags", build)
 
     # book_tags(goodreads_book_id string, tag_id string, cnt); every 50th book dangles
     def book_tags(self) -> DataFrame:

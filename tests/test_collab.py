@@ -4,6 +4,7 @@ from itertools import permutations
 from pyspark.sql import functions as F
 
 from shelfwise.operators import collab, joins
+from shelfwise.operators import clean
 from shelfwise.operators.clean import dense_ids
 
 
@@ -61,3 +62,21 @@ def test_pair_cost_preview_counts_pairs(spark):
     out = joins.pair_cost_preview(df, "user_id", 5).orderBy("user_id").collect()
     assert [(r["user_id"], r["n_pairs"]) for r in out] == [(1, 20), (2, 2)]
     assert out[0]["total_pairs"] == 22
+
+
+def test_dense_ids_with_a_payload_at_scale(spark, tmp_path):
+    """Checked from written output, with and without shared exchanges."""
+    n = 3_000_000
+    df = spark.range(0, n, numPartitions=16).select((F.col("id") * 7919 % 3_000_017).alias("k"), F.col("id").alias("payload"))
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            clean.dense_ids(df, ["k"], "dense").write.parquet(str(tmp_path / reuse))
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        out = spark.read.parquet(str(tmp_path / reuse))
+        r = out.agg(F.count(F.lit(1)), F.count_distinct("dense"), F.min("dense"), F.max("dense"), F.count_distinct("payload")).first()
+        assert tuple(r) == (n, n, 1, n, n)
+        # the numbers follow the order of the key
+        low = out.where("dense <= 100000").agg(F.max("k")).first()[0]
+        assert low < out.where("dense > 100000").agg(F.min("k")).first()[0]

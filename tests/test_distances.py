@@ -6,35 +6,31 @@ from pyspark.sql import functions as F
 from shelfwise.functions import vectors as vec
 
 
-def _pair():
-    one = np.zeros(69)
-    one[:17] = 1
-    two = np.zeros(69)
-    two[9:26] = 1
-    return one, two
-
-
-def test_hand_made_pair_dense(spark):
-    one, two = _pair()
-    df = spark.createDataFrame([(one.tolist(), two.tolist())], "a array<double>, b array<double>")
-    r = df.select(
-        vec.sq_euclidean("a", "b").alias("e2"),
-        vec.euclidean_limit("a", "b").alias("lim"),
-        vec.cosine_distance("a", "b").alias("cos"),
-        vec.hamming("a", "b").alias("ham"),
-        vec.manhattan("a", "b").alias("man"),
-    ).first()
-    assert r["e2"] == 18.0
-    assert math.isclose(r["lim"] ** 2, 34.0)
-    assert math.isclose(r["cos"], 9 / 17)
-    assert r["ham"] == 18 and r["man"] == 18.0
-
-
-def test_hand_made_pair_multihot_long_form(spark):
-    df = spark.createDataFrame([(17, 17, 8)], "n_a int, n_b int, n_ab int")
+# two books over 12 tags, given by the positions of their ones
+LEFT, RIGHT, WIDTH = {0, 2, 3, 7, 8}, {2, 3, 4, 8, 9, 10, 11}, 12
+
+
+def _multi_hot(on):
+    return [1.0 if i in on else 0.0 for i in range(WIDTH)]
+
+
+def test_dense_distances_follow_set_arithmetic(spark):
+    df = spark.createDataFrame([(_multi_hot(LEFT), _multi_hot(RIGHT))], "a array<double>, b array<double>")
+    r = df.select(vec.sq_euclidean("a", "b").alias("e2"), vec.euclidean_limit("a", "b").alias("lim"),
+                  vec.cosine_distance("a", "b").alias("cos"), vec.hamming("a", "b").alias("ham"),
+                  vec.manhattan("a", "b").alias("man"), vec.sq_norm("a").alias("norm2")).first()
+    differ = len(LEFT ^ RIGHT)
+    assert r["e2"] == r["ham"] == r["man"] == differ and r["norm2"] == len(LEFT)
+    assert math.isclose(r["lim"] ** 2, len(LEFT) + len(RIGHT))
+    assert math.isclose(r["cos"], 1 - len(LEFT & RIGHT) / math.sqrt(len(LEFT) * len(RIGHT)))
+
+
+def test_long_form_distances_follow_set_arithmetic(spark):
+    df = spark.createDataFrame([(len(LEFT), len(RIGHT), len(LEFT & RIGHT))], "n_a int, n_b int, n_ab int")
     r = df.select(vec.multihot_sq_euclidean("n_a", "n_b", "n_ab").alias("e2"),
                   vec.multihot_cosine_distance("n_a", "n_b", "n_ab").alias("cos")).first()
-    assert r["e2"] == 18 and math.isclose(r["cos"], 9 / 17)
+    assert r["e2"] == len(LEFT ^ RIGHT)
+    assert math.isclose(r["cos"], 1 - len(LEFT & RIGHT) / math.sqrt(len(LEFT) * len(RIGHT)))
 
 
 def test_cosine_of_zero_vector_is_null(spark):
@@ -65,11 +61,26 @@ def test_mean_overlap_equals_dense_product(spark):
         assert math.isclose(got[i], e)
 
 
-def test_describe_exact_and_approximate_quartiles(spark):
+def test_describe_quartiles_are_exact(spark):
     from shelfwise.operators.aggregates import describe_column
 
-    df = spark.range(1, 1001).selectExpr("id as x")
-    exact = describe_column(df, ["x"]).first()
-    assert (exact["p25"], exact["p50"], exact["p75"]) == (250.75, 500.5, 750.25)
-    approx = describe_column(df, ["x"], approx_accuracy=10000).first()
-    assert abs(approx["p50"] - 500.5) <= 1.0 and approx["count"] == 1000
+    rng = np.random.default_rng(3)
+    for values in (np.arange(1, 1001.0), rng.normal(size=501), rng.integers(0, 4, 300).astype(float), np.array([7.0])):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
+        r = describe_column(df, ["x"]).first()
+        assert r["count"] == len(values) and math.isclose(r["mean"], values.mean(), abs_tol=1e-12)
+        assert np.allclose([r["min"], r["p25"], r["p50"], r["p75"], r["max"]], np.quantile(values, [0, 0.25, 0.5, 0.75, 1]))
+        assert r["std"] is None if len(values) == 1 else math.isclose(r["std"], values.std(ddof=1))
+    empty = describe_column(df.limit(0), ["x"]).first()
+    assert empty["count"] == 0 and empty["p50"] is None
+
+
+def test_describe_plan_merges_no_percentile_in_one_task(spark):
+    from shelfwise.operators.aggregates import value_ranks
+
+    df = spark.range(0, 10000, numPartitions=6).selectExpr("id % 977 as x")
+    plan = value_ranks(df, "x")._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan
+    last = value_ranks(df, "x").orderBy("v").collect()
+    assert [r["v"] for r in last] == list(range(977)) and last[-1]["last"] == 10000
+    assert all(b["last"] - a["last"] == b["n"] for a, b in zip(last, last[1:]))

@@ -18,6 +18,22 @@ def test_hash_split_and_folds_do_not_depend_on_partitioning(spark):
     assert set(v[1] for v in a.values()) == {0, 1, 2, 3, 4}
 
 
+def test_split_and_folds_are_independent(spark):
+    df = spark.range(1, 20001).withColumnRenamed("id", "k")
+    both = sampling.kfold_assign(sampling.hash_split(df, "k"), "k")
+    n = {(r["is_test"], r["fold"]): r["count"] for r in both.groupBy("is_test", "fold").count().collect()}
+    assert all(abs(n[False, f] - 3200) < 250 and abs(n[True, f] - 800) < 150 for f in range(5))
+    other = sampling.hash_split(sampling.hash_split(df, "k", name="a"), "k", name="b", seed=99)
+    assert abs(other.where("a and b").count() - 800) < 150
+
+
+def test_seeded_user_pick(spark):
+    per_user = spark.createDataFrame([(i, 51 + i % 3) for i in range(1, 60)] + [(100, 3)], "user_id long, ratings long")
+    picks = {sampling.pick_user(per_user, 50, seed=s).first()["user_id"] for s in range(12)}
+    assert len(picks) > 5 and 100 not in picks
+    assert sampling.pick_user(per_user, 50, seed=3).first() == sampling.pick_user(per_user.repartition(9), 50, seed=3).first()
+
+
 def test_prefix_accuracy_equals_refit_per_k(spark):
     rng = np.random.default_rng(7)
     t = rng.normal(size=(40, 3))
@@ -45,6 +61,8 @@ def test_class_weights_and_resampling(spark):
 
     under = {r["y"]: r["count"] for r in sampling.undersample(df, "y", hash_u32("k")).groupBy("y").count().collect()}
     assert under[1] == 100 and 60 < under[0] < 140
+    mixed = {r["y"]: r["count"] for r in sampling.hybrid_sample(df, "y", hash_u32("k")).groupBy("y").count().collect()}
+    assert mixed[1] == 200 and 160 < mixed[0] < 240
 
 
 def test_hot_group_is_spread_over_salt_cells(spark):

@@ -18,15 +18,51 @@ def test_csv_round_trip_with_declared_schema(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [(1, 10, 5), (2, 11, 3)]
 
 
-def test_json_array_file_with_string_ids(spark, tmp_path):
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("book_id,extra,rating,user_id\n10,x,5,1\n11,y,3,2\n")
+    back = files.read_csv(spark, str(tmp_path / "r.csv"), files.RATINGS_SCHEMA)
+    assert back.columns == ["user_id", "book_id", "rating"]
+    assert sorted(map(tuple, back.collect())) == [(1, 10, 5), (2, 11, 3)]
+
+
+def test_csv_without_a_declared_column_or_value_fails(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("book_id,user_id\n10,1\n")
+    with pytest.raises(ValueError, match="rating"):
+        files.read_csv(spark, str(tmp_path / "r.csv"), files.RATINGS_SCHEMA)
+    for row in ("10,,1", "10,five,1"):
+        (tmp_path / "v.csv").write_text(f"book_id,rating,user_id\n{row}\n")
+        with pytest.raises(PySparkException):
+            files.read_csv(spark, str(tmp_path / "v.csv"), files.RATINGS_SCHEMA).collect()
+
+
+RECORDS = [{"goodreads_book_id": "167697", "tag_id": "30574", "count": 11}, {"goodreads_book_id": "1", "tag_id": "2", "count": 3}]
+
+
+@pytest.mark.parametrize("text, multi", [
+    (json.dumps(RECORDS), False), (json.dumps(RECORDS, indent=1), True), ("\n".join(map(json.dumps, RECORDS)), False)])
+def test_json_records_with_string_ids(spark, tmp_path, text, multi):
     p = tmp_path / "tags.json"
-    p.write_text(json.dumps([{"goodreads_book_id": "167697", "tag_id": "30574", "cnt": 11},
-                             {"goodreads_book_id": "1", "tag_id": "2", "cnt": 3}]))
-    df = files.read_json_records(spark, str(p), multi_line=True)
+    p.write_text(text)
+    df = files.read_json_records(spark, str(p), multi_line=multi)
     assert dict(df.dtypes) == {"goodreads_book_id": "bigint", "tag_id": "bigint", "cnt": "bigint"}
     assert sorted(map(tuple, df.collect())) == [(1, 2, 3), (167697, 30574, 11)]
 
 
+def test_json_record_without_a_field_fails(spark, tmp_path):
+    p = tmp_path / "tags.json"
+    p.write_text(json.dumps([{"goodreads_book_id": "1", "tag_id": "2", "cnt": 3}]))
+    with pytest.raises(PySparkException, match="count"):
+        files.read_json_records(spark, str(p)).collect()
+
+
+def test_json_arrays_round_trip_in_chunks(spark, tmp_path):
+    rows = [(str(i), str(i % 7), i) for i in range(2500)]
+    df = spark.createDataFrame(rows, "goodreads_book_id string, tag_id string, count long")
+    path = files.write_json_arrays(df, str(tmp_path / "out"), rows_per_array=100)
+    assert 20 <= spark.read.text(path).count() <= 25
+    assert sorted(map(tuple, files.read_json_records(spark, path).collect())) == [(i, i % 7, i) for i in range(2500)]
+
+
 def test_strict_cast_raises_and_lenient_gives_null(spark):
     df = spark.createDataFrame([("12",), ("x1",)], "v string")
     assert [r["v"] for r in cast_ids(df, ["v"], lenient=True).collect()] == [12, None]
