@@ -70,12 +70,12 @@ def _symbol_heavy(t: Text) -> bool:
 
 
 def _repeated_lines(t: Text) -> bool:
-    return 10 * t.dup_lines() > 3 * len(t.lines)
+    return 10 * t.dup_lines() > 6 * len(t.lines)
 
 
 def _digit_heavy(t: Text) -> bool:
     digits = len(t.raw) - len(t.raw.translate(None, b"0123456789"))
-    return 4 * digits > t.word_chars
+    return 2 * digits > t.word_chars
 
 
 def _few_distinct(t: Text) -> bool:
