@@ -109,10 +109,13 @@ def choose_paths(reps: DataFrame, branching: float, bucket: int, max_depth: int)
     sets are alike, and it is compared as it is. So are buckets left at ``max_depth``."""
     rows = saved(sized(saved(reps.select(F.explode("paths").alias("path"), "rep")))).select("path", "size", "rep")
     final, large = rows.where(F.col("size") <= bucket), rows.where(F.col("size") > bucket)
+    deep = None  # sketches of the representatives in large buckets
     for _ in range(max_depth):
         if large.isEmpty():
             return final
-        below = saved(sized(saved(_children(large.join(reps.select("rep", "sk"), "rep"), branching))))
+        if deep is None:
+            deep = saved(reps.select("rep", "sk").join(large.select("rep").distinct(), "rep", "left_semi"))
+        below = saved(sized(saved(_children(large.join(deep, "rep"), branching))))
         dense = below.where(F.col("size") > bucket).groupBy("parent").agg(
             F.count(F.lit(1)).alias("_in"), F.max("psize").alias("_of")).where(F.col("_in") >= F.col("_of"))
         dense = saved(dense.select("parent"))
