@@ -1,48 +1,91 @@
-"""Clustering users by their rating vectors: Spark ML k-means, the elbow curve, and one
-Lloyd step written as DataFrame joins (the algorithm slide)."""
+"""Clustering users by their 0/1 rating vectors: Lloyd's k-means in long form.
+
+Users, centers and their products are rows of joins, so neither the vocabulary of books nor a center
+ever stands on the driver or in one vector. Several values of k run together: every table carries the
+``k`` it belongs to, and one round of joins serves them all."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import materialize
+
+
+def first_users_as_centers(good: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """(k, cluster, book_id, v): for each k the vectors of the k users with the smallest ids."""
+    firsts = good.select("user_id").distinct().orderBy("user_id").limit(max(ks))
+    ranked = firsts.withColumn("cluster", F.row_number().over(Window.orderBy("user_id")))  # max(ks) rows
+    runs = F.filter(F.array(*[F.lit(k) for k in ks]), lambda k: k >= F.col("cluster"))
+    seeds = ranked.withColumn("k", F.explode(runs))
+    return good.join(F.broadcast(seeds), "user_id").select("k", "cluster", "book_id", F.lit(1.0).alias("v"))
+
+
+def assign(good: DataFrame, users: DataFrame, centers: DataFrame) -> DataFrame:
+    """(k, user_id, cluster, d2): every user's nearest center, ties to the lowest cluster.
+
+    good: (user_id, book_id) rows with value 1; users: (user_id), those without a good row included;
+    centers: (k, cluster, book_id, v). Squared distances are |x|^2 + |c|^2 - 2 x.c. A user without a
+    book in common with a center has x.c = 0, so only common books are joined; the nearest of the
+    centers without one is that with the smallest |c|^2, which is read from the table of norms."""
+    norms = centers.groupBy("k", "cluster").agg(F.sum(F.col("v") * F.col("v")).alias("_c2"))
+    dots = good.join(centers, "book_id").groupBy("user_id", "k", "cluster").agg(F.sum("v").alias("_dot"))
+    n_u = good.groupBy("user_id").agg(F.count(F.lit(1)).alias("_nu"))
+    per_user = users.select("user_id").join(n_u, "user_id", "left").select("user_id", F.coalesce("_nu", F.lit(0)).alias("_nu"))
+    # every user meets every center; there are as many centers as the ks add up to, a parameter
+    listed = [F.struct(F.lit(r["k"]).cast("int").alias("k"), F.lit(r["cluster"]).alias("cluster"), F.lit(r["_c2"]).alias("_c2"))
+              for r in norms.orderBy("k", "cluster").collect()]
+    if not listed:
+        raise ValueError("k-means: no user has a good book to start from")
+    grid = per_user.select("user_id", "_nu", F.inline(F.array(*listed)))
+    d = grid.join(dots, ["user_id", "k", "cluster"], "left").select(
+        "k", "user_id", "cluster", F.round(F.col("_nu") + F.col("_c2") - 2 * F.coalesce("_dot", F.lit(0.0)), 9).alias("d2"))
+    best = d.groupBy("k", "user_id").agg(F.min(F.struct("d2", "cluster")).alias("_b"))
+    return best.select("k", "user_id", F.col("_b.cluster").alias("cluster"), F.col("_b.d2").alias("d2"))
+
 
-def user_vectors(flagged: DataFrame, value: str = "good") -> DataFrame:
-    """One sparse vector per user over all book ids 1..max (users without rows get zero vectors).
+def means(good: DataFrame, assigned: DataFrame) -> DataFrame:
+    """(k, cluster, book_id, v): the mean vector of every cluster, zeros left out. A cluster whose users
+    have no good book keeps no row; the next assignment leaves it out."""
+    sizes = assigned.groupBy("k", "cluster").agg(F.count(F.lit(1)).alias("_size"))
+    n = good.join(assigned.select("k", "user_id", "cluster"), "user_id").groupBy("k", "cluster", "book_id").agg(
+        F.count(F.lit(1)).alias("_n"))
+    return n.join(sizes, ["k", "cluster"]).select("k", "cluster", "book_id", (F.col("_n") / F.col("_size")).alias("v"))
 
-    value="good": 0/1 entries; value="rating": the rating as the entry (token repeated r times).
-    The vocabulary is the id range, built from a rule, so no data passes through the driver;
-    a user's vector holds at most one entry per book.
-    """
-    spark = flagged.sparkSession
-    max_book = int(flagged.agg(F.max("book_id")).first()[0] or 0)
-    max_user = int(flagged.agg(F.max("user_id")).first()[0] or 0)
-    if value == "good":
-        tokens = flagged.where(F.col("good") == 1).groupBy("user_id").agg(
-            F.collect_list(F.col("book_id").cast("string")).alias("_t"))
-        binary = True
-    else:
-        tokens = flagged.groupBy("user_id").agg(
-            F.flatten(F.collect_list(F.array_repeat(F.col("book_id").cast("string"), F.col(value).cast("int")))).alias("_t"))
-        binary = False
-    spine = spark.range(1, max_user + 1).select(F.col("id").alias("user_id"))
-    tokens = spine.join(tokens, "user_id", "left").select(
-        "user_id", F.coalesce("_t", F.array().cast("array<string>")).alias("_t"))
-    vocab = [str(i) for i in range(1, max_book + 1)]
-    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="_t", outputCol="features", binary=binary)
-    return cv.transform(tokens).select("user_id", "features")
 
+def _with_origin(centers: DataFrame, assigned: DataFrame) -> DataFrame:
+    """Clusters of users without good books stand at the origin: they get a row of value 0."""
+    rows = assigned.select("k", "cluster").distinct().join(centers.select("k", "cluster").distinct(), ["k", "cluster"], "left_anti")
+    return centers.unionByName(rows.select("k", "cluster", F.lit(-1).cast("long").alias("book_id"), F.lit(0.0).alias("v")))
 
-def kmeans_fit(vectors: DataFrame, k: int, seed: int = 1234, max_iter: int = 20) -> KMeansModel:
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(vectors)
 
+def kmeans(good: DataFrame, users: DataFrame, ks: Sequence[int], max_iter: int = 100) -> tuple[DataFrame, DataFrame]:
+    """Lloyd's algorithm for every k of ``ks`` until no user changes its cluster: (assignment, centers).
 
-def cluster_sizes(model: KMeansModel, vectors: DataFrame) -> DataFrame:
-    return model.transform(vectors).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
+    The start is :func:`first_users_as_centers`. Both inputs are read in every round, so they should be
+    written tables; each round is written once. Raises RuntimeError when ``max_iter`` rounds do not
+    suffice."""
+    centers, last = materialize(first_users_as_centers(good, ks)), None
+    for _ in range(max_iter):
+        now = materialize(assign(good, users, centers))
+        if last is not None:
+            moved = now.join(last.select("k", "user_id", F.col("cluster").alias("_was")), ["k", "user_id"])
+            if moved.where(F.col("cluster") != F.col("_was")).isEmpty():
+                return now, centers
+        last = now
+        centers = materialize(_with_origin(means(good, now), now))
+    raise RuntimeError(f"k-means: users still move after {max_iter} rounds")
+
+
+def cluster_sizes(assigned: DataFrame) -> DataFrame:
+    return assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+def inertia(assigned: DataFrame) -> DataFrame:
+    """(k, inertia): the within-cluster sum of squares of each run."""
+    return assigned.groupBy("k").agg(F.sum("d2").alias("inertia"))
 
 
 def total_ss_binary(good: DataFrame, n_users) -> DataFrame:
@@ -51,65 +94,12 @@ def total_ss_binary(good: DataFrame, n_users) -> DataFrame:
     return per_book.agg((F.sum("nb") - F.sum(F.col("nb") * F.col("nb")) / n_users).alias("inertia"))
 
 
-def elbow(vectors: DataFrame, ks: Sequence[int], seed: int = 1234) -> list[tuple[int, float]]:
-    """Training cost (within-cluster SS) for each k >= 2; one Spark ML fit per k on the cached vectors."""
-    cached = vectors.persist()
-    try:
-        return [(k, float(kmeans_fit(cached, k, seed).summary.trainingCost)) for k in ks]
-    finally:
-        cached.unpersist()
-
-
-def kmeans_step(good: DataFrame, users: DataFrame, centers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One Lloyd step for sparse 0/1 user vectors, in long form.
-
-    good: (user_id, book_id) rows with value 1; users: (user_id) all users (zero rows included);
-    centers: (cluster, book_id, v). Assignment uses ||x||^2 + ||c||^2 - 2 x.c with x.c from a join
-    on book_id; ties go to the lowest cluster. Returns (assignment (user_id, cluster, d2),
-    new centers (cluster, book_id, v))."""
-    k_ids = centers.select("cluster").distinct()
-    norms = centers.groupBy("cluster").agg(F.sum(F.col("v") * F.col("v")).alias("_c2"))
-    dots = good.join(centers, "book_id").groupBy("user_id", "cluster").agg(F.sum("v").alias("_dot"))
-    n_u = good.groupBy("user_id").agg(F.count(F.lit(1)).alias("_nu"))
-    per_user = users.select("user_id").join(n_u, "user_id", "left").select(
-        "user_id", F.coalesce("_nu", F.lit(0)).alias("_nu"))
-    # every user against every center: k (a parameter) rows per user, generated by explode
-    cl_list = [int(r["cluster"]) for r in k_ids.orderBy("cluster").collect()]  # k rows
-    grid = per_user.select("user_id", "_nu", F.explode(F.array(*[F.lit(c) for c in cl_list])).alias("cluster"))
-    d = grid.join(F.broadcast(norms), "cluster").join(dots, ["user_id", "cluster"], "left").select(
-        "user_id", "cluster",
-        (F.col("_nu") + F.col("_c2") - 2 * F.coalesce("_dot", F.lit(0.0))).alias("d2"))
-    best = d.groupBy("user_id").agg(F.min(F.struct("d2", "cluster")).alias("_b")).select(
-        "user_id", F.col("_b.cluster").alias("cluster"), F.col("_b.d2").alias("d2"))
-    sizes = best.groupBy("cluster").agg(F.count(F.lit(1)).alias("_size"))
-    new = good.join(best.select("user_id", "cluster"), "user_id").groupBy("cluster", "book_id").agg(
-        F.count(F.lit(1)).alias("_n")).join(sizes, "cluster").select(
-        "cluster", "book_id", (F.col("_n") / F.col("_size")).alias("v"))
-    return best, new
-
-
-def first_users_as_centers(good: DataFrame, k: int) -> DataFrame:
-    """Initial centers: the vectors of the k users with the smallest ids (deterministic)."""
-    firsts = good.select("user_id").distinct().orderBy("user_id").limit(k)
-    ranked = firsts.withColumn("cluster", F.row_number().over(Window.orderBy("user_id")))  # k rows
-    return good.join(F.broadcast(ranked), "user_id").select("cluster", "book_id", F.lit(1.0).alias("v"))
-
-
-def centers_long(model: KMeansModel, spark) -> DataFrame:
-    """Fitted centers as (cluster, book_id, v) over their nonzero entries (k x books at most).
-
-    Vector position i stands for book id i + 1 (the vocabulary of ``user_vectors``)."""
-    rows = []
-    for c, center in enumerate(model.clusterCenters()):
-        for i in center.nonzero()[0]:
-            rows.append((c, int(i) + 1, float(center[i])))
-    return spark.createDataFrame(rows, "cluster int, book_id long, v double")
-
-
-def assignment_check(model: KMeansModel, vectors: DataFrame, good: DataFrame, users: DataFrame) -> DataFrame:
-    """Certificate of a fitted k-means: recompute every user's nearest center in long form and
-    count how many agree with the model's assignment: (n_users, n_nearest)."""
-    best, _ = kmeans_step(good, users, centers_long(model, vectors.sparkSession))
-    pred = model.transform(vectors).select("user_id", F.col("prediction").alias("pred"))
-    j = best.join(pred, "user_id")
-    return j.agg(F.count(F.lit(1)).alias("n_users"), F.count_if(F.col("cluster") == F.col("pred")).alias("n_nearest"))
+def certificate(good: DataFrame, users: DataFrame, assigned: DataFrame, centers: DataFrame) -> DataFrame:
+    """(n_users, n_nearest, max_center_error): users, those whose cluster is the nearest center when all
+    distances are computed again, and the largest deviation of a center's entry from its users' mean."""
+    again = assign(good, users, centers).select("k", "user_id", F.col("cluster").alias("_again"))
+    near = assigned.join(again, ["k", "user_id"]).agg(
+        F.count(F.lit(1)).alias("n_users"), F.count_if(F.col("cluster") == F.col("_again")).alias("n_nearest"))
+    diff = means(good, assigned).withColumnRenamed("v", "_m").join(centers.where(F.col("book_id") >= 0), ["k", "cluster", "book_id"], "full")
+    worst = diff.agg(F.max(F.abs(F.coalesce("_m", F.lit(0.0)) - F.coalesce("v", F.lit(0.0)))).alias("e"))
+    return near.select("n_users", "n_nearest", worst.scalar().alias("max_center_error"))

@@ -91,7 +91,8 @@ def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 15
                max_products: int = 120, seed: int = 7) -> SvdResult:
     """The ``k`` leading singular triplets of the sparse matrix in ``entries`` (row, col, value), iterated
     until ||A^T u - s v|| <= tol * s for each (A v = s u holds by construction). Raises RuntimeError when
-    ``max_products`` block products do not suffice. A matrix of lower rank gives fewer triplets.
+    ``max_products`` block products do not suffice. The residual is read off Gram matrices, which cannot
+    tell less than about 1e-8 s, so ``tol`` must be 1e-7 at least. A matrix of lower rank gives fewer triplets.
 
     Thick-restart block Krylov on A^T A. The column table holds, per column of A, its row of the
     orthonormal basis V, of W = A^T A V and of the next block. A product is a join with the entries and
@@ -100,6 +101,8 @@ def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 15
     the leading Ritz vectors, and the next block, orthogonal to all of V, follows on. The table is written
     once per product, so lineage stays short. Vectors are signed so that the entry of v with the largest
     magnitude is positive (ties: the smallest column)."""
+    if tol < 1e-7:
+        raise ValueError("svd: tol must be 1e-7 at least")
     e = materialize(entries.select(F.col("row").cast("long"), F.col("col").cast("long"), F.col("value").cast("double")))
     names = materialize(e.select("col").distinct())
     n_col = names.count()
@@ -143,7 +146,7 @@ def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 15
         m = m if keep is None else keep.shape[1]
     else:
         raise RuntimeError(f"svd: not converged to {tol} in {max_products} block products")
-    some = sq > 1e-20 * max(float(sq[0]), 1e-300)
+    some = sq > 1e-13 * max(float(sq[0]), 1e-300)  # what is smaller is rounding of A^T A
     lead, s = lead[:, some], np.sqrt(sq[some])
     v = materialize(_rows(full, "col", ["v"], ["vec"], lambda v: (v @ lead,)))
     top = v.select("col", F.posexplode("vec").alias("i", "x")).groupBy("i").agg(

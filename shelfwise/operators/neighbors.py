@@ -1,98 +1,79 @@
 """Exact k-nearest neighbours and voting.
 
-Plan: the query side is cut into chunks of at most ``chunk_rows`` rows (hash buckets on the
-query id, so the chunk count grows with the data but every chunk is size-bounded). Each chunk is
-broadcast; the training side stays distributed and streams through ``mapInPandas``, where NumPy
-computes exact squared distances block by block and keeps only each query's ``k`` best per Arrow
-batch (a map-side partial top-k). A final ``row_number() <= k`` per query merges the partials.
-No all-pairs table is ever materialised or shuffled.
+Plan: query and training rows are dealt into blocks by a hash of their id, as many as their counts
+ask for, and every query block meets every training block in one task of a cogroup, where NumPy keeps
+each query's ``k`` best (a partial top-k over the whole block). A final ``row_number() <= k`` per query
+merges the partial lists. Nothing passes through the driver but the two counts, and no pair of rows is
+written that is not among a query's k best of a block.
 Ties: distance, then the lowest training id.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shelfwise.functions.hashing import U32, hash_u32
+from shelfwise.functions.hashing import hash_u32
 
-_NB_SCHEMA = T.StructType([
-    T.StructField("qid", T.LongType()),
-    T.StructField("tid", T.LongType()),
-    T.StructField("d2", T.DoubleType()),
-])
+#: Rows of a query block and of a training block; a task holds their distance matrix.
+QUERY_ROWS, TRAIN_ROWS = 1024, 8192
 
 
-def _partial_topk(bq, k: int, block: int = 128):
-    """mapInPandas body: per Arrow batch of training rows, each query's k best (exact, ties by id).
+def block_topk(q_ids: np.ndarray, q: np.ndarray, t_ids: np.ndarray, t: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(qid, tid, d2) of each query's k nearest rows of one block, exact, ties by id.
+
+    Candidates come from the BLAS expansion |q|^2 + |t|^2 - 2 q.t with a safety margin; the survivors of
+    all queries are re-scored together with the exact sum of squared differences and ranked."""
+    k = min(k, len(t_ids))
+    q_sq, t_sq = (q * q).sum(axis=1), (t * t).sum(axis=1)
+    approx = q_sq[:, None] + t_sq[None, :] - 2.0 * (q @ t.T)
+    margin = 1e-9 * (q_sq[:, None] + t_sq.max()) + 1e-12
+    row, col = np.nonzero(approx <= np.partition(approx, k - 1, axis=1)[:, k - 1 : k] + margin)
+    exact = np.empty(len(row))
+    for a in range(0, len(row), 1 << 18):  # bounds the memory of the differences
+        part = slice(a, a + (1 << 18))
+        exact[part] = ((t[col[part]] - q[row[part]]) ** 2).sum(axis=1)
+    order = np.lexsort((t_ids[col], exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+    best = place < k
+    return q_ids[row[best]], t_ids[col[best]], exact[best]
+
+
+def _block(id_col: str, blocks: int):
+    return F.pmod(hash_u32(id_col, 3), F.lit(blocks)).cast("int")
 
-    Candidates come from the BLAS expansion |q|^2 + |t|^2 - 2 q.t with a safety margin; the
-    survivors are re-scored with the exact sum of squared differences before ranking.
-    """
 
-    def run(batches):
-        q_ids, q_vecs = bq.value
-        q_sq = (q_vecs * q_vecs).sum(axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            t_ids = pdf["tid"].to_numpy(dtype=np.int64)
-            t_vecs = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            t_sq = (t_vecs * t_vecs).sum(axis=1)
-            kk = min(k, len(t_ids))
-            out_q, out_t, out_d = [], [], []
-            for s in range(0, len(q_ids), block):
-                qv = q_vecs[s:s + block]
-                approx = q_sq[s:s + block, None] + t_sq[None, :] - 2.0 * (qv @ t_vecs.T)
-                margin = 1e-9 * (q_sq[s:s + block, None] + t_sq.max()) + 1e-12
-                cut = np.partition(approx, kk - 1, axis=1)[:, kk - 1:kk] + margin
-                for r in range(qv.shape[0]):
-                    cand = np.nonzero(approx[r] <= cut[r])[0]
-                    exact = ((t_vecs[cand] - qv[r]) ** 2).sum(axis=1)
-                    order = np.lexsort((t_ids[cand], exact))[:kk]
-                    out_q.append(np.full(len(order), q_ids[s + r], dtype=np.int64))
-                    out_t.append(t_ids[cand][order])
-                    out_d.append(exact[order])
-            if out_q:
-                yield pd.DataFrame({"qid": np.concatenate(out_q), "tid": np.concatenate(out_t), "d2": np.concatenate(out_d)})
-
-    return run
+def _all_blocks(blocks: int):
+    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+
+def _vectors(t: pa.Table) -> np.ndarray:
+    return t.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(t.num_rows, -1)
 
 
 def knn_neighbors(queries: DataFrame, train: DataFrame, k: int, qid: str = "qid", tid: str = "tid",
-                  vec: str = "vec", chunk_rows: int = 20000) -> DataFrame:
+                  vec: str = "vec", query_rows: int = QUERY_ROWS, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """The ``k`` nearest training rows of every query row (euclidean).
 
-    queries: (qid, vec array<double>), train: (tid, vec array<double>), equal lengths.
-    Output (qid, tid, dist, rank) with rank 1..k.
+    queries: (qid, vec array<double>), train: (tid, vec array<double>), equal lengths; both are read
+    more than once. Output (qid, tid, dist, rank) with rank 1..k.
     """
-    spark = queries.sparkSession
     q = queries.select(F.col(qid).cast("long").alias("qid"), F.col(vec).alias("vec"))
     t = train.select(F.col(tid).cast("long").alias("tid"), F.col(vec).alias("vec"))
-    # probe with a limit: a small query side is fetched in the same job that sizes it
-    probe = q.limit(chunk_rows + 1).toPandas()
-    n_chunks = 1 if len(probe) <= chunk_rows else max(2, -(-q.count() // chunk_rows))
-    parts = []
-    for c in range(n_chunks):
-        if n_chunks == 1:
-            pdf = probe
-        else:
-            # hash buckets of ~chunk_rows rows each: bounded, so each may travel via the driver
-            pdf = q.where(F.floor(hash_u32("qid") * n_chunks / F.lit(U32)) == c).toPandas()
-        if pdf.empty:
-            continue
-        q_ids = pdf["qid"].to_numpy(dtype=np.int64)
-        q_vecs = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-        bq = spark.sparkContext.broadcast((q_ids, q_vecs))
-        parts.append(t.mapInPandas(_partial_topk(bq, k), _NB_SCHEMA))
-    if not parts:
-        return spark.createDataFrame([], "qid long, tid long, dist double, rank int")
-    nb = parts[0]
-    for p in parts[1:]:
-        nb = nb.unionByName(p)
+    nq, nt = (max(1, -(-df.count() // rows)) for df, rows in ((q, query_rows), (t, train_rows)))
+    left = q.select("qid", "vec", _block("qid", nq).alias("qb"), _all_blocks(nt).alias("tb"))
+    right = t.select("tid", "vec", _block("tid", nt).alias("tb"), _all_blocks(nq).alias("qb"))
+
+    def best(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"qid": pa.array([], pa.int64()), "tid": pa.array([], pa.int64()), "d2": pa.array([], pa.float64())})
+        found = block_topk(a.column("qid").to_numpy(), _vectors(a), b.column("tid").to_numpy(), _vectors(b), k)
+        return pa.table(dict(zip(("qid", "tid", "d2"), found)))
+
+    nb = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInArrow(best, "qid long, tid long, d2 double")
     w = Window.partitionBy("qid").orderBy("d2", "tid")
     ranked = nb.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return ranked.select(

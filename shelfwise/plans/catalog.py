@@ -1229,24 +1229,43 @@ SVD_K = 10
 SVD_TOL = 1e-6
 
 
+def _kmeans(t: Tables, ks):
+    fl = written_flags(t)
+    good = materialize(collab.good_rows(fl))
+    users = materialize(clean.id_spine(fl, "user_id"))
+    return good, users, *clu.kmeans(good, users, ks)
+
+
 @q("kmeans_fit")
 def kmeans_fit(spark, sf):
     """Cluster sizes of k-means (k = 3) on users' good-book vectors (zero vectors included)."""
-    vecs = clu.user_vectors(flagged(tables(spark, sf)), "good")
-    model = clu.kmeans_fit(vecs, KMEANS_K)
-    return clu.cluster_sizes(model, vecs)
+    _, _, assigned, _ = _kmeans(tables(spark, sf), [KMEANS_K])
+    return clu.cluster_sizes(assigned)
 
 
 @q("kmeans_elbow")
 def kmeans_elbow(spark, sf):
-    """Within-cluster SS for k = 1..10 (k = 1 from aggregates; Spark ML needs k >= 2)."""
-    t = tables(spark, sf)
-    fl = flagged(t)
-    vecs = clu.user_vectors(fl, "good")
-    n_users = fl.agg(F.max("user_id")).scalar()
-    k1 = clu.total_ss_binary(collab.good_rows(fl), n_users).select(F.lit(1).alias("k"), "inertia")
-    rest = spark.createDataFrame(clu.elbow(vecs, range(2, 11)), "k int, inertia double")
-    return k1.unionByName(rest)
+    """Within-cluster SS for k = 1..10."""
+    _, _, assigned, _ = _kmeans(tables(spark, sf), range(1, 11))
+    return clu.inertia(assigned)
+
+
+@q("kmeans_elbow_check", """select round(s.nnz - s.sq / u.n, 6) as inertia_k1, cast(10 as bigint) as n_k, true as not_increasing
+from (select sum(nb) as nnz, sum(nb * nb) as sq from (select book_id, count(*) as nb from fx_good group by book_id) b) s
+cross join (select max(user_id) as n from fx_flag) u""")
+def kmeans_elbow_check(spark, sf):
+    """The elbow curve starts at the total sum of squares and does not rise by more than 2 % from k to k + 1."""
+    curve = kmeans_elbow(spark, sf)
+    worse = F.col("inertia") > 1.02 * F.lag("inertia").over(_by("k"))  # ten rows
+    return curve.withColumn("_up", F.coalesce(worse, F.lit(False))).agg(
+        r6(F.max(F.when(F.col("k") == 1, F.col("inertia")))).alias("inertia_k1"), F.count(F.lit(1)).alias("n_k"),
+        (~F.bool_or("_up")).alias("not_increasing"))
+
+
+def _by(col):
+    from pyspark.sql import Window
+
+    return Window.orderBy(col)
 
 
 @q("kmeans_step", """with firsts as (select user_id, cast(row_number() over (order by user_id) as integer) as cluster
@@ -1267,7 +1286,7 @@ def kmeans_step(spark, sf):
     fl = flagged(tables(spark, sf))
     good = collab.good_rows(fl)
     users = clean.id_spine(fl, "user_id")
-    best, _ = clu.kmeans_step(good, users, clu.first_users_as_centers(good, KMEANS_K))
+    best = clu.assign(good, users, clu.first_users_as_centers(good, [KMEANS_K]))
     return best.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), r6(F.sum("d2")).alias("sse"))
 
 
@@ -1410,14 +1429,14 @@ def validate_recommendations_pca(spark, sf):
     return out.withColumns({"share_act": r6("share_act"), "share_pred": r6("share_pred")})
 
 
-@q("kmeans_assignment", """select count(*) as n_users, count(*) as n_nearest
+@q("kmeans_assignment", """select count(*) as n_users, count(*) as n_nearest, true as centers_are_means
 from (select unnest(range(1, (select max(user_id) from fx_flag) + 1)) as user_id) u""")
 def kmeans_assignment(spark, sf):
-    """Certificate of the k-means fit (k = 3): every user's label is its nearest fitted center."""
-    fl = flagged(tables(spark, sf))
-    vecs = materialize(clu.user_vectors(fl, "good"))
-    model = clu.kmeans_fit(vecs, KMEANS_K)
-    return clu.assignment_check(model, vecs, collab.good_rows(fl), clean.id_spine(fl, "user_id"))
+    """Certificate of the k-means fit (k = 3): every user's cluster is its nearest center, and every
+    center is the mean of its users."""
+    good, users, assigned, centers = _kmeans(tables(spark, sf), [KMEANS_K])
+    out = clu.certificate(good, users, assigned, centers)
+    return out.select("n_users", "n_nearest", (F.col("max_center_error") < 1e-12).alias("centers_are_means"))
 
 
 @q("svd_energy", "select count(*) as frobenius_sq, true as captured_within_total from fx_good")

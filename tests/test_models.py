@@ -26,13 +26,13 @@ def _brute_knn(q, t, t_ids, k):
     return out
 
 
-@pytest.mark.parametrize("chunk_rows", [1000, 7])
-def test_knn_neighbors_match_brute_force_with_ties(spark, chunk_rows):
+@pytest.mark.parametrize("rows", [1000, 7])
+def test_knn_neighbors_match_brute_force_with_ties(spark, rows):
     rng = np.random.default_rng(0)
     t = (rng.random((60, 6)) < 0.4).astype(float)  # 0/1 data: many equal distances
     q = (rng.random((25, 6)) < 0.4).astype(float)
     t_ids = np.arange(100, 160)
-    nb = nbrs.knn_neighbors(_frame(spark, range(25), q, "qid"), _frame(spark, t_ids, t, "tid"), 3, chunk_rows=chunk_rows)
+    nb = nbrs.knn_neighbors(_frame(spark, range(25), q, "qid"), _frame(spark, t_ids, t, "tid"), 3, query_rows=rows, train_rows=rows)
     got = {}
     for r in nb.orderBy("qid", "rank").collect():
         got.setdefault(r["qid"], []).append((r["tid"], r["dist"]))
@@ -136,40 +136,126 @@ def test_pca_ratios_and_centred_scores(spark):
     assert np.allclose(np.diag(c), ev[:3], atol=1e-9)
 
 
-def test_randomized_svd_on_low_rank_matrix(spark):
+def _entries(spark, a):
+    i, j = np.nonzero(a)
+    return spark.createDataFrame([(int(x) + 1, int(y) + 1, float(a[x, y])) for x, y in zip(i, j)], "row long, col long, value double")
+
+
+def _factor(df, key, n, k):
+    out = np.zeros((n, k))
+    for r in df.collect():
+        out[r[key] - 1] = r["vec"]
+    return out
+
+
+@pytest.mark.parametrize("case", ["gapless", "low_rank", "small"])
+def test_svd_equals_numpy(spark, case):
+    """Without a spectral gap, with fewer triplets than asked for, and with fewer columns than a block."""
     rng = np.random.default_rng(5)
-    a = rng.normal(size=(80, 4)) @ rng.normal(size=(4, 30)) + 0.001 * rng.normal(size=(80, 30))
-    entries = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(80) for j in range(30)],
-                                    "row long, col long, value double")
-    u, s, v = dec.svd_randomized(entries, k=4, oversample=6, passes=3)
-    assert np.allclose(s, np.linalg.svd(a, compute_uv=False)[:4], rtol=1e-6)
-    U = np.array([r["vec"] for r in u.orderBy("row").collect()])
-    V = np.array([r["vec"] for r in v.orderBy("col").collect()])
-    assert np.allclose(U * s @ V.T, a, atol=0.05)
-
-
-def test_kmeans_step_and_total_ss(spark):
-    good = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (3, 3), (4, 1), (4, 3)], "user_id long, book_id long")
-    users = spark.range(1, 6).select(F.col("id").alias("user_id"))
-    centers = clu.first_users_as_centers(good, 2)
-    best, new = clu.kmeans_step(good, users, centers)
+    if case == "gapless":
+        a, k = (rng.random((120, 90)) < 0.08).astype(float), 6
+    elif case == "low_rank":
+        a, k = rng.normal(size=(60, 3)) @ rng.normal(size=(3, 40)), 5
+    else:
+        a, k = rng.normal(size=(9, 6)), 6
+    entries = _entries(spark, a)
+    svd = dec.svd_krylov(entries, k, block=8, basis=32, tol=1e-7)
+    exact = np.linalg.svd(a, compute_uv=False)
+    rank = min(k, int((exact > 1e-9 * exact[0]).sum()))
+    assert len(svd.s) == rank and np.allclose(svd.s, exact[:rank], rtol=1e-9)
+    u, v = _factor(svd.u, "row", len(a), rank), _factor(svd.v, "col", a.shape[1], rank)
+    assert np.allclose(a @ v, u * svd.s, atol=1e-8) and np.allclose(a.T @ u, v * svd.s, atol=1e-6)
+    assert np.allclose(u.T @ u, np.eye(rank), atol=1e-9) and np.allclose(v.T @ v, np.eye(rank), atol=1e-9)
+    assert (v[np.abs(v).argmax(axis=0), np.arange(rank)] > 0).all()
+    for r in dec.svd_certificate(entries, svd).collect():
+        assert max(r["res_left"], r["res_right"], r["ortho_u"], r["ortho_v"]) < 1e-6
+
+
+def test_svd_says_when_it_does_not_converge(spark):
+    a = (np.random.default_rng(1).random((80, 70)) < 0.1).astype(float)
+    with pytest.raises(RuntimeError, match="not converged"):
+        dec.svd_krylov(_entries(spark, a), 6, block=6, basis=20, max_products=2)
+
+
+def test_latent_neighbour_equals_numpy(spark):
+    from conftest import SF_SMALL
+
+    from shelfwise.plans import catalog
+    from shelfwise.sources.fixtures import tables
+
+    t = tables(spark, SF_SMALL)
+    fl = catalog.flagged(t).collect()
+    n_u, n_b = max(r["user_id"] for r in fl), max(r["book_id"] for r in fl)
+    a = np.zeros((n_u, n_b))
+    for r in fl:
+        a[r["user_id"] - 1, r["book_id"] - 1] = r["good"]
+    u = np.linalg.svd(a, full_matrices=False)[0][:, : catalog.SVD_K]
+    raw = {}
+    for r in t.ratings().collect():
+        raw[r["user_id"]] = raw.get(r["user_id"], 0) + 1
+    me = min(x for x, n in raw.items() if n > 50)
+    d = np.linalg.norm(u - u[me - 1], axis=1)
+    want = [int(i) + 1 for i in np.argsort(d, kind="stable") if i != me - 1][:5]
+    got = catalog.latent_nearest_user_of(t).collect()
+    assert [r["user_id"] for r in got] == want
+    assert np.allclose([r["dist"] for r in got], d[np.array(want) - 1], atol=1e-6)
+    mine = {r["book_id"]: r["rating"] for r in fl if r["user_id"] == me}
+    theirs = {r["book_id"]: r["rating"] for r in fl if r["user_id"] == want[0]}
+    both = [(mine[b] - theirs[b]) ** 2 for b in mine.keys() & theirs.keys()]
+    rmse = catalog.svd_user_rmse(spark, SF_SMALL).first()
+    assert rmse["n_both"] == len(both) and (not both or math.isclose(rmse["rmse"], math.sqrt(sum(both) / len(both))))
+    recs = {r["book_id"] for r in catalog.svd_recommend(spark, SF_SMALL).collect()}
+    assert recs == {b for b, r in theirs.items() if r == 5 and b not in mine}
+
+
+def test_als_takes_ids_beyond_32_bits(spark):
+    rng = np.random.default_rng(2)
+    rows = [(3_000_000_000 + i, 5_000_000_000 + j, int(rng.integers(1, 6))) for i in range(30) for j in range(20)]
+    df = spark.createDataFrame(rows, "user_id long, book_id long, rating int")
+    pred = dec.AlsFit(df, rank=4, max_iter=5).predict(df)
+    assert pred.count() == 600 and set(pred.columns) == {"user_id", "book_id", "rating", "prediction"}
+    err = math.sqrt(pred.selectExpr("avg(power(prediction - rating, 2)) as e").first()["e"])
+    assert err < np.std([r[2] for r in rows])
+
+
+def _likes(spark, pairs):
+    return spark.createDataFrame(pairs, "user_id long, book_id long")
+
+
+def test_kmeans_assignment_and_total_ss(spark):
+    pairs = [(1, 1), (1, 2), (2, 2), (3, 3), (4, 1), (4, 3)]
+    good, users = _likes(spark, pairs), spark.range(1, 6).select(F.col("id").alias("user_id"))
+    best = clu.assign(good, users, clu.first_users_as_centers(good, [2]))
     x = np.zeros((5, 3))
-    for u, b in [(1, 1), (1, 2), (2, 2), (3, 3), (4, 1), (4, 3)]:
+    for u, b in pairs:
         x[u - 1, b - 1] = 1
-    c = x[:2]
-    d2 = ((x[:, None, :] - c[None, :, :]) ** 2).sum(axis=2)
-    lab = d2.argmin(axis=1) + 1
+    lab = ((x[:, None, :] - x[None, :2, :]) ** 2).sum(axis=2).argmin(axis=1) + 1
     assert {r["user_id"]: r["cluster"] for r in best.collect()} == {i + 1: int(lab[i]) for i in range(5)}
-    tot = clu.total_ss_binary(good, 5).first()["inertia"]
-    assert math.isclose(tot, ((x - x.mean(axis=0)) ** 2).sum())
-
-
-def test_kmeans_cost_equals_recomputed_inertia(spark):
-    fl = spark.createDataFrame([(u, b, 5, int((u * b) % 3 == 0)) for u in range(1, 21) for b in range(1, 9)],
-                               "user_id long, book_id long, rating int, good int")
-    vecs = clu.user_vectors(fl, "good")
-    model = clu.kmeans_fit(vecs, 3)
-    centers = np.array(model.clusterCenters())
-    pred = model.transform(vecs).collect()
-    inertia = sum(float(((r["features"].toArray() - centers[r["prediction"]]) ** 2).sum()) for r in pred)
-    assert math.isclose(model.summary.trainingCost, inertia, rel_tol=1e-9)
+    assert math.isclose(clu.total_ss_binary(good, 5).first()["inertia"], ((x - x.mean(axis=0)) ** 2).sum())
+
+
+def test_kmeans_equals_numpy_lloyd_for_several_k_at_once(spark):
+    rng = np.random.default_rng(4)
+    x = (rng.random((40, 12)) < np.where(np.arange(40)[:, None] % 2, 0.6, 0.15)).astype(float)
+    x[7] = 0  # a user without a good book
+    good = _likes(spark, [(int(u) + 1, int(b) + 1) for u, b in zip(*np.nonzero(x))])
+    users = spark.range(1, 41).select(F.col("id").alias("user_id"))
+    assigned, centers = clu.kmeans(good, users, [1, 2, 4])
+    got = {}
+    for r in assigned.collect():
+        got.setdefault(r["k"], {})[r["user_id"]] = r["cluster"]
+    cost = {r["k"]: r["inertia"] for r in clu.inertia(assigned).collect()}
+    firsts = [i for i in range(40) if x[i].any()]
+    for k in (1, 2, 4):
+        c, lab = x[firsts[:k]].copy(), None
+        while True:
+            d = np.round(((x[:, None, :] - c[None]) ** 2).sum(axis=2), 9)
+            new = d.argmin(axis=1)
+            if lab is not None and (new == lab).all():
+                break
+            lab = new
+            c = np.stack([x[lab == j].mean(axis=0) if (lab == j).any() else np.full(12, np.inf) for j in range(k)])
+        assert got[k] == {i + 1: int(lab[i]) + 1 for i in range(40)}
+        assert math.isclose(cost[k], ((x - c[lab]) ** 2).sum(), abs_tol=1e-6)
+    check = clu.certificate(good, users, assigned, centers).first()
+    assert check["n_users"] == check["n_nearest"] == 120 and check["max_center_error"] < 1e-12
