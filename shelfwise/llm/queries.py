@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, jaccard, langid, linededup, mixing, pieces, quality, tokencount, toxicity, vectors
+from shelfwise.llm import chat, jaccard, langid, linededup, mixing, pieces, quality, sql, tokencount, toxicity, vectors
 from shelfwise.llm.common import table
 
 #: Tokenizer files; a cluster may keep them elsewhere.
@@ -66,4 +66,4 @@ QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_quality_rules, op3_ngram_jaccard, op4_sentencepiece, op5_toxicity, op6_line_dedup, op7_source_mixing, op8_chat_format, op9_token_counts,
     op10_embedding_near_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(sql.ORACLES)
