@@ -84,22 +84,14 @@ def r_squared_raw(design: DataFrame, model: LinearRegressionModel) -> DataFrame:
                     (F.lit(1.0) - F.try_divide(F.col("ssr"), F.col("syy") - F.col("sy") ** 2 / F.col("n"))).alias("r2"))
 
 
-def ols_inference(raw: DataFrame, spark: SparkSession, terms: Sequence[int]) -> DataFrame:
-    """Coefficients with standard errors, t and p values from a raw-row fit (the summary of a
-    weighted fit on book means would miss the within-book variance).
-    Singular designs give NULL inference columns. Output (term, coef, std_err, t_value, p_value)."""
-    lr = LinearRegression(featuresCol="features", labelCol="label", solver="normal", regParam=0.0, fitIntercept=True)
-    model = lr.fit(raw)
-    coefs = [float(model.intercept)] + [float(c) for c in model.coefficients.toArray()]
-    try:
-        s = model.summary
-        se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
-        # Spark lists the intercept last
-        se, tv, pv = [se[-1]] + se[:-1], [tv[-1]] + tv[:-1], [pv[-1]] + pv[:-1]
-    except Exception:  # singular X^T X: coefficients only
-        se = tv = pv = [None] * len(coefs)
-    ids = [INTERCEPT] + [int(t) for t in terms]
-    rows = [(i, c, a, b, d) for i, c, a, b, d in zip(ids, coefs, se, tv, pv)]
+def ols_inference(ratings: DataFrame, book_tag_set: DataFrame, terms: Sequence[int],
+                  books: DataFrame | None = None) -> DataFrame:
+    """Coefficients with standard errors, t and p values of the raw-row OLS (term 0: intercept), from one
+    pass of sufficient statistics; no rating carries a feature vector. A singular design gives NULL
+    inference columns. Output (term, coef, std_err, t_value, p_value)."""
+    spark = ratings.sparkSession
+    stats = fold_statistics(ratings.withColumn("fold", F.lit(0)), book_tag_set, terms, books=books)
+    rows = [(i, *r) for i, r in zip([INTERCEPT, *map(int, terms)], inference_from_stats(spark, stats[0]))]
     return spark.createDataFrame(rows, "term long, coef double, std_err double, t_value double, p_value double")
 
 
@@ -121,20 +113,22 @@ def kkt_table(design: DataFrame, model: LinearRegressionModel, terms: Sequence[i
 
 
 # ------------------------------------------------------------------ cross-validation on sufficient statistics
-def fold_statistics(ratings_fold: DataFrame, book_tag_set: DataFrame, terms: Sequence[int], y: str = "rating") -> dict:
+def fold_statistics(ratings_fold: DataFrame, book_tag_set: DataFrame, terms: Sequence[int], y: str = "rating",
+                    books: DataFrame | None = None) -> dict:
     """One distributed pass: per fold, the raw-row Gram X^T X (with intercept column), X^T y, y^T y, n.
 
     X^T X is built from tag pairs of each book (a book has few tags), weighted by the book's row
     count in the fold, so nothing per-row is ever expanded. Returns NumPy arrays keyed by fold
-    (size folds x p^2, independent of the row count)."""
+    (size folds x p^2, independent of the row count). Rows take part whose book is among ``books``
+    (book_id); by default the books with at least one of the terms."""
     per = ratings_fold.groupBy("fold", "book_id").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(y).cast("double").alias("sy"),
         F.sum(F.col(y) * F.col(y)).cast("double").alias("syy"))
     tags = book_tag_set.where(F.col("tag_id").isin([int(t) for t in terms])).select("book_id", "tag_id")
+    books = (tags if books is None else books).select("book_id").distinct()
     with_icpt = materialize(  # (book, term) rows incl. the intercept term: read by three aggregates
-        tags.unionByName(book_tag_set.select("book_id").distinct().withColumn("tag_id", F.lit(INTERCEPT).cast("long"))))
-    # only books with at least one feature take part (inner merge)
-    per = per.join(tags.select("book_id").distinct(), "book_id", "left_semi")
+        tags.unionByName(books.withColumn("tag_id", F.lit(INTERCEPT).cast("long"))))
+    per = per.join(books, "book_id", "left_semi")
     a = with_icpt.withColumnRenamed("tag_id", "ti")
     b = with_icpt.withColumnRenamed("tag_id", "tj")
     # one job: X^T X cells (ti, tj), X^T y cells (ti, -1) and the y^T y / n row (-1, -1)
@@ -183,8 +177,47 @@ def lasso_gram(G: np.ndarray, c: np.ndarray, n: float, alpha: float, tol: float
             delta = max(delta, abs(new - b[j]))
             b[j] = new
         if delta < tol:
-            break
-    return np.concatenate([[mean_y - mean_x @ b], b])
+            return np.concatenate([[mean_y - mean_x @ b], b])
+    raise RuntimeError(f"lasso: not converged in {max_iter} sweeps at alpha {alpha}")
+
+
+def total_statistics(stats: dict) -> dict:
+    """The folds' statistics added up."""
+    return {k: sum(s[k] for s in stats.values()) for k in ("G", "c", "yy", "n")}
+
+
+def best_alpha(rows: Sequence[tuple[float, float, float, float]]) -> float:
+    """The alpha with the highest mean score, the larger one on ties."""
+    return max(rows, key=lambda r: (r[1], r[0]))[0]
+
+
+def kkt_ok(beta: np.ndarray, s: dict, alpha: float, tol: float) -> np.ndarray:
+    """Per term (intercept first) whether the LASSO conditions hold: see :func:`kkt_table`."""
+    g = (s["c"] - s["G"] @ beta) / s["n"]
+    ok = np.where(beta != 0, np.abs(g - alpha * np.sign(beta)) <= tol, np.abs(g) <= alpha + tol)
+    ok[0] = abs(g[0]) <= tol
+    return ok
+
+
+def student_p_values(spark: SparkSession, t_values: Sequence[float], df: float) -> list[float]:
+    """Two-sided p values of Student's t (the JVM's commons-math, which Spark ships)."""
+    dist = spark.sparkContext._jvm.org.apache.commons.math3.distribution.TDistribution(float(df))
+    return [2.0 * dist.cumulativeProbability(-abs(float(t))) for t in t_values]
+
+
+def inference_from_stats(spark: SparkSession, s: dict) -> list[tuple]:
+    """(coef, std_err, t_value, p_value) per term, intercept first, of OLS on the raw rows, from X^T X,
+    X^T y, y^T y and n alone. A singular X^T X gives minimum-norm coefficients and no inference (None)."""
+    gram, n = s["G"], s["n"]
+    p = len(gram)
+    if np.linalg.matrix_rank(gram, hermitian=True) < p or n <= p:
+        return [(float(b), None, None, None) for b in np.linalg.lstsq(gram, s["c"], rcond=None)[0]]
+    inverse = np.linalg.inv(gram)
+    beta = np.linalg.solve(gram, s["c"])
+    ssr = s["yy"] - 2 * beta @ s["c"] + beta @ gram @ beta
+    se = np.sqrt(np.diag(inverse) * ssr / (n - p))
+    t = beta / se
+    return list(zip(beta.tolist(), se.tolist(), t.tolist(), student_p_values(spark, t, n - p)))
 
 
 def r2_from_stats(beta: np.ndarray, s: dict) -> float:
@@ -208,12 +241,8 @@ def lasso_cv(stats: dict, alphas: Sequence[float]) -> list[tuple[float, float, f
     return out
 
 
-def raw_design(ratings: DataFrame, vectors: DataFrame, y: str = "rating") -> DataFrame:
-    """Raw rows with their book's features (for fits that need row-level residuals)."""
-    return ratings.join(vectors, "book_id").select(F.col(y).cast("double").alias("label"), array_to_vector("vec").alias("features"))
-
-
 __all__ = [
     "book_design", "ols_fit", "lasso_fit", "coefficient_table", "gradient_table", "r_squared_raw",
-    "ols_inference", "kkt_table", "fold_statistics", "lasso_gram", "lasso_cv", "raw_design", "vector_to_array",
+    "ols_inference", "kkt_table", "fold_statistics", "lasso_gram", "lasso_cv", "total_statistics", "best_alpha", "kkt_ok",
+    "inference_from_stats", "vector_to_array",
 ]

@@ -710,14 +710,16 @@ def within_between_ss(spark, sf):
 
 # ---------------------------------------------------------------- 2.11 distances
 def _next_pairs(e: DataFrame) -> DataFrame:
-    """Each embedding with the next id (an equi-join on id + 1; no all-pairs product)."""
-    a = e.select("vec_id", F.col("embedding").alias("a"))
-    b = e.select(F.col("vec_id").alias("other_id"), F.col("embedding").alias("b"))
-    return a.join(b, F.col("other_id") == F.col("vec_id") + 1)
+    """Each embedding with the one of the next larger id (an equi-join on dense ranks; no all-pairs product)."""
+    ranked = materialize(e.join(clean.relevel_ids(e, "vec_id", "_r"), "vec_id"))
+    a = ranked.select("vec_id", F.col("embedding").alias("a"), "_r")
+    b = ranked.select(F.col("vec_id").alias("other_id"), F.col("embedding").alias("b"), (F.col("_r") - 1).alias("_r"))
+    return a.join(b, "_r").drop("_r")
 
 
-_PAIR_LONG = """select a.vec_id, b.vec_id as other_id, {agg} as dist
-from el a join el b on b.vec_id = a.vec_id + 1 and b.dim = a.dim group by a.vec_id, b.vec_id"""
+_PAIR_LONG = """select a.vec_id, n.other_id, {agg} as dist from el a
+join (select vec_id, lead(vec_id) over (order by vec_id) as other_id from embeddings) n on n.vec_id = a.vec_id
+join el b on b.vec_id = n.other_id and b.dim = a.dim group by a.vec_id, n.other_id"""
 
 
 @q("manhattan", _PAIR_LONG.format(agg="round(sum(abs(a.value - b.value)), 6)"), ctes=_EMB_LONG)
@@ -732,34 +734,33 @@ def euclidean(spark, sf):
     return p.select("vec_id", "other_id", r6(vec.euclidean("a", "b")).alias("dist"))
 
 
-@q("gower", """select a.vec_id, b.vec_id as other_id,
-  round(sum(coalesce(abs(a.value - b.value) / nullif(r.rng, 0), 0)) / count(*), 6) as dist
-from el a join el b on b.vec_id = a.vec_id + 1 and b.dim = a.dim
-join (select dim, max(value) - min(value) as rng from el group by dim) r on r.dim = a.dim group by a.vec_id, b.vec_id""",
+@q("gower", """select a.vec_id, n.other_id,
+  round(sum(coalesce(abs(a.value - b.value) / nullif(r.rng, 0), 0)) / count(*), 6) as dist from el a
+join (select vec_id, lead(vec_id) over (order by vec_id) as other_id from embeddings) n on n.vec_id = a.vec_id
+join el b on b.vec_id = n.other_id and b.dim = a.dim
+join (select dim, max(value) - min(value) as rng from el group by dim) r on r.dim = a.dim group by a.vec_id, n.other_id""",
    ctes=_EMB_LONG)
 def gower(spark, sf):
     t = tables(spark, sf)
-    el = _emb_long(t)
-    # one range per dimension: as many rows as one vector has entries
-    rng = el.groupBy("dim").agg((F.max("value") - F.min("value")).alias("rng"))
-    b = el.select(F.col("vec_id").alias("other_id"), "dim", F.col("value").alias("b"))
-    p = el.join(b, (F.col("other_id") == F.col("vec_id") + 1) & (b["dim"] == el["dim"])).drop(b["dim"])
-    p = p.join(F.broadcast(rng), "dim")
-    term = F.coalesce(F.try_divide(F.abs(F.col("value") - F.col("b")), F.nullif(F.col("rng"), F.lit(0.0))), F.lit(0.0))
-    return p.groupBy("vec_id", "other_id").agg(r6(F.sum(term) / F.count(F.lit(1))).alias("dist"))
+    # one range per dimension: as many numbers as one vector has entries
+    el = _emb_long(t).groupBy("dim").agg((F.max("value") - F.min("value")).alias("rng"))
+    ranges = F.array(*[F.lit(r["rng"]).cast("double") for r in el.orderBy("dim").collect()])
+    p = _next_pairs(t.embeddings())
+    double = lambda c: F.transform(c, lambda x: x.cast("double"))
+    return p.select("vec_id", "other_id", r6(vec.gower(double("a"), double("b"), ranges)).alias("dist"))
 
 
 def _book_counts(t: Tables) -> DataFrame:
     """Per book (all books) the number of kept tags (0 when none)."""
-    s = feat.book_tag_set(long_tags(t))
+    s = model_tags(t)[3]
     n = s.groupBy("book_id").agg(F.count(F.lit(1)).alias("n"))
     return t.books().select(F.col("id").alias("book_id")).join(n, "book_id", "left").select("book_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _next_book_overlap(t: Tables) -> DataFrame:
     """(book_id, other_id = book_id + 1, n_a, n_b, n_ab) over the kept-tag 0/1 matrix."""
-    s = feat.book_tag_set(long_tags(t))
-    n = _book_counts(t)
+    s = model_tags(t)[3]
+    n = materialize(_book_counts(t))
     pairs = n.select("book_id", F.col("n").alias("n_a")).join(
         n.select(F.col("book_id").alias("other_id"), F.col("n").alias("n_b")), F.col("other_id") == F.col("book_id") + 1
     )
@@ -817,10 +818,9 @@ select count(v) as "count", round(avg(v), 6) as mean, round(stddev_samp(v), 6) a
   round(quantile_cont(v, 0.25), 6) as p25, round(quantile_cont(v, 0.5), 6) as p50, round(quantile_cont(v, 0.75), 6) as p75,
   round(max(v), 6) as max from mo""")
 def pairwise_overlap_summary(spark, sf):
-    s = feat.book_tag_set(long_tags(tables(spark, sf)))
     from shelfwise.operators.distances import mean_overlap
 
-    mo = mean_overlap(s)
+    mo = mean_overlap(model_tags(tables(spark, sf))[3])
     d = agg.describe_column(mo, ["mean_overlap"]).drop("column")
     return _r6_all(d, ["mean", "std", "min", "p25", "p50", "p75", "max"])
 
@@ -867,7 +867,7 @@ def model_tags(t: Tables):
         nt = materialize(norm_tags(t))
         kl = feat.resolve_kept(feat.kept_tags(nt, t.tags()))
         vecs = materialize(feat.dense_tag_arrays(nt, kl))
-        tag_set = nt.where(F.col("tag_id").isin([tid for tid, _ in kl])).select("book_id", "tag_id").distinct()
+        tag_set = materialize(nt.where(F.col("tag_id").isin([tid for tid, _ in kl])).select("book_id", "tag_id").distinct())
         return nt, kl, vecs, tag_set
 
     return t.memo("model_tags", build)
@@ -948,13 +948,13 @@ def validate_membership(spark, sf):
     return rec.validate_membership(_knn_recs(t), t.to_read(), top_books, user, 100)
 
 
-def _user_split(t: Tables):
+def _user_split(t: Tables, vectors=None):
     from shelfwise.operators.sampling import hash_split
 
-    vecs, width = tag_vectors(t)
+    vecs, width = vectors or tag_vectors(t)
     mine = flagged(t).where(F.col("user_id") == chosen_user(t)).select("book_id", "good")
     split = hash_split(mine, "book_id", 0.2)
-    data = rec.with_vectors(split, vecs, width)
+    data = materialize(rec.with_vectors(split, vecs, width))
     train = data.where(~F.col("is_test")).select(F.col("book_id").alias("tid"), "vec", F.col("good").alias("label"))
     test = data.where(F.col("is_test")).select(F.col("book_id").alias("qid"), "vec", F.col("good").alias("label"))
     return train, test
@@ -1079,8 +1079,52 @@ def ols_coefficients(spark, sf):
 @q("ols_inference")
 def ols_inference(spark, sf):
     t = tables(spark, sf)
-    _, terms, vecs = _regression_inputs(t)
-    return reg.ols_inference(reg.raw_design(clean_ratings(t), vecs), spark, terms)
+    _, kl, _, tag_set = model_tags(t)
+    return reg.ols_inference(clean_ratings(t), tag_set, [tid for tid, _ in kl])
+
+
+def _brand_design(t: Tables):
+    """(ratings, (book_id, tag_id) of the brand tags, brand tags in name order): one 0/1 column per brand
+    but the first. Every book has one brand, so the fit can be stated in SQL as group statistics."""
+    brands = [(r["tag_id"], r["tag_name"]) for r in
+              t.tags().where(F.col("tag_name").startswith("Brand#")).orderBy("tag_name").collect()]
+    of_book = t.part_tags().where(F.col("tag_name").startswith("Brand#")).join(t.tags(), "tag_name")
+    return clean_ratings(t), materialize(of_book.select(F.col("id").alias("book_id"), "tag_id")), brands
+
+
+_BRAND = """rb as (select c.user_id, c.book_id, c.rating, p.p_brand as brand from fx_clean c join part p on p.p_partkey + 1 = c.book_id),
+gb as (select brand, count(*) as n, avg(rating) as m from rb group by brand),
+bs as (select n as n0, m as m0, brand as b0 from gb where brand = (select min(p_brand) from part)),
+sg as (select sqrt(sum(power(rb.rating - gb.m, 2)) / (count(*) - (select count(*) from gb))) as s from rb join gb on gb.brand = rb.brand)"""
+
+
+@q("ols_brand_inference", """select gb.brand as term, round(case when brand = b0 then m0 else m - m0 end, 6) as coef,
+  round(s * sqrt(case when brand = b0 then 1.0 / n0 else 1.0 / n + 1.0 / n0 end), 6) as std_err,
+  round((case when brand = b0 then m0 else m - m0 end) / (s * sqrt(case when brand = b0 then 1.0 / n0 else 1.0 / n + 1.0 / n0 end)), 4) as t_value
+from gb cross join bs cross join sg""", ctes=_BRAND)
+def ols_brand_inference(spark, sf):
+    """OLS of the ratings on brand columns: the intercept stands for the first brand."""
+    t = tables(spark, sf)
+    ratings, of_book, brands = _brand_design(t)
+    out = reg.ols_inference(ratings, of_book, [i for i, _ in brands[1:]], books=of_book.select("book_id"))
+    names = spark.createDataFrame([(0, brands[0][1]), *brands[1:]], "term long, name string")  # one row per brand
+    out = out.join(F.broadcast(names), "term")
+    return out.select(F.col("name").alias("term"), r6("coef").alias("coef"), r6("std_err").alias("std_err"), F.round("t_value", 4).alias("t_value"))
+
+
+@q("ols_brand_residuals", """select rb.user_id, rb.book_id, rb.rating, round(gb.m, 6) as fitted, round(rb.rating - gb.m, 6) + 0.0 as residual
+from rb join gb on gb.brand = rb.brand""", ctes=_BRAND)
+def ols_brand_residuals(spark, sf):
+    """Fitted value and residual of every rating under the fit on brand columns."""
+    t = tables(spark, sf)
+    ratings, of_book, brands = _brand_design(t)
+    fit = reg.ols_inference(ratings, of_book, [i for i, _ in brands[1:]], books=of_book.select("book_id"))
+    coef = {r["term"]: r["coef"] for r in fit.collect()}  # one number per brand
+    rows = [(i, coef[0] + coef.get(i, 0.0)) for i, _ in brands]
+    per_brand = spark.createDataFrame(rows, "tag_id long, fitted double")
+    j = ratings.join(of_book, "book_id").join(F.broadcast(per_brand), "tag_id")
+    return j.select("user_id", "book_id", "rating", r6("fitted").alias("fitted"),
+                    (r6(F.col("rating") - F.col("fitted")) + F.lit(0.0)).alias("residual"))
 
 
 @q("ols_predict_item")
@@ -1126,13 +1170,38 @@ def lasso_coefficients(spark, sf):
 @q("lasso_cv")
 def lasso_cv(spark, sf):
     """5-fold CV of R^2 over the 30-alpha grid from one pass of per-fold sufficient statistics."""
-    t = tables(spark, sf)
+    _, stats = _fold_stats(tables(spark, sf))
+    return spark.createDataFrame(reg.lasso_cv(stats, LASSO_GRID), "alpha double, mean_score double, std_score double, std_error double")
+
+
+def _fold_stats(t: Tables):
     _, kl, _, tag_set = model_tags(t)
     terms = [tid for tid, _ in kl]
     folded = clean_ratings(t).withColumn("fold", F.floor(hash_pair_u32("user_id", "book_id") * 5 / F.lit(1 << 32)).cast("int"))
-    stats = reg.fold_statistics(folded, tag_set, terms)
+    return terms, reg.fold_statistics(folded, tag_set, terms)
+
+
+@q("lasso_best_alpha")
+def lasso_best_alpha(spark, sf):
+    """The cross-validated alpha and the coefficients that the refit on all rows keeps."""
+    _, stats = _fold_stats(tables(spark, sf))
     rows = reg.lasso_cv(stats, LASSO_GRID)
-    return spark.createDataFrame(rows, "alpha double, mean_score double, std_score double, std_error double")
+    alpha = reg.best_alpha(rows)
+    s = reg.total_statistics(stats)
+    beta = reg.lasso_gram(s["G"], s["c"], s["n"], alpha)
+    score = next(r[1] for r in rows if r[0] == alpha)
+    return spark.createDataFrame([(alpha, score, int((beta[1:] != 0).sum()), reg.r2_from_stats(beta, s))],
+                                 "alpha double, mean_score double, n_active int, r2 double")
+
+
+@q("lasso_refit", "select cast(0 as bigint) as term, true as kkt_ok union all select tag_id as term, true as kkt_ok from fx_kept")
+def lasso_refit(spark, sf):
+    """KKT certificate of the refit at the best alpha: every term satisfies its condition."""
+    terms, stats = _fold_stats(tables(spark, sf))
+    alpha = reg.best_alpha(reg.lasso_cv(stats, LASSO_GRID))
+    s = reg.total_statistics(stats)
+    ok = reg.kkt_ok(reg.lasso_gram(s["G"], s["c"], s["n"], alpha), s, alpha, KKT_TOL)
+    return spark.createDataFrame([(int(i), bool(x)) for i, x in zip([0, *terms], ok)], "term long, kkt_ok boolean")
 
 
 # ---------------------------------------------------------------- 2.12 PCA
@@ -1197,17 +1266,67 @@ def pca_loadings(spark, sf):
     return topk.topk_abs_per_group(lt, "component", "loading", "tag_name", 5).select("component", "rank", "tag_name", "loading")
 
 
-@q("pca_transform", "select cast(0.0 as double) as max_offdiag_cov")
+@q("pca_certificate", """select cast(row_number() over (order by tag_id) as integer) as component, true as eigen_ok, true as ratios_ok from fx_kept""")
+def pca_certificate(spark, sf):
+    """Per component: covariance x vector = eigenvalue x vector against the covariance counted from tag
+    pairs, and the shares add up to 1."""
+    t = tables(spark, sf)
+    _, terms, fit = _pca(t)
+    at = {tid: i for i, tid in enumerate(terms)}
+    s = model_tags(t)[3]
+    n = s.select("book_id").distinct().count()
+    ni = {r["tag_id"]: r["c"] for r in s.groupBy("tag_id").agg(F.count(F.lit(1)).alias("c")).collect()}  # p rows
+    cov = dec.np.array([[-ni.get(a, 0) * ni.get(b, 0) / n / (n - 1) for b in terms] for a in terms])
+    for r in dec.covariance_long(s).collect():  # at most p^2 rows
+        cov[at[r["ti"]], at[r["tj"]]] = r["cov"]
+    values = fit.ratios * cov.trace()
+    off = dec.np.abs(cov @ fit.pc - fit.pc * values).max(axis=0) / values.max()
+    total = abs(fit.ratios.sum() - 1) < 1e-9
+    return spark.createDataFrame([(i + 1, bool(x < 1e-9), bool(total)) for i, x in enumerate(off)],
+                                 "component int, eigen_ok boolean, ratios_ok boolean")
+
+
+@q("pca_transform", "select cast(0.0 as double) as max_offdiag_cov, true as diagonal_is_variance")
 def pca_transform(spark, sf):
-    """Certificate of the centred projection: the scores' covariance matrix is diagonal."""
+    """Certificate of the centred projection: the scores' covariance matrix is diagonal, and its diagonal
+    holds the components' variances (none of them zero)."""
     t = tables(spark, sf)
     vecs, _, fit = _pca(t)
     n_comp = max(2, dec.select_components(fit.ratios, PCA_SHARE))
-    scores = fit.scores(vecs, n_comp)
+    scores = materialize(fit.scores(vecs, n_comp))
     ex = scores.select("book_id", F.posexplode("vec").alias("i", "xi"), "vec").select(
-        "book_id", "i", "xi", F.posexplode("vec").alias("j", "xj")).where(F.col("i") < F.col("j"))
+        "book_id", "i", "xi", F.posexplode("vec").alias("j", "xj")).where(F.col("i") <= F.col("j"))
     cov = ex.groupBy("i", "j").agg((F.sum(F.col("xi") * F.col("xj")) / (F.count(F.lit(1)) - 1)).alias("c"))
-    return cov.agg((F.round(F.max(F.abs("c")), 6) + F.lit(0.0)).alias("max_offdiag_cov"))
+    # all variances, from the raw vectors: the shares are of their sum
+    el = vecs.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.var_samp("x").alias("v"))
+    total = el.agg(F.sum("v")).scalar()
+    share = F.get(F.array(*[F.lit(float(x)) for x in fit.ratios[:n_comp]]), F.col("i"))
+    on = F.col("i") == F.col("j")
+    right = (F.col("c") > 0) & (F.abs(F.col("c") - share * total) <= 1e-9 * total)
+    cov = cov.withColumn("_right", right | ~on)
+    return cov.agg((F.round(F.max(F.when(~on, F.abs("c"))), 6) + F.lit(0.0)).alias("max_offdiag_cov"),
+                   F.bool_and("_right").alias("diagonal_is_variance"))
+
+
+@q("tune_curve_pca")
+def tune_curve_pca(spark, sf):
+    """Accuracy for k = 1..19 on the PCA scores of the chosen user's books."""
+    t = tables(spark, sf)
+    vecs, _, fit = _pca(t)
+    n_comp = dec.select_components(fit.ratios, PCA_SHARE)
+    train, test = _user_split(t, (materialize(fit.scores(vecs, n_comp)), n_comp))
+    acc = nbrs.prefix_accuracy(nbrs.knn_neighbors(test, train, 19), train, test, 19)
+    return acc.select(F.col("k").cast("bigint").alias("k"), r6("accuracy").alias("accuracy"))
+
+
+@q("validate_membership_pca")
+def validate_membership_pca(spark, sf):
+    """Are the PCA-based recommendations on the user's to-read list, and among the 100 best candidates?"""
+    t = tables(spark, sf)
+    fl = written_flags(t)
+    user = chosen_user(t)
+    top_books = topk.top_unread_books(fl, fl.where(F.col("user_id") == user), 1000)
+    return rec.validate_membership(knn_recommend_pca(spark, sf), t.to_read(), top_books, user, 100)
 
 
 @q("knn_recommend_pca")

@@ -83,10 +83,16 @@ def test_ols_on_book_means_equals_raw_least_squares(spark):
     assert math.isclose(r2, 1 - resid @ resid / ((y - y.mean()) @ (y - y.mean())), rel_tol=1e-9)
 
 
+def _tag_set(vecs):
+    """(book_id, tag_id) of the ones of the vectors, tags numbered from 1."""
+    return vecs.select("book_id", F.posexplode("vec").alias("i", "x")).where("x <> 0").select(
+        "book_id", (F.col("i") + 1).cast("long").alias("tag_id"))
+
+
 def test_ols_inference_matches_closed_form(spark):
     ratings, vecs, X, y = _design(spark, seed=2)
-    raw = reg.raw_design(ratings, vecs)
-    table = {r["term"]: r for r in reg.ols_inference(raw, spark, range(1, 6)).collect()}
+    books = vecs.select("book_id")
+    table = {r["term"]: r for r in reg.ols_inference(ratings, _tag_set(vecs), range(1, 6), books=books).collect()}
     A = np.column_stack([np.ones(len(y)), X])
     beta = np.linalg.lstsq(A, y, rcond=None)[0]
     resid = y - A @ beta
@@ -95,6 +101,30 @@ def test_ols_inference_matches_closed_form(spark):
     for term in range(6):
         assert math.isclose(table[term]["coef"], beta[term], abs_tol=1e-8)
         assert math.isclose(table[term]["std_err"], se[term], rel_tol=1e-6)
+        assert 0 <= table[term]["p_value"] <= 1 and math.isclose(table[term]["t_value"], beta[term] / se[term], rel_tol=1e-6)
+
+
+def test_singular_design_has_no_inference_and_p_values_are_student(spark):
+    s = {"G": np.array([[4.0, 2.0, 2.0], [2.0, 2.0, 2.0], [2.0, 2.0, 2.0]]), "c": np.array([6.0, 4.0, 4.0]), "yy": 12.0, "n": 4.0}
+    rows = reg.inference_from_stats(spark, s)
+    assert all(r[1:] == (None, None, None) for r in rows)
+    assert np.allclose(s["G"] @ [r[0] for r in rows], s["c"])
+    # two-sided 5 % points of t with 10 and 30 degrees of freedom
+    assert abs(reg.student_p_values(spark, [2.228139], 10)[0] - 0.05) < 1e-6
+    assert abs(reg.student_p_values(spark, [-2.042272], 30)[0] - 0.05) < 1e-6
+
+
+def test_lasso_raises_when_it_does_not_converge():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(30, 4)) + rng.normal(size=(30, 1)) * 5
+    a = np.column_stack([np.ones(30), x])
+    y = rng.normal(size=30)
+    with pytest.raises(RuntimeError, match="not converged"):
+        reg.lasso_gram(a.T @ a, a.T @ y, 30.0, 1e-4, max_iter=2)
+    beta = reg.lasso_gram(a.T @ a, a.T @ y, 30.0, 0.05)
+    stats = {"G": a.T @ a, "c": a.T @ y, "yy": y @ y, "n": 30.0}
+    assert reg.kkt_ok(beta, stats, 0.05, 1e-8).all() and not reg.kkt_ok(beta + 0.1, stats, 0.05, 1e-8).all()
+    assert reg.best_alpha([(0.1, 0.5, 0, 0), (0.2, 0.6, 0, 0), (0.3, 0.6, 0, 0)]) == 0.3
 
 
 def test_lasso_spark_and_gram_solver_agree_and_satisfy_kkt(spark):
