@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import jaccard, linededup, mixing, pieces, queries, toxicity
 from shelfwise.llm.common import table
-from shelfwise.session import scratch_path
+from shelfwise.session import delete_path, scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to the whole documents table; each one's rows are written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to the whole documents table; each one's rows are written to the shared folder and
+    read again. A stage's folder is removed when the next stage has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs

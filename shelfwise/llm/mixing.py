@@ -45,7 +45,8 @@ def plan_cycles(counts: Sequence[int], units: Sequence[int], block: int) -> list
     has any; a source that ends leaves its slots to the others. Each run lists its slots with the
     number of rows before them in the cycle, the rows of a cycle and of all cycles before the run."""
     blocks = [-(-n // block) for n in counts]
-    cuts = sorted({0} | {m // u for m, u in zip(blocks, units)} | {m // u + 1 for m, u in zip(blocks, units)})
+    ends = [(m - 1) // u for m, u in zip(blocks, units) if m]  # the cycle of a source's last block, which may be short
+    cuts = sorted({0, *ends, *(c + 1 for c in ends)})
     runs, base = [], 0
     for c0, c1 in zip(cuts, cuts[1:] + [None]):
         has = [max(0, min(u, m - c0 * u)) for m, u in zip(blocks, units)]
