@@ -110,7 +110,7 @@ def measure(texts: Sequence[str | None], rules: Sequence[Rule]) -> list[tuple[st
 def order_rules(figures: Sequence[tuple[str, float, float]], rules: Sequence[Rule]) -> list[Rule]:
     """Most rejections per second first; among rules that reject nothing, the cheaper first."""
     by = {name: (-(share / max(cost, 1e-9)), cost, name) for name, cost, share in figures}
-    return sorted(rules, key=lambda r: by[r.name])
+    return sorted(rules, key=lambda r: by.get(r.name, (0.0, 0.0, r.name)))  # an empty table gives no figures
 
 
 def measure_sample(docs: DataFrame, rules: Sequence[Rule], text_col: str, rows: int) -> list[tuple[str, float, float]]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,35 +16,44 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import saved
 
 _WORD = re.compile(r"[^\W\d_]+")
-_STEM = 5
+#: Lengths of the word beginnings that are features beside whole words, for inflected and compound forms.
+_STEMS = (4, 5)
+#: Bounds of the learned decision threshold.
+THRESHOLDS = (0.03, 0.5)
+
+
+def _stems(word: str) -> list[str]:
+    return [word[:n] + "*" for n in _STEMS if len(word) > n]
 
 
 def features(text: str | None) -> Counter:
-    """Occurrences of the lower-cased words and, marked by ``*``, of the word beginnings of five letters."""
+    """Occurrences of the lower-cased words and, marked by ``*``, of the beginnings of longer words."""
     out = Counter(_WORD.findall((text or "").lower()))
     for w, n in list(out.items()):
-        if len(w) > _STEM:
-            out[w[:_STEM] + "*"] += n
+        for stem in _stems(w):
+            out[stem] += n
     return out
 
 
 @dataclass
 class OrdinalModel:
-    """P(grade >= k) = sigmoid(weights . x - cuts[k - 1]); x holds 0/1 features, cuts increase."""
+    """P(grade >= k) = sigmoid(weights . x - cuts[k - 1]); x holds 0/1 features, cuts increase. A text is
+    called toxic from P(grade >= 1) = ``threshold`` on."""
 
     weights: dict[str, float]
     cuts: np.ndarray
+    threshold: float = 0.5
 
     def tail(self, text: str | None) -> np.ndarray:
         words = set(_WORD.findall((text or "").lower()))
-        words.update([w[:_STEM] + "*" for w in words if len(w) > _STEM])
+        words.update([stem for w in words for stem in _stems(w)])
         get = self.weights.get
         z = sum(sorted(v for w in words if (v := get(w)) is not None))
         return 1 / (1 + np.exp(np.clip(self.cuts - z, -500, 500)))
 
 
 def fit_cumulative(rows: list[np.ndarray], grades: np.ndarray, sample_weight: np.ndarray, n_features: int,
-                   n_grades: int, l2: float = 1e-4, steps: int = 400, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+                   n_grades: int, l2: float = 1e-5, steps: int = 600, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """(weights, cuts) of the proportional-odds model by full-batch Adam on the mean log loss.
 
     One weight vector serves all thresholds; cuts are the first one plus exponentials, which keeps
@@ -79,7 +89,9 @@ def fit_cumulative(rows: list[np.ndarray], grades: np.ndarray, sample_weight: np
 def draw_labelled(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str, text_col: str,
                   label_col: str) -> DataFrame:
     """(doc_id, text, toxic, rate): about ``per_class`` labelled rows of either class, drawn by a hash of
-    the id; ``rate`` is the share of the class that was drawn. Written once, as several passes read it."""
+    the id; ``rate`` is the share of the class that was drawn. Of texts that share a signature of minimal
+    word hashes, which copies and near copies do, one stays, so that a copied text's chance words do not
+    pass for evidence. Written once, as several passes read it."""
     lab = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
     lab = lab.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in lab.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -88,19 +100,41 @@ def draw_labelled(docs: DataFrame, labels: DataFrame, per_class: int, id_col: st
     rate = F.when(F.col("toxic") == 1, rates[1]).otherwise(rates[0])
     some = lab.withColumn("rate", rate).where(drawn < F.col("rate"))
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return saved(F.broadcast(some).join(text.where(F.col("text").isNotNull()), "doc_id"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [_signatures(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(m, pa.string()) for m in zip(*marks))] if marks else
+                                             [*batch.columns, pa.array([], pa.string()), pa.array([], pa.string())],
+                                             ["doc_id", "text", "toxic", "rate", "s0", "s1"])
+
+    rows = F.broadcast(some).join(text.where(F.col("text").isNotNull()), "doc_id").select("doc_id", "text", "toxic", "rate")
+    rows = saved(rows.mapInArrow(sign, "doc_id long, text string, toxic int, rate double, s0 string, s1 string"))
+    for s in ("s0", "s1"):
+        first = rows.groupBy("toxic", s).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+        rows = rows.join(first, "doc_id", "left_semi")
+    return saved(rows.drop("s0", "s1"))
+
+
+def _signatures(text: str) -> tuple[str, str]:
+    """Two tuples of three minimal hashes of the words; near copies share one of them with high probability."""
+    words = [w.encode() for w in set(_WORD.findall(text.lower()))]
+    return tuple(",".join(str(min((zlib.crc32(w, 10 * n + k) for w in words), default=0)) for k in range(3)) for n in (1, 2))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_features: int = 3000,
-                 min_docs: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                 min_docs: int = 4, min_z: float = 4.5, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic") -> OrdinalModel | None:
     """Learn from a bounded sample of labelled rows (``per_class`` of either class, whole texts).
 
     The labels say toxic or not; grades 1 to 3 are read off the toxic texts themselves: by how many
     occurrences of marker features (those that set the classes apart most clearly) a text has,
     relative to the terciles of the toxic sample. Grade 0 is the clean class. Features: the
-    ``max_features`` with the largest z-score between the classes. The driver gets these and, for each
-    sampled row, the indices of its features. None when a class is missing."""
+    ``max_features`` with the largest z-score between the classes, ``min_z`` at least, which keeps out words
+    that stand in toxic texts by chance. The driver gets these and, for each
+    sampled row, the indices of its features. The threshold is set a fifth above the 99.9 % quantile of
+    the clean sample's probabilities, within ``THRESHOLDS``, so that one clear marker suffices where clean
+    texts show none. None when a class is missing."""
     sample = draw_labelled(docs, labels, per_class, id_col, text_col, label_col)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
@@ -120,12 +154,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_
     counted = counted.groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= min_docs)
     share = (F.col("n0") + F.col("n1")) / float(n0 + n1)
     z = (F.col("n1") / float(n1) - F.col("n0") / float(n0)) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1) + 1e-12)
-    top = counted.withColumn("z", z).orderBy(F.abs("z").desc(), "f").limit(max_features).collect()
+    top = counted.withColumn("z", z).where(F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "f").limit(max_features).collect()
     names = [r["f"] for r in top]
     index = {f: i for i, f in enumerate(names)}
     # markers: clearly toxic (z) and next to never clean; a word outranks its own beginning
     marker = {r["f"] for r in top if r["z"] >= 5 and r["n1"] * n0 >= 20 * r["n0"] * n1}
-    marker -= {f[:_STEM] + "*" for f in marker if not f.endswith("*")}
+    marker -= {stem for f in marker if not f.endswith("*") for stem in _stems(f)}
 
     def index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,14 +179,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_
     grades = np.unique(grades, return_inverse=True)[1]  # grades without a row are left out
     weight = 1 / np.array([r["rate"] for r in rows])
     w, cuts = fit_cumulative([np.array(r["idx"], np.int64) for r in rows], grades, weight, len(names), int(grades.max()) + 1)
-    return OrdinalModel({f: float(x) for f, x in zip(names, w) if x}, cuts)
+    p = 1 / (1 + np.exp(cuts[0] - np.array([w[np.array(r["idx"], np.int64)].sum() for r in rows])))
+    threshold = float(np.clip(1.2 * np.quantile(p[toxic == 0], 0.999), *THRESHOLDS))
+    return OrdinalModel({f: float(x) for f, x in zip(names, w) if x}, cuts, threshold)
 
 
 def predict_toxicity(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
     """(doc_id, severity, p_toxic, grade, toxic) for every row, from the whole text.
 
-    severity: expected grade, the sum of P(grade >= k). p_toxic: P(grade >= 1); toxic: p_toxic >= 0.5.
+    severity: expected grade, the sum of P(grade >= k). p_toxic: P(grade >= 1); toxic: p_toxic >= the model's
+    threshold.
     grade: the number of thresholds passed with probability 0.5. A null or empty text has no features;
     without a model every row gets 0. Repeated rows give equal rows; other columns are not read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -165,7 +202,7 @@ def predict_toxicity(docs: DataFrame, model: OrdinalModel | None, id_col: str =
                 [batch.column(0), pa.array([float(x.sum()) for x in tails], pa.float64()),
                  pa.array([float(x[0]) for x in tails], pa.float64()),
                  pa.array([int((x >= 0.5).sum()) for x in tails], pa.int32()),
-                 pa.array([bool(x[0] >= 0.5) for x in tails], pa.bool_())],
+                 pa.array([bool(model and x[0] >= model.threshold) for x in tails], pa.bool_())],
                 ["doc_id", "severity", "p_toxic", "grade", "toxic"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
