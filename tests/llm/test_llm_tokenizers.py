@@ -40,7 +40,7 @@ def codec():
         return chat.Codec(f.read())
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=60, deadline=None)
 @given(st.lists(TEXTS, max_size=5))
 def test_pieces_equal_the_library(piece_model, texts):
     model, sp = piece_model
@@ -75,7 +75,7 @@ def test_piece_edges(spark, piece_model, monkeypatch):
         assert piece_model[0].encode([t, t])[1].tolist() == piece_model[1].encode(t)
 
 
-@settings(max_examples=500, deadline=None)
+@settings(max_examples=200, deadline=None)
 @given(TEXTS)
 def test_token_counts_equal_the_library(word_counter, text):
     assert word_counter[0].count(text) == len(word_counter[1].encode(text, add_special_tokens=False).ids)
@@ -114,7 +114,7 @@ def test_token_counts_of_the_table_and_edges(spark, word_counter):
     assert tokencount.count_tokens(df.limit(0), queries.WORD_BPE).count() == 0
 
 
-@settings(max_examples=500, deadline=None)
+@settings(max_examples=200, deadline=None)
 @given(TEXTS)
 def test_escape_hides_control_strings_and_is_reversible(codec, text):
     hidden = chat.escape(text)
