@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Mapping, Sequence
+from bisect import bisect_left
+from collections.abc import Iterator, Mapping, Sequence
+from fractions import Fraction
+from functools import reduce
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +39,52 @@ def pfair_cycle(units: Sequence[int]) -> list[tuple[int, int]]:
     return order
 
 
+def exact_slots(blocks: Sequence[int], weights: Sequence[float]) -> Iterator[tuple[int, int]]:
+    """(source, block) of every slot, for all blocks of all sources, by the weights as they are.
+
+    Fluid target: source i gets w_i / (weights of the sources not yet used up) of every slot until its
+    blocks[i] blocks are used up, and T(v) is the slot by which each source has had min(v w_i, blocks[i]).
+    Block j of source i is released at slot floor(T(j / w_i)) and due by slot ceil(T((j + 1) / w_i)); among
+    the released blocks the one due first takes the slot (ties: lower source). The fluid shares fill every
+    slot, so all blocks meet their windows and after every slot each source is less than one block from
+    its target. Integers only (weights to 53 bits); one block a source is held at a time.
+
+    Where no source has more than one block there are no shares to hold: source order."""
+    live = [i for i, m in enumerate(blocks) if m]
+    if all(blocks[i] == 1 for i in live):
+        yield from ((i, 0) for i in live)
+        return
+    top = max(weights[i] for i in live)
+    p = [max(1, round(w / top * 2**53)) for w in weights]
+    order = sorted(live, key=lambda i: Fraction(blocks[i], p[i]))  # in which the sources are used up
+    ends = [blocks[i] / p[i] for i in order]
+    gone, rate = [0], [sum(p[i] for i in live)]
+    for i in order:
+        gone.append(gone[-1] + blocks[i])
+        rate.append(rate[-1] - p[i])
+
+    def at(i: int, j: int) -> tuple[int, int]:
+        """T(j / w_i) as a whole number and a remainder."""
+        k = min(bisect_left(ends, j / p[i]), len(order) - 1)
+        while k and blocks[order[k - 1]] * p[i] > j * p[order[k - 1]]:
+            k -= 1
+        while blocks[order[k]] * p[i] < j * p[order[k]]:
+            k += 1
+        whole, rest = divmod(j * rate[k], p[i])
+        return gone[k] + whole, rest
+
+    future, ready = [(0, i, 0) for i in live], []
+    for t in range(gone[-1]):
+        while future and future[0][0] <= t:
+            _, i, j = heapq.heappop(future)
+            whole, rest = at(i, j + 1)
+            heapq.heappush(ready, (whole + (rest > 0), i, j))
+            if j + 1 < blocks[i]:
+                heapq.heappush(future, (whole, i, j + 1))
+        _, i, j = heapq.heappop(ready)
+        yield i, j
+
+
 def cycle_units(counts: Sequence[int], weights: Sequence[float], cycle: int) -> list[int]:
     """Target weights as whole blocks per cycle of about ``cycle`` slots, one at least."""
     total = sum(w for w, n in zip(weights, counts) if n > 0)
@@ -66,6 +117,22 @@ def _literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFr
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
 
 
+def _slot_table(spark: SparkSession, counts: Sequence[int], weights: Sequence[float], block: int,
+                chunk: int = 1 << 20) -> DataFrame:
+    """(_i, block, _slot, _off) of :func:`exact_slots`, written in chunks; _off: rows before the slot."""
+    slots, off, slot, parts = exact_slots([-(-n // block) for n in counts], weights), 0, 0, []
+    while (some := list(islice(slots, chunk))) or not parts:
+        offs = []
+        for i, j in some:
+            offs.append(off)
+            off += min(block, counts[i] - j * block)
+        cols = [pa.array([i for i, _ in some], pa.int32()), pa.array([j for _, j in some], pa.int64()),
+                pa.array(range(slot, slot + len(some)), pa.int64()), pa.array(offs, pa.int64())]
+        parts.append(saved(spark.createDataFrame(pa.Table.from_arrays(cols, ["_i", "block", "_slot", "_off"]))))
+        slot += len(some)
+    return reduce(DataFrame.union, parts)
+
+
 def source_ranks(docs: DataFrame, id_col: str, source_col: str, seed: int) -> DataFrame:
     """(doc_id, source, _rank): rows numbered 0, 1, ... within their source in a seeded random order.
 
@@ -87,20 +154,24 @@ def source_ranks(docs: DataFrame, id_col: str, source_col: str, seed: int) -> Da
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = None, temperature: float = 0.5,
-                cycle: int = 256, block: int = 16, seed: int = 17, max_sources: int = 5000, id_col: str = "doc_id",
+                cycle: int | None = None, block: int = 16, seed: int = 17, max_sources: int = 5000, id_col: str = "doc_id",
                 source_col: str = "source") -> DataFrame:
     """(doc_id, source, source_rank, block, cycle, slot, position) for every row; position is 0 .. N - 1.
 
     Target weights: ``weights`` by source (1 for a source not in it), or rows ** ``temperature``.
-    The rows of a source, in a seeded random order, form blocks of ``block`` rows. The schedule runs
-    in cycles of about ``cycle`` slots; within a cycle blocks get Pfair windows and are dealt by
-    earliest deadline (:func:`pfair_cycle`), so at any slot each source is less than one block from
-    its target. No row is dropped or repeated: when a source ends, the others share its slots.
+    The rows of a source, in a seeded random order, form blocks of ``block`` rows. The blocks get Pfair
+    windows from the weights as they are and are dealt by earliest deadline (:func:`exact_slots`), so at
+    any slot each source is less than one block from its target. No row is dropped or repeated: when a
+    source ends, the others share its slots. ``cycle`` and ``slot`` count the slots by 256.
+
+    With ``cycle`` given, the weights are rounded to whole blocks, one at least, of a cycle of about
+    ``cycle`` slots, which repeats (:func:`cycle_units`); the deviation is then bounded against the
+    rounded weights only.
 
     A null source is a source of its own. A null id is numbered like any other; rows that repeat an
     id get a position each. An empty table gives no rows. More than ``max_sources`` sources raise
-    ValueError: the driver works the cycles out from one count per source, at most
-    (2 sources + 1) x slots of a cycle rows, which are also all that is broadcast."""
+    ValueError: the driver holds one count per source. It deals the slots one by one (one per block)
+    and writes them in chunks; with ``cycle`` it broadcasts at most (2 sources + 1) x slots of a cycle."""
     spark = docs.sparkSession
     found = docs.groupBy(F.col(source_col).cast("string").alias("source")).agg(F.count(F.lit(1)).alias("n"))
     counted = sorted(found.limit(max_sources + 1).collect(), key=lambda r: (r["source"] is not None, r["source"]))
@@ -111,6 +182,13 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
              for s, n in zip(names, counts)]
     if any(not w > 0 for w in share):
         raise ValueError("mix_sources: weights must be positive")
+    ranked = source_ranks(docs, id_col, source_col, seed)
+    if cycle is None:
+        source = _literal_table(spark, [{"_name": s, "_i": i} for i, s in enumerate(names)], "_name string, _i int")
+        b = ranked.join(F.broadcast(source), F.col("source").eqNullSafe(F.col("_name")))
+        b = b.withColumn("block", F.expr(f"_rank div {int(block)}")).join(_slot_table(spark, counts, share, block), ["_i", "block"])
+        return b.select("doc_id", "source", F.col("_rank").alias("source_rank"), "block", F.expr("_slot div 256").alias("cycle"),
+                        (F.col("_slot") % 256).alias("slot"), (F.col("_off") + F.col("_rank") % F.lit(int(block))).alias("position"))
     units = cycle_units(counts, share, cycle) if counts else []
     runs = plan_cycles(counts, units, block)
     slots = _literal_table(spark, [
@@ -123,7 +201,6 @@ def mix_sources(docs: DataFrame, weights: Mapping[str | None, float] | None = No
     def longs(xs: list[int]) -> Column:
         return F.from_json(F.lit(json.dumps(xs)), "array<bigint>")
 
-    ranked = source_ranks(docs, id_col, source_col, seed)
     b = ranked.join(F.broadcast(source), F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
     b = b.withColumn("block", F.expr(f"_rank div {int(block)}")).withColumn("cycle", F.expr("block div _u"))
     b = b.withColumn("_j", F.col("block") % F.col("_u"))
