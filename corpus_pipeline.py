@@ -44,9 +44,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids, round_trip): the SentencePiece ids of every text; round_trip tells that
-    they decode to it."""
-    return pieces.encode_checked(docs, queries.PIECES)
+    """(doc_id, n_tokens, ids, round_trip, source, position): the SentencePiece ids of every text; round_trip
+    tells that they decode to it, position is the row's place in the mixed order."""
+    return pieces.encode_checked(mixing.with_position(docs), queries.PIECES, keep=["source", "position"])
 
 
 STAGES = [("toxicity", drop_toxic), ("line_dedup", dedup_lines), ("near_duplicates", drop_near_duplicates),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import numpy as np
@@ -313,10 +313,13 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def encode_checked(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_checked(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
+                   keep: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip): :func:`encode`, and whether the ids decode to the text (null
-    counts as empty). Only a text that holds the character U+2581 does not come back."""
+    counts as empty). Only a text that holds the character U+2581 does not come back. The row's columns
+    ``keep`` follow as they are."""
     shared = _model(docs.sparkSession, model_path)
+    names = ["doc_id", "n_tokens", "ids", "round_trip", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -326,10 +329,11 @@ def encode_checked(docs: DataFrame, model_path: str, id_col: str = "doc_id", tex
                 same = [shared.value.decode(x) == (t or "") for x, t in zip(ids, texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])
+                     pa.array(same, pa.bool_()), *batch.columns[2:]], names)
 
-    return _text_rows(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *keep)
+    kept = "".join(f", `{c}` {t}" for c, t in rows.dtypes[2:])
+    return rows.mapInArrow(run, f"doc_id long, n_tokens long, ids array<int>, round_trip boolean{kept}")
 
 
 def encode_digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
