@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, jaccard, langid, linededup, mixing, pieces, quality, sql, tokencount, toxicity, vectors
+from shelfwise.llm import (chat, collocations, jaccard, langid, linededup, mixing, pieces, quality, secrets, sql, tokencount,
+                           toxicity, vectors, whitening)
 from shelfwise.llm.common import table
 
 #: Tokenizer files; a cluster may keep them elsewhere.
@@ -62,8 +63,20 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_quality_rules, op3_ngram_jaccard, op4_sentencepiece, op5_toxicity, op6_line_dedup, op7_source_mixing, op8_chat_format, op9_token_counts,
-    op10_embedding_near_dedup)}
+    op10_embedding_near_dedup, op11_collocations, op12_embedding_whitening, op13_secret_scan)}
 
 ORACLES: dict[str, str] = dict(sql.ORACLES)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfwise.llm import secrets
+
 _WHITE = r"\x20\x09-\x0D"
 _CONTROL = r"<\\*(s>|/s>|<SYS>>|\|role\|>|\|body\|>)|\[\\*(INST\]|/INST\])"
 
@@ -71,5 +73,73 @@ select d.vec_id, coalesce(k.n_links, 0) as n_links, least(d.vec_id, coalesce(r.l
 from embeddings d left join (select x, count(*) as n_links from links group by x) k on k.x = d.vec_id
 left join (select x, min(y) as low from reach group by x) r on r.x = d.vec_id"""
 
+OP11 = r"""with t as (select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+p as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+  from (select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from t) x),
+q as (select lang, w, unnest(range(1, len(w) + 1)) as i from p where len(w) > 0),
+g as (select lang, s, array_to_string(list_slice(w, i, i + s - 1), ' ') as phrase
+  from q cross join (select unnest(range(1, 6)) as s) z where i + s - 1 <= len(w)),
+f as (select lang, phrase, s, count(*) as f from g group by lang, phrase, s),
+n as (select lang, cast(sum(f) as bigint) as n from f where s = 1 group by lang),
+c as (select lang, phrase, s, f as a, string_split(phrase, ' ') as w from f where s > 1 and f >= 100),
+parts as (select lang, w, s, a, i, unnest(range(i + 1, s + 1)) as j from (select lang, w, s, a, unnest(range(1, s)) as i from c) x),
+gone as (select distinct parts.lang, c.phrase from parts join c on c.lang = parts.lang
+  and c.phrase = array_to_string(list_slice(parts.w, i, j), ' ') where j - i + 1 < parts.s and 100 * parts.a >= 100 * c.a),
+cuts as (select lang, phrase, w, s, a, unnest(range(1, s)) as k from c),
+scored as (select cuts.lang, cuts.phrase, a, x.f as l, y.f as r, n, k,
+  cast((1000 * cast(a as hugeint) * n) // (cast(x.f as hugeint) * y.f) as bigint) as score
+  from cuts join n on n.lang = cuts.lang join f x on x.lang = cuts.lang and x.phrase = array_to_string(list_slice(w, 1, k), ' ')
+  join f y on y.lang = cuts.lang and y.phrase = array_to_string(list_slice(w, k + 1, cuts.s), ' ')),
+best as (select * from (select *, row_number() over (partition by lang, phrase order by score, k) as nr from scored) x where nr = 1),
+ranked as (select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+  from best anti join gone using (lang, phrase))
+select * from ranked where rank <= 2000"""
+
+
+def _found(kind: str, rank: int, pattern: str, group: int = 0, keep: str = "true") -> str:
+    """Rows (doc_id, kind, rank, start, stop, found) of the leftmost matches that do not overlap."""
+    p = pattern.replace("'", "''")
+    return f"""select doc_id, '{kind}' as kind, {rank} as rank, stop - length(whole) as start, stop, found from (
+  select *, cast(sum(length(gap) + length(whole)) over (partition by doc_id order by i) as bigint) as stop from (
+    select doc_id, unnest(whole) as whole, unnest(found) as found, unnest(list_slice(gap, 1, len(whole))) as gap, unnest(range(1, len(whole) + 1)) as i
+    from (select doc_id, regexp_extract_all(text, '{p}', 0) as whole, regexp_extract_all(text, '{p}', {group}) as found,
+      string_split_regex(text, '{p}') as gap from d where regexp_matches(text, '{p}')) x) y) z where {keep}"""
+
+
+def _entropy(a: secrets.Alphabet, rank: int, at: str) -> tuple[str, str]:
+    """(common table expressions, name) of an alphabet's spans: every window is counted on its own."""
+    allowed = secrets.ALLOWED.replace("'", "''")
+    keep = (f"not regexp_matches(found, '{allowed}') and regexp_matches(found, '[A-Za-z]')"
+            " and (regexp_matches(found, '[0-9]') or regexp_matches(found, '[a-z][A-Z]|[A-Z]{2}[a-z]'))")
+    units = ", ".join(map(str, secrets.entropy_units(a.window)))
+    return f"""{at}c as ({_found(a.kind, rank, f"{a.chars}{{{a.window},}}", 0, keep)}),
+{at}w as (select doc_id, kind, rank, start, found, unnest(range({a.window}, length(found) + 1)) as e from {at}c),
+{at}n as (select doc_id, kind, rank, start, e, ch, count(*) as n
+  from (select *, substr(found, cast(e - o as int), 1) as ch from {at}w cross join (select unnest(range(0, {a.window})) as o) z) x
+  group by doc_id, kind, rank, start, e, ch),
+{at}h as (select doc_id, kind, rank, start, e from {at}n group by doc_id, kind, rank, start, e
+  having sum(list_extract([{units}], cast(n + 1 as int))) <= {secrets.entropy_limit(a)}),
+{at}i as (select *, case when e - lag(e) over w <= {a.window} then 0 else 1 end as opens from {at}h
+  window w as (partition by doc_id, start order by e)),
+{at}g as (select *, sum(opens) over (partition by doc_id, start order by e) as island from {at}i),
+{at}s as (select doc_id, kind, rank, start + min(e) - {a.window} as start, start + max(e) as stop from {at}g
+  group by doc_id, kind, rank, start, island)""", f"{at}s"
+
+
+_SPANS = [_entropy(a, 3 + i, f"e{i}") for i, a in enumerate(secrets.ALPHABETS)]
+OP13 = f"""with d as (select doc_id, coalesce(text, '') as text from documents),
+b as ({_found("assign", 0, secrets.ASSIGN, 2, f"length(found) >= {secrets.ASSIGN_CHARS}")}
+  union all {_found("access", 1, "AKIA[A-Z0-9]+", 0, "length(found) >= 18")}
+  union all {_found("hex", 2, "[0-9a-f]+", 0, "length(found) >= 16")}),
+{", ".join(text for text, _ in _SPANS)},
+s as (select doc_id, kind, rank, start, stop from b {" ".join(f"union all select doc_id, kind, rank, start, stop from {name}" for _, name in _SPANS)}),
+x as (select doc_id, count(*) filter (where rank = 0) as n_assign, count(*) filter (where rank = 1) as n_access,
+  count(*) filter (where rank = 2) as n_hex,
+  string_agg(concat(kind, ':', start, ':', stop), ',' order by start, rank) filter (where rank < 3) as base,
+  string_agg(concat(kind, ':', start, ':', stop), ',' order by start, rank) as spans from s group by doc_id)
+select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join x on x.doc_id = d.doc_id"""
+
 ORACLES = {"op2_quality_rules": OP2, "op3_ngram_jaccard": OP3, "op6_line_dedup": OP6, "op8_chat_format": OP8,
-           "op10_embedding_near_dedup": OP10}
+           "op10_embedding_near_dedup": OP10, "op11_collocations": OP11, "op13_secret_scan": OP13}
