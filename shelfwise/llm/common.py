@@ -77,33 +77,103 @@ def map_groups(df: DataFrame, keys: Sequence[str], fn: Callable[[pa.Table], pa.R
     keys = list(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry: list[pa.RecordBatch] = []
-        last: tuple | None = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            cols = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
-            cut = np.zeros(batch.num_rows, bool)
-            cut[0] = last is not None and last != tuple(c[0] for c in cols)
-            for c in cols:
-                cut[1:] |= c[1:] != c[:-1]
-            last, at = tuple(c[-1] for c in cols), 0
-            for p in np.flatnonzero(cut).tolist():
-                carry.append(batch.slice(at, p - at))
-                at = p
-                out = fn(pa.Table.from_batches(carry))
-                carry = []
-                if out is not None and out.num_rows:
-                    yield out
-            carry.append(batch.slice(at))
-        if carry:
-            out = fn(pa.Table.from_batches(carry))
+        for _, part in _runs(batches, keys):
+            out = fn(part)
             if out is not None and out.num_rows:
                 yield out
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def meet_blocks(df: DataFrame, group: str, item: str, size: str, block: int, start: Callable[[pa.Table], "Meeting"],
+                schema: str) -> DataFrame:
+    """Let every block of a group meet all rows of the group, and return what each block's ``Meeting`` finds.
+
+    A group of n rows is cut into ceil(n / block) blocks. Each is held by one task, to which the group's
+    other blocks come one after another, sorted by their number, so that about two blocks are in memory
+    however large the group is. A row is shipped once a block; what comes back is up to the
+    meeting, which can return one row for each of its own rows. ``group`` is an integer column without null."""
+    cut = df.select("*", *block_of(item, F.col(size), block))
+    rows = cut.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
+    rows = rows.withColumn("_b", F.when(F.col("_b") == F.col("_t"), -1).otherwise(F.col("_b"))).drop("_nb")
+    keys = [group, "_t", "_b"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Meeting | None = None
+        last: tuple | None = None
+        for key, part in _runs(batches, keys):
+            if key[:2] != last:
+                if held is not None:
+                    yield held.result()
+                held, last = start(part) if key[2] < 0 else None, key[:2]
+            elif held is not None:  # a block without rows holds nothing
+                held.meet(part, key[2] > key[1])
+        if held is not None:
+            yield held.result()
+
+    return rows.repartition(group, "_t").sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+class Meeting:
+    """What :func:`meet_blocks` does with a block: made from its rows, then shown the other blocks."""
+
+    def meet(self, other: pa.Table, later: bool) -> None:
+        raise NotImplementedError
+
+    def result(self) -> pa.RecordBatch:
+        raise NotImplementedError
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """The runs of rows with equal keys, in their order."""
+    carry: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        cols = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+        first = tuple(c[0] for c in cols)
+        cut = np.zeros(batch.num_rows, bool)
+        cut[0] = last is not None and last != first
+        for c in cols:
+            cut[1:] |= c[1:] != c[:-1]
+        at = 0
+        for p in np.flatnonzero(cut).tolist():
+            if p > at:
+                carry.append(batch.slice(at, p - at))
+            yield (last if p == 0 else tuple(c[p - 1] for c in cols)), pa.Table.from_batches(carry)
+            carry, at = [], p
+        carry.append(batch.slice(at))
+        last = tuple(c[-1] for c in cols)
+    if carry:
+        yield last, pa.Table.from_batches(carry)
+
+
+def label_edges(adj: np.ndarray, name: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
+    """Links between two blocks, thinned out: rows that are linked within their block count as one (named by its
+    smallest), and of these a spanning forest is returned. ``own`` marks the rows of the first block; the rows
+    are ordered by ``name``."""
+    same = own[:, None] == own[None, :]
+    label = local_roots(adj & same)
+    a, b = np.nonzero(adj & ~same & own[:, None])
+    pairs = np.unique(np.stack([label[a], label[b]], axis=1), axis=0)
+    root = np.arange(len(name))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = int(root[x])
+        return x
+
+    out = []
+    for x, y in pairs.tolist():
+        p, q = find(x), find(y)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((int(name[x]), int(name[y])))
+    return out
+
+
 def local_roots(adj: np.ndarray) -> np.ndarray:
     """Per row of a small symmetric adjacency matrix the smallest row index that links reach."""
     n = len(adj)

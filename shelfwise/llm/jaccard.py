@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import block_pairs, local_roots, map_groups, mix64, saved, sized, string_buffer
+from shelfwise.llm.common import (Meeting, block_pairs, label_edges, local_roots, map_groups, meet_blocks, mix64, saved, sized,
+                                  string_buffer)
 from shelfwise.llm.graph import components
 from shelfwise.llm.shingles import common_counts, fingerprints, shingle_sets
 
@@ -27,9 +28,9 @@ def runs_for(threshold: float, branching: float, target_recall: float) -> int:
     """Runs after which a pair at the threshold has met with probability ``target_recall``.
 
     Two sets of similarity t share a sampled token at each step with a Poisson number of mean
-    branching * 2t / (1 + t); the chance that their common path survives any number of steps is
-    the root of q = 1 - exp(-mean q)."""
-    mean, q = branching * 2 * threshold / (1 + threshold), 1.0
+    branching * t at least (one set is part of the other); the chance that their common path survives any
+    number of steps is the root of q = 1 - exp(-mean q)."""
+    mean, q = branching * threshold, 1.0
     if mean <= 1:
         raise ValueError("chosen path: the branching is too small for the threshold")
     for _ in range(200):
@@ -133,7 +134,11 @@ def _edges(reps: np.ndarray, adj: np.ndarray, names: tuple[str, str]) -> pa.Reco
 
 
 def sketch_candidates(buckets: DataFrame, reps: DataFrame, threshold: float, bucket: int) -> DataFrame:
-    """(a, b): within every bucket a spanning forest of the pairs whose sketches do not rule them out."""
+    """(a, b): within every bucket links that join all pairs whose sketches do not rule them out.
+
+    A bucket of several blocks is dealt over pairs of blocks. A block met with itself returns a spanning star of
+    its linked rows, two blocks a spanning forest of the groups that are linked within either
+    (:func:`label_edges`): n alike rows give n links and one for each pair of blocks."""
     least = SURE * threshold
 
     def compare(t: pa.Table) -> pa.RecordBatch | None:
@@ -148,48 +153,78 @@ def sketch_candidates(buckets: DataFrame, reps: DataFrame, threshold: float, buc
         part = np.minimum(part, size[:, None])
         both = common_counts(sets)
         union = part + part.T - both
-        return _edges(rep[order], (both >= least * np.maximum(union, 1)) & (both > 0), ("a", "b"))
+        adj = (both >= least * np.maximum(union, 1)) & (both > 0)
+        if t.column("_i")[0].as_py() == t.column("_j")[0].as_py():
+            return _edges(rep[order], adj, ("a", "b"))
+        found = label_edges(adj, rep[order], t.column("_b").to_numpy()[order] == t.column("_i")[0].as_py())
+        return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
     rows = block_pairs(buckets.join(reps.select("rep", "sk"), "rep"), "path", "rep", "size", bucket)
-    return map_groups(rows.select("path", "_i", "_j", "rep", "sk"), ["path", "_i", "_j"], compare, "a long, b long")
+    return map_groups(rows.select("path", "_i", "_j", "_b", "rep", "sk"), ["path", "_i", "_j"], compare, "a long, b long")
 
 
-def verify(clusters: DataFrame, reps: DataFrame, docs: DataFrame, threshold: float, n: int, block: int, id_col: str,
-           text_col: str) -> DataFrame:
-    """(rep, add, root): exact Jaccard similarities inside every cluster of (node, component).
+class _Block(Meeting):
+    """A block of a cluster: exact similarities of its texts with all texts of the cluster, counted."""
 
-    Whole texts are brought together by cluster, in pairs of blocks, and every pair of a cluster is
-    compared once. ``add`` counts the rows of the representatives linked to ``rep`` in that block pair;
-    ``root`` is the smallest of them. Pairs are not written out."""
-    def compare(t: pa.Table) -> pa.RecordBatch | None:
-        if t.num_rows < 2:
-            return None
-        t = t.combine_chunks()
-        sets = shingle_sets(*string_buffer(t.column("text").chunk(0)), n)
-        mine = fingerprints(sets)[0] == t.column("fp1").to_numpy()  # not the text of another row with this id
-        pick = np.flatnonzero(mine)
-        rep = t.column("rep").to_numpy()[pick]
-        pick = pick[np.argsort(rep, kind="stable")]
-        rep, weight, part = (t.column(c).to_numpy()[pick] for c in ("rep", "m", "_b"))
-        sets = [sets[i] for i in pick]
+    def __init__(self, rows: pa.Table, threshold: float, n: int):
+        self.threshold, self.n = threshold, n
+        self.rep, self.weight, self.sets = self._texts(rows)
+        adj = self._adjacent(self.sets, self.rep)
+        root = local_roots(adj)
+        self.add = adj.astype(np.float64) @ self.weight
+        self.edges = [(int(self.rep[i]), int(self.rep[r])) for i, r in enumerate(root.tolist()) if r != i]
+
+    def _texts(self, rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(rep, weight, set) of the texts, one each, ordered by rep."""
+        rows = rows.combine_chunks()
+        sets = shingle_sets(*string_buffer(rows.column("text").chunk(0)), self.n)
+        rep, fp1, weight = (rows.column(c).to_numpy() for c in ("rep", "fp1", "m"))
+        at = np.flatnonzero(fingerprints(sets)[0] == fp1)  # not the text of another row with this id
+        at = at[np.lexsort((fp1[at], rep[at]))]
+        again = np.zeros(len(at), bool)  # a row that stands several times
+        again[1:] = (rep[at][1:] == rep[at][:-1]) & (fp1[at][1:] == fp1[at][:-1])
+        at = at[~again]
+        return rep[at], weight[at], [sets[i] for i in at]
+
+    def _adjacent(self, sets: list[np.ndarray], rep: np.ndarray) -> np.ndarray:
         size = np.array([len(s) for s in sets])
         both = common_counts(sets)
-        adj = both >= threshold * (size[:, None] + size[None, :] - both) - 1e-6
-        adj &= (both > 0) & (rep[:, None] != rep[None, :])
-        if t.column("_i")[0].as_py() != t.column("_j")[0].as_py():
-            adj &= part[:, None] != part[None, :]
-        linked = np.flatnonzero(adj.any(axis=1))
-        root = local_roots(adj)
-        add = adj.astype(np.float64) @ weight
-        return pa.RecordBatch.from_pydict({"rep": rep[linked], "add": add[linked].astype(np.int64), "root": rep[root[linked]]})
+        adj = (both >= self.threshold * (size[:, None] + size[None, :] - both) - 1e-6) & (both > 0)
+        return adj & (rep[:, None] != rep[None, :])
+
+    def meet(self, other: pa.Table, later: bool) -> None:
+        rep, weight, sets = self._texts(other)
+        k = len(self.rep)
+        names = np.concatenate((self.rep, rep))
+        adj = self._adjacent(self.sets + sets, names)
+        self.add += adj[:k, k:].astype(np.float64) @ weight
+        if later:  # each pair of blocks once
+            order = np.argsort(names, kind="stable")
+            self.edges += label_edges(adj[np.ix_(order, order)], names[order], order < k)
+
+    def result(self) -> pa.RecordBatch:
+        has = np.flatnonzero(self.add)
+        none, some = len(has), len(self.edges)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*self.rep[has].tolist(), *(a for a, _ in self.edges)], pa.int64()),
+             pa.array([*self.add[has].astype(np.int64).tolist(), *[0] * some], pa.int64()),
+             pa.array([*[None] * none, *(b for _, b in self.edges)], pa.int64())], ["rep", "add", "root"])
+
+
+def verify(clusters: DataFrame, reps: DataFrame, docs: DataFrame, threshold: float, n: int, block: int, id_col: str,
+           text_col: str) -> DataFrame:
+    """(rep, add, root): exact Jaccard similarities inside every cluster of (node, component).
 
+    Whole texts are brought together by cluster; every block of a cluster meets all its texts
+    (:func:`meet_blocks`). A representative that has links gets one row with ``add``, the number of rows of the
+    representatives linked to it. Rows with a ``root`` (and add 0) are links that join all linked
+    representatives; pairs are not written out."""
     size = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     rows = clusters.join(size, "component").withColumnRenamed("node", "rep")
     rows = rows.join(reps.select("rep", "m", "fp1"), "rep")
     text = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-    rows = block_pairs(rows.join(text, "rep"), "component", "rep", "size", block)
-    rows = rows.select("component", "_i", "_j", "rep", "_b", "m", "fp1", "text")
-    return map_groups(rows, ["component", "_i", "_j"], compare, "rep long, add long, root long")
+    rows = rows.join(text, "rep").select("component", "rep", "size", "m", "fp1", "text")
+    return meet_blocks(rows, "component", "rep", "size", block, lambda own: _Block(own, threshold, n), "rep long, add long, root long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, target_recall: float = 0.9999,

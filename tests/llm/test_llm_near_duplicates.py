@@ -138,8 +138,65 @@ def test_near_duplicate_edges(spark):
     assert jaccard.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_a_repeated_representative_counts_its_neighbours_links_once(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    rows = [(1, long), (1, long), (1, long), (4, long + " x"), (4, long + " x"), (7, long + " x y"), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collections.Counter(tuple(r)[:3] for r in jaccard.near_duplicates(df).collect()) == plain_join(rows)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdef") for _ in range(4)) for _ in range(150_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:140_000])), (3, " ".join(words[:100_000])), (4, "x" * 500_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert collections.Counter(tuple(r)[:3] for r in jaccard.near_duplicates(df).collect()) == plain_join(rows)
+
+
+@pytest.mark.parametrize("n", [600, 1200])
+def test_a_group_of_near_copies_writes_rows_in_proportion(spark, n):
+    """Blocks of 32: pairs of blocks write one link each, each text one row of counts."""
+    rng = random.Random(n)
+    base = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(120)]
+    rows = [(i, " ".join(base[: 60 + i % 2] + [f"own{i}"] + base[61:])) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    reps = jaccard.describe(docs, 5, 1, 2.5, "doc_id", "text").withColumnRenamed("doc_id", "rep").selectExpr("*", "1L AS m")
+    bucket = reps.selectExpr("1L AS path", f"{n}L AS size", "rep")
+    found = jaccard.sketch_candidates(bucket, reps, 0.8, 32).collect()
+    pairs = (n // 32 + 1) * (n // 32 + 2) // 2
+    assert roots(range(n), [(r["a"], r["b"]) for r in found]) == dict.fromkeys(range(n), 0)
+    assert len(found) <= n + 2 * pairs
+    clusters = reps.selectExpr("rep AS node", "1L AS component")
+    checked = jaccard.verify(clusters, reps, docs, 0.8, 5, 32, "doc_id", "text").collect()
+    assert sum(r["add"] > 0 for r in checked) == n and len(checked) <= 2 * n + 2 * pairs
+    assert all(r["add"] == n - 1 for r in checked if r["root"] is None)
+
+
+def test_meet_blocks_brings_every_two_rows_together(spark):
+    from shelfwise.llm.common import Meeting, meet_blocks
+    import pyarrow as pa
+
+    class Count(Meeting):
+        def __init__(self, rows):
+            self.own, self.seen, self.later = rows.column("id").to_pylist(), 0, 0
+
+        def meet(self, other, later):
+            self.seen += other.num_rows
+            self.later += later
+
+        def result(self):
+            return pa.RecordBatch.from_pydict({"id": pa.array(self.own), "seen": pa.array([self.seen + len(self.own)] * len(self.own)),
+                                               "later": pa.array([self.later] * len(self.own))})
+
+    sizes = {1: 1, 2: 40, 3: 700}
+    df = spark.createDataFrame([(g, g * 1000 + i, n) for g, n in sizes.items() for i in range(n)], "g long, id long, size long")
+    got = meet_blocks(df, "g", "id", "size", 50, Count, "id long, seen long, later long").collect()
+    assert len(got) == 741 and all(r["seen"] == sizes[r["id"] // 1000] for r in got)
+    assert len({r["later"] for r in got if r["id"] >= 3000}) == 14
+
+
 def test_runs_follow_the_target_recall():
-    assert jaccard.runs_for(0.8, 2.5, 0.9) < jaccard.runs_for(0.8, 2.5, 0.9999) == 5
+    assert jaccard.runs_for(0.8, 2.5, 0.9) < jaccard.runs_for(0.8, 2.5, 0.9999) == 6
     with pytest.raises(ValueError):
         jaccard.runs_for(0.5, 1.0, 0.9)
 
