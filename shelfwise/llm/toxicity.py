@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import saved
@@ -102,11 +103,12 @@ def fit_cumulative(rows: list[np.ndarray], grades: np.ndarray, sample_weight: np
 
 
 def draw_labelled(docs: DataFrame, labels: DataFrame, per_class: int, id_col: str, text_col: str,
-                  label_col: str) -> DataFrame:
+                  label_col: str, least: int) -> DataFrame:
     """(doc_id, text, toxic, rate): about ``per_class`` labelled rows of either class, drawn by a hash of
     the id; ``rate`` is the share of the class that was drawn. Of texts that share a signature of minimal
     word hashes, which copies and near copies do, one stays, so that a copied text's chance words do not
-    pass for evidence. Written once, as several passes read it."""
+    pass for evidence; but where a class would keep fewer than ``least`` texts, its copies are all there is to learn
+    from, and none is left out. Written once, as several passes read it."""
     lab = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
     lab = lab.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in lab.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -125,10 +127,13 @@ def draw_labelled(docs: DataFrame, labels: DataFrame, per_class: int, id_col: st
 
     rows = F.broadcast(some).join(text.where(F.col("text").isNotNull()), "doc_id").select("doc_id", "text", "toxic", "rate")
     rows = saved(rows.mapInArrow(sign, "doc_id long, text string, toxic int, rate double, s0 string, s1 string"))
+    distinct = rows
     for s in ("s0", "s1"):
-        first = rows.groupBy("toxic", s).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-        rows = rows.join(first, "doc_id", "left_semi")
-    return saved(rows.drop("s0", "s1"))
+        first = distinct.groupBy("toxic", s).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+        distinct = distinct.join(first, "doc_id", "left_semi")
+    distinct = saved(distinct.drop("s0", "s1"))
+    left = distinct.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()
+    return distinct if min((r["n"] for r in left), default=0) >= least else rows.drop("s0", "s1")
 
 
 def _signatures(text: str) -> tuple[str, str]:
@@ -150,8 +155,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_
     sampled row, the indices of its features. The threshold is the 99.6 % quantile of the clean rows'
     probabilities by models that have not seen them (``FOLDS``), under the penalty with the best recall there;
     for small samples, a fifth above the 99.9 %
-    quantile of the clean sample's own probabilities, within ``THRESHOLDS``. None when a class is missing."""
-    sample = draw_labelled(docs, labels, per_class, id_col, text_col, label_col)
+    quantile of the clean sample's own probabilities, within ``THRESHOLDS``. It always lies above the probability
+    of a text without features, so that such a text, a null or empty one among them, is never toxic. None (nothing
+    is toxic) when a class is missing or no feature sets the classes apart. A class with fewer than 2 * ``min_docs``
+    distinct texts is learned with its copies: twenty copies of one toxic text teach its words."""
+    sample = draw_labelled(docs, labels, per_class, id_col, text_col, label_col, 2 * min_docs)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 or not n1:
@@ -172,6 +180,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_
     z = (F.col("n1") / float(n1) - F.col("n0") / float(n0)) / F.sqrt(share * (1 - share) * (1 / n0 + 1 / n1) + 1e-12)
     top = counted.withColumn("z", z).where(F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "f").limit(max_features).collect()
     names = [r["f"] for r in top]
+    if not names:
+        return None
     index = {f: i for i, f in enumerate(names)}
     # markers: clearly toxic (z) and next to never clean; a word outranks its own beginning
     marker = {r["f"] for r in top if r["z"] >= 5 and r["n1"] * n0 >= 20 * r["n0"] * n1}
@@ -215,7 +225,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_
     w, cuts = learn(np.arange(len(rows)), best[1] if best else PENALTIES[0])
     threshold = best[2] if best else float(np.clip(
         1.2 * np.quantile(judge(w, cuts, np.flatnonzero(toxic == 0)), 0.999), *THRESHOLDS))
-    return OrdinalModel({f: float(x) for f, x in zip(names, w) if x}, cuts, threshold)
+    model = OrdinalModel({f: float(x) for f, x in zip(names, w) if x}, cuts, threshold)
+    model.threshold = max(threshold, float(np.nextafter(model.tail(None)[0], 1)))
+    return model
+
+
+def toxic_text(spark: SparkSession, model: OrdinalModel | None) -> Callable[[Column], Column]:
+    """The model's verdict as a column function of the text: rows are judged where they stand."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def toxic(texts: pd.Series) -> pd.Series:
+        model = shared.value
+        return texts.map(lambda t: bool(model and model.tail(t)[0] >= model.threshold)).astype(bool)
+
+    return toxic
 
 
 def predict_toxicity(docs: DataFrame, model: OrdinalModel | None, id_col: str = "doc_id",

@@ -1,6 +1,7 @@
 """Quality cascade, language id and toxicity."""
 
 import collections
+import math
 import re
 import zlib
 
@@ -149,3 +150,40 @@ def test_toxicity_edges(spark):
     none = toxicity.fit_toxicity(df, labels.limit(0))
     assert none is None and not any(r["toxic"] for r in toxicity.predict_toxicity(df, none).collect())
     assert toxicity.predict_toxicity(df.limit(0), none).count() == 0
+
+
+def test_toxicity_with_little_to_learn_from(spark):
+    texts = [f"text number {i} speaks of {'dirt' if i % 2 else 'bread'} and {chr(97 + i) * 6}" for i in range(24)]
+    odd = [(100, None), (101, ""), (102, "never seen words"), (102, "never seen words"), (None, "bread " * 3)]
+    df = spark.createDataFrame([*enumerate(texts), *odd], "doc_id long, text string")
+    for flags in ([i % 2 for i in range(24)], [1] * 24, [0] * 24, [int(i < 2) for i in range(24)], []):
+        labels = spark.createDataFrame(list(enumerate(flags)), "doc_id long, toxic int")
+        model = toxicity.fit_toxicity(df, labels)
+        got = toxicity.predict_toxicity(df, model).collect()
+        assert len(got) == 29 and not any(r["toxic"] for r in got if r["doc_id"] in (100, 101, 102))
+        assert not any(r["toxic"] for r in got) or flags[:2] == [0, 1]
+        assert df.where(toxicity.toxic_text(spark, model)("text")).count() == sum(r["toxic"] for r in got)
+
+
+def test_predictions_follow_from_the_model_by_plain_python(spark):
+    weights = {"vile": 2.5, "scum": 1.25, "scum*": 0.5, "kind": -3.0, "vile*2": 0.75, "filt*": 0.25, "filt*2": 1.5}
+    cuts = [1.0, 2.0, 3.5]
+    model = toxicity.OrdinalModel(weights, np.array(cuts), 0.6)
+    texts = [None, "", "vile", "Vile SCUM kind", "filthy filtering", "vilely vileness", "kind kind scummy", "é vile " * 5000]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(2, "vile", 1)], "doc_id long, text string, severity int")
+
+    def plain(text):
+        words = set(re.findall("[^\\W\\d_]+", (text or "").lower()))
+        found = set(words)
+        for n in (4, 5):
+            stems = collections.Counter(w[:n] for w in words if len(w) > n)
+            found |= {s + "*" for s in stems} | {f"{s}*{k}" for s, c in stems.items() for k in (2, 3) if c >= k}
+        z = sum(weights.get(f, 0.0) for f in found)
+        tails = [1 / (1 + math.exp(c - z)) for c in cuts]
+        return sum(tails), tails[0], sum(t >= 0.5 for t in tails), tails[0] >= 0.6
+
+    got = toxicity.predict_toxicity(df, model).collect()
+    assert len(got) == 9
+    for r in got:
+        want = plain(texts[r["doc_id"]])
+        assert (r["severity"], r["p_toxic"]) == pytest.approx(want[:2]) and (r["grade"], r["toxic"]) == want[2:]
