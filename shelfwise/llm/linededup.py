@@ -26,8 +26,9 @@ def _hashes(key: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40,
-                min_docs: int = 5) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept_text) per row of ``docs``.
+                min_docs: int = 5, carry: bool = False) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept_text) per row of ``docs``; with ``carry`` also ``row``, a struct of all
+    columns of the row.
 
     A text is split at ``\\n``; a null or empty text is one empty line. A line's key is the line
     without ASCII white space at its ends and with A-Z lower-cased. A key of at least ``min_chars``
@@ -41,6 +42,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     aggregate, so a line of every document costs one row per task. Only keys over the threshold are
     joined back to the documents that lose them; the texts are shuffled once, to meet their list."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    whole = src if not carry else docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    row = ["row"] if carry else []
     lines = F.split(_lower_ascii(F.col("text")), "\n")
     long_lines = src.where(F.col("doc_id").isNotNull() & (F.length("text") >= min_chars)).select(
         "doc_id", F.explode(lines).alias("line"))
@@ -51,17 +56,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = hashed.join(common, ["h1", "h2"]).where(F.col("doc_id") != F.col("_last"))
     lost = gone.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("_lost"))
     text = F.coalesce("text", F.lit(""))
-    both = src.join(lost, "doc_id", "left").select(
-        "doc_id", "_lost", text.alias("text"), F.split(text, "\n").alias("_lines"))
+    both = whole.join(lost, "doc_id", "left").select(
+        "doc_id", *row, "_lost", text.alias("text"), F.split(text, "\n").alias("_lines"))
     stays = F.filter("_lines", lambda x: (F.length(x) < min_chars)
                      | ~F.array_contains("_lost", _hashes(_key(_lower_ascii(x)))))
-    kept = both.select("doc_id", "text", "_lost", F.size("_lines").cast("long").alias("n_lines"),
+    kept = both.select("doc_id", *row, "text", "_lost", F.size("_lines").cast("long").alias("n_lines"),
                        F.when(F.col("_lost").isNotNull(), stays).alias("_kept"))
     return kept.select(
         "doc_id", "n_lines",
         F.when(F.col("_lost").isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("_kept")).cast("long")
         .alias("n_dropped"),
-        F.when(F.col("_lost").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias("kept_text"))
+        F.when(F.col("_lost").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias("kept_text"), *row)
 
 
 def line_digest(result: DataFrame) -> DataFrame:

@@ -223,21 +223,22 @@ def mixed_order(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
     return both.orderBy(F.col("_mix_at").asc_nulls_last()).drop("_mix_id", "_mix_at")
 
 
-def with_position(docs: DataFrame) -> DataFrame:
-    """``docs`` and position, 0 .. N - 1: the order in which a sorted table was written.
+def with_position(docs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or some of them) and position, 0 .. N - 1: the order in which a sorted table was written.
 
     Spark reads part files in an order of its own, so the place is taken from the number of the part file
     and the row's index in it. A frame that is not a plain read of files is written once and numbered by
     its partitions."""
+    names = list(columns or docs.columns)
     if docs._jdf.queryExecution().analyzed().children().isEmpty() and docs.inputFiles():
-        rows = docs.select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_at"))
+        rows = docs.select(*(F.col(f"`{c}`") for c in names), F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_at"))
         part = F.regexp_extract("_f", r"part-(\d+)", 1).try_cast("long")
     else:
         mid = F.monotonically_increasing_id()  # the partition above bit 33, the place in it below
-        rows = saved(docs).withColumn("_m", mid).select(
-            "*", F.shiftright("_m", 33).cast("string").alias("_f"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_at")).drop("_m")
+        rows = saved(docs).select(*(F.col(f"`{c}`") for c in names), mid.alias("_m")).select(
+            *(F.col(f"`{c}`") for c in names), F.shiftright("_m", 33).cast("string").alias("_f"), F.col("_m").bitwiseAND((1 << 33) - 1).alias("_at"))
         part = F.col("_f").cast("long")
     runs = rows.groupBy("_f").agg(F.count(F.lit(1)).alias("_n"))  # one row a file
     before = Window.orderBy(part.asc_nulls_last(), "_f").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select("_f", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(F.broadcast(runs), "_f").select(*(rows[f"`{c}`"] for c in docs.columns), (F.col("_before") + F.col("_at")).alias("position"))
+    return rows.join(F.broadcast(runs), "_f").select(*(rows[f"`{c}`"] for c in names), (F.col("_before") + F.col("_at")).alias("position"))

@@ -84,10 +84,59 @@ def test_stages_take_odd_rows(spark):
     assert all(stage(spark, empty, SF_SMALL).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    """Ids that several texts share, null ids, toxic copies, clashing column names."""
+    docs = table(spark, SF_SMALL, "documents")
+    labels = {r["doc_id"]: r["toxic"] for r in table(spark, SF_SMALL, "labels").collect()}
+    model = toxicity.fit_toxicity(docs, table(spark, SF_SMALL, "labels"))
+    full = docs.collect()
+    is_bad = {r["doc_id"] for r in toxicity.predict_toxicity(docs, model).where("toxic").collect()}
+    bad = next(r for r in full if r["doc_id"] in is_bad and labels.get(r["doc_id"]))
+    clean = next(r for r in full if r["doc_id"] not in is_bad and len(r["text"]) > 800)
+    twin = " ".join(clean["text"].split()[3:])
+    line = "A line that more than four documents hold, and that is long enough"
+    rows = [tuple(r) for r in full] + [(clean["doc_id"], bad["text"], "en", "s", 1), (bad["doc_id"], "a clean text under the id of a toxic one", "en", "s", 1),
+                                       (None, bad["text"], "en", "s", 1), (None, "null id, clean", "en", "s", 1)]
+    rows += [(9_000_000 + i, f"opening {i}\n{line}", "en", "s", 1) for i in range(6)]
+    rows += [(9_000_000, "second text of an id\nwithout the line", "en", "s", 1), (9_000_005, f"third {line}\n{line}", "en", "s", 1),
+             (9_000_010, twin, "en", "s", 1), (9_000_010, "not a twin at all, but of the same id", "en", "s", 1)]
+    names = ["_bad", "_id", "_gone", "_n", "_mix_id", "_mix_at", "gone", "row", "kept_text", "position", "n"]
+    df = spark.createDataFrame([(*r, *range(i, i + len(names))) for i, r in enumerate(rows)],
+                               "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names))
+    stage = dict(corpus_pipeline.STAGES)
+    out = stage["toxicity"](spark, df, SF_SMALL)
+    fitted = toxicity.fit_toxicity(df.select(*docs.columns), table(spark, SF_SMALL, "labels"))
+    calm = {i for i, r in enumerate(rows) if not fitted.tail(r[1])[0] >= fitted.threshold}
+    got = out.collect()
+    assert out.columns == df.columns and {r["_bad"] for r in got} == calm and len(got) == len(calm) < len(rows)
+    assert all(tuple(r)[:5] == rows[r["_bad"]] for r in got)
+    out = stage["line_dedup"](spark, df, SF_SMALL)
+    got = {r["_bad"]: r for r in out.collect()}
+    assert out.columns == df.columns and len(got) == len(rows)
+    at = len(full) + 4
+    assert [got[at + i]["text"] for i in range(6)] == [*(f"opening {i}" for i in range(5)), f"opening 5\n{line}"]
+    assert got[at + 6]["text"] == rows[at + 6][1] and got[at + 7]["text"] == rows[at + 7][1]
+    assert all(got[i]["n_chars"] == len(got[i]["text"]) for i in range(at, at + 5))
+    out = stage["near_duplicates"](spark, df, SF_SMALL)
+    left = {r["_bad"] for r in out.collect()}
+    number = {i: n for n, i in enumerate(sorted((i for i, r in enumerate(rows) if r[0] is not None), key=lambda i: (rows[i][0], i)))}
+    groups = plain_join([(number[i], rows[i][1]) for i in number])
+    label = {i: c for i, _, c in groups}
+    members = collections.defaultdict(list)
+    for i in number:
+        members[label[number[i]] if label[number[i]] is not None else ("own", i)].append(i)
+    assert out.columns == df.columns and all(sum(i in left for i in m) == 1 for m in members.values())
+    assert all(min(rows[i][0] for i in m) == rows[next(i for i in m if i in left)][0] for m in members.values())
+    assert {len(full) + 2, len(full) + 3} <= left and at + 9 in left and at + 8 not in left
+    out = stage["mixing"](spark, df, SF_SMALL)
+    assert out.columns == df.columns and collections.Counter(r["_bad"] for r in out.collect()) == collections.Counter(range(len(rows)))
+    assert stage["sentencepiece"](spark, df, SF_SMALL).count() == len(rows)
+
+
 def test_every_operator_has_its_query():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert len(corpus_pipeline.STAGES) == 5
 
@@ -102,7 +151,10 @@ def test_schemas(spark, name):
         "op6": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
         "op8": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
         "op9": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
-        "op10": "vec_id bigint, n_links bigint, component_id bigint, kept boolean"}.get(name.split("_")[0])
+        "op10": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
+        "op11": "lang string, rank bigint, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint",
+        "op12": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
+        "op13": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"}.get(name.split("_")[0])
     if want:
         df = queries.QUERIES[name](spark, SF_SMALL)
         assert ", ".join(f"{a} {b}" for a, b in df.dtypes) == want
