@@ -25,13 +25,16 @@ _GAP = _BREAK | np.isin(np.arange(256), list(BLANKS.encode()))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text worked on together; a longer word is taken whole.
-STRETCH = 4 << 20
+STRETCH = 2 << 20
+#: Counted leaves that a task holds before it passes them on.
+HELD = 400_000
 #: Counters of the sketch (a power of two) and parts it is added up in.
 SLOT_BITS, SLICES = 23, 64
-#: Leaves (distinct truncated suffixes) a group of prefixes is meant to hold, and the most groups: beyond
-#: MAX_GROUPS * BUDGET leaves the budget rises, so that the table of long prefixes stays bounded. Subtrees are
-#: built from sorted leaves one after another, so a larger group takes longer, not more memory.
-BUDGET, MAX_GROUPS = 20_000, 20_000
+#: Leaves (distinct truncated suffixes) a group of prefixes may hold, and the least and most groups: fewer leaves
+#: are cut finer, so that all tasks have work; beyond MAX_GROUPS * BUDGET leaves the budget rises, so that the
+#: table of extended prefixes stays bounded. Subtrees are built from sorted leaves one after another, so a larger
+#: group takes longer, not more memory.
+BUDGET, MIN_GROUPS, MAX_GROUPS = 1_000_000, 400, 20_000
 
 
 @dataclass(frozen=True)
@@ -109,84 +112,125 @@ def _languages(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
 
 
-def _slots(w: Words, langs: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sketch places of every word and of every pair with the next word (the last word has none)."""
-    own = mix64(word_hashes(*string_buffer(w.names))[0])[w.code] ^ langs[w.lang]
-    pair = mix64(own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:])
-    shift = np.uint64(64 - bits)
-    return (mix64(own + np.uint64(1)) >> shift).astype(np.int64), (pair >> shift).astype(np.int64)
-
-
 def _language_hashes(names: list[str]) -> np.ndarray:
     return mix64(np.array([zlib.crc32(x.encode()) + 1 for x in names], np.uint64))
 
 
-def sketch_counts(src: DataFrame, min_count: int, bits: int) -> tuple[np.ndarray, DataFrame]:
-    """(bits, per language the number of words): a word or pair of words whose place in the sketch has fewer than
-    ``min_count`` occurrences over all texts is rare. Counters stop at ``min_count``, which no sum that matters
-    passes, and every task sends them once, in slices; their size does not depend on the data."""
+def _grams(w: Words, langs: np.ndarray, depth: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 to ``depth`` words: (place in the sketch, within a piece) of the phrase that begins at each word."""
+    own = mix64(word_hashes(*string_buffer(w.names))[0])[w.code] ^ langs[w.lang]
+    h, inside, shift = own, np.ones(len(own), bool), np.uint64(64 - bits)
+    for k in range(1, depth + 1):
+        if k > 1:
+            inside = np.append(inside[:-1] & ~w.begins[1:] if k == 2 else inside[:-1] & inside[1:], False)
+            h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + np.append(own[k - 1 :], np.zeros(min(k - 1, len(own)), np.uint64)))
+        yield (mix64(h + np.uint64(k)) >> shift).astype(np.int64), inside
+
+
+def _common(found: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (found[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _open_phrases(w: Words, langs: np.ndarray, depth: int, bits: int, pairs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, place, open) for 1 to ``depth`` words: the phrases all of whose words and pairs may be frequent."""
+    one, two, still = None, None, None
+    for k, (at, inside) in enumerate(_grams(w, langs, depth, bits), 1):
+        if k == 1:
+            one = still = _common(pairs, at)
+        elif k == 2:
+            two = still = one & np.append(one[1:], False) & inside & _common(pairs, at)
+        else:
+            still = still & np.append(two[k - 2 :], np.zeros(min(k - 2, len(two)), bool))
+        yield k, at, still
+
+
+def sketch(src: DataFrame, min_count: int, bits: int, depth: int, pairs: Broadcast | None) -> tuple[np.ndarray, DataFrame]:
+    """(bits, (lang, n) with the number of words): a phrase whose place in the sketch has fewer than ``min_count``
+    occurrences over all texts is rare. Without ``pairs`` words and pairs are counted; with these, the phrases of 3
+    words or more whose words and pairs may all be frequent. Counters stop at ``min_count``, which
+    changes no sum that matters; a task sends them once, in slices, whatever the data's size."""
     size, part = 1 << bits, (1 << bits) // SLICES
     small = np.uint8 if min_count < 256 else np.uint32
+    schema = "slice int, sums binary, lang string, n long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, words = None, {}
         for batch in batches:
             lang, names = _languages(batch.column(0))
             hashes = _language_hashes(names)
-            for w in word_runs(batch.column(1), lang, 1):
+            for w in word_runs(batch.column(1), lang, depth):
                 if sums is None:
                     sums = np.zeros(size, np.uint32)
-                one, two = _slots(w, hashes, bits)
-                pairs = np.flatnonzero(~w.begins[1:])
-                np.add.at(sums, one[: w.counted], np.uint32(1))
-                np.add.at(sums, two[pairs[pairs < w.counted]], np.uint32(1))
-                for k, n in enumerate(np.bincount(w.lang[: w.counted], minlength=len(names)).tolist()):
-                    words[names[k]] = words.get(names[k], 0) + n
+                if pairs is None:
+                    for at, inside in _grams(w, hashes, 2, bits):
+                        np.add.at(sums, at[: w.counted][inside[: w.counted]], np.uint32(1))
+                    for k, n in enumerate(np.bincount(w.lang[: w.counted], minlength=len(names)).tolist()):
+                        words[names[k]] = words.get(names[k], 0) + n
+                else:
+                    for k, at, still in _open_phrases(w, hashes, depth, bits, pairs.value):
+                        if k > 2:
+                            np.add.at(sums, at[: w.counted][still[: w.counted]], np.uint32(1))
         if sums is not None:
             sums = np.minimum(sums, min_count).astype(small)
             parts = [sums[k * part : (k + 1) * part].tobytes() for k in range(SLICES)]
-            yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "sums": pa.array(parts, pa.binary()),
-                                              "lang": pa.nulls(SLICES, pa.string()), "n": pa.nulls(SLICES, pa.int64())})
-            yield pa.RecordBatch.from_pydict({"slice": pa.nulls(len(words), pa.int32()), "sums": pa.nulls(len(words), pa.binary()),
-                                              "lang": pa.array(list(words), pa.string()), "n": pa.array(list(words.values()), pa.int64())})
+            at = [zlib.crc32(x.encode()) % SLICES for x in words]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*range(SLICES), *at], pa.int32()), pa.array(parts + [None] * len(at), pa.binary()),
+                 pa.array([None] * SLICES + list(words), pa.string()), pa.array([None] * SLICES + list(words.values()), pa.int64())],
+                ["slice", "sums", "lang", "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
+        words: dict[str, int] = {}
         for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for k, raw, lang, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if lang is not None:
+                    words[lang] = words.get(lang, 0) + n
+                    continue
                 new = np.frombuffer(raw.as_buffer(), small).astype(np.uint32)
                 sums[k] = np.minimum(sums[k] + new, min_count) if k in sums else new
         for k, x in sums.items():
-            yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "bits": pa.array([np.packbits(x >= min_count).tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(x >= min_count).tobytes()], pa.binary()),
+                                              pa.nulls(1, pa.string()), pa.nulls(1, pa.int64())], ["slice", "sums", "lang", "n"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(words), pa.int32()), pa.nulls(len(words), pa.binary()), pa.array(list(words), pa.string()),
+                                          pa.array(list(words.values()), pa.int64())], ["slice", "sums", "lang", "n"])
 
-    made = saved(src.mapInArrow(count, "slice int, sums binary, lang string, n long"))
+    added = saved(src.mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema))
     found = np.zeros(size // 8, np.uint8)
-    added = made.where(F.col("slice").isNotNull()).select("slice", "sums").repartition(SLICES, "slice").mapInArrow(add, "slice int, bits binary")
-    for r in added.collect():
-        found[r["slice"] * part // 8 : (r["slice"] + 1) * part // 8] = np.frombuffer(r["bits"], np.uint8)
-    words = made.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n"))
-    return found, words
+    for r in added.where(F.col("slice").isNotNull()).select("slice", "sums").collect():
+        found[r["slice"] * part // 8 : (r["slice"] + 1) * part // 8] = np.frombuffer(r["sums"], np.uint8)
+    return found, added.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def truncated_suffixes(src: DataFrame, frequent: Broadcast, bits: int, depth: int) -> DataFrame:
-    """(lang, leaf, c): at every word that may be frequent the suffix of up to ``depth`` words within its piece,
-    cut before the first pair of words that is rare; counted within the stretch of text. The words of a leaf
+def truncated_suffixes(src: DataFrame, pairs: Broadcast, longer: Broadcast, bits: int, depth: int) -> DataFrame:
+    """(lang, leaf, c): at every word that may be frequent the suffix of up to ``depth`` words within its piece, cut
+    where the phrase so far becomes rare; counted within the task as far as ``HELD`` leaves go. The words of a leaf
     are each followed by one space."""
+    def merged(parts: list[pa.RecordBatch]) -> pa.Table:
+        return pa.Table.from_batches(parts).group_by(["lang", "leaf"]).aggregate([("c", "sum")]).rename_columns(["lang", "leaf", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
+        for part in stretches(batches):
+            parts.append(part)
+            if sum(x.num_rows for x in parts) > HELD:
+                parts = merged(parts).to_batches()
+                if sum(x.num_rows for x in parts) > HELD // 2:
+                    yield from parts
+                    parts = []
+        if parts:
+            yield from merged(parts).to_batches()
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang, names = _languages(batch.column(0))
             hashes = _language_hashes(names)
             for w in word_runs(batch.column(1), lang, depth):
-                common = lambda at: (frequent.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-                one, two = _slots(w, hashes, bits)
-                alone = common(one)
-                joined = np.append(common(two) & alone[:-1] & alone[1:] & ~w.begins[1:], False)
-                length, goes_on = alone.astype(np.int64), joined.copy()
-                for k in range(1, depth):
+                length, goes_on = np.zeros(len(w.code), np.int64), np.ones(len(w.code), bool)
+                for k, at, still in _open_phrases(w, hashes, depth, bits, pairs.value):
+                    goes_on = goes_on & still & (_common(longer.value, at) if k > 2 else True)
                     length += goes_on
-                    goes_on[: len(goes_on) - k] &= joined[k:]
-                    goes_on[len(goes_on) - k :] = False
-                at = np.flatnonzero(alone[: w.counted])
+                at = np.flatnonzero(length[: w.counted])
                 if not len(at):
                     continue
                 places = at[:, None] + np.arange(depth)
@@ -222,14 +266,15 @@ def _words(text: str, number: Column | int) -> Column:
     return F.call_function("substring_index", F.col(text), F.lit(" "), F.lit(number))
 
 
-def partition_prefixes(leaves: DataFrame, depth: int, budget: int, max_groups: int) -> tuple[DataFrame, DataFrame]:
+def partition_prefixes(leaves: DataFrame, depth: int, budget: int, min_groups: int = MIN_GROUPS,
+                       max_groups: int = MAX_GROUPS) -> tuple[DataFrame, DataFrame]:
     """(rows, tops): vertical partitioning. A prefix that holds more leaves than the budget is replaced by its
     extensions by one word, and so on; the others are packed into groups. ``rows`` has each leaf with its group
     and the length ``depth`` of its prefix. ``tops`` has (lang, phrase, f) of the prefixes that were extended, which
     lie above all subtrees; there are at most ``max_groups`` of each length."""
     spark = leaves.sparkSession
     total = leaves.count()
-    budget = max(budget, math.ceil(total / max_groups))
+    budget = max(1, min(budget, math.ceil(total / min_groups)), math.ceil(total / max_groups))
     groups = max(1, math.ceil(total / budget))
     rows, tops = leaves.withColumn("_open", F.lit(True)).withColumn("depth", F.lit(1)), []
     words = F.size(F.split("leaf", " ")) - 1
@@ -305,15 +350,17 @@ def build_subtrees(rows: DataFrame, min_count: int) -> DataFrame:
 
 
 def phrase_counts(docs: DataFrame, min_count: int, depth: int, lang_col: str, text_col: str, budget: int = BUDGET,
-                  max_groups: int = MAX_GROUPS, bits: int = SLOT_BITS) -> tuple[DataFrame, DataFrame]:
+                  bits: int = SLOT_BITS) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, f) of all phrases of up to ``depth`` words that occur ``min_count`` times, (lang, n))."""
     spark = docs.sparkSession
+    send = spark.sparkContext.broadcast
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found, words = sketch_counts(src, min_count, bits)
+    found, words = sketch(src, min_count, bits, depth, None)
+    pairs = send(found)
+    longer = send(sketch(src, min_count, bits, depth, pairs)[0])
     path = scratch_path(spark, "leaves")
-    suffixes = truncated_suffixes(src, spark.sparkContext.broadcast(found), bits, depth)
-    suffixes.groupBy("lang", "leaf").agg(F.sum("c").alias("c")).write.parquet(path)
-    rows, tops = partition_prefixes(spark.read.parquet(path), depth, budget, max_groups)
+    truncated_suffixes(src, pairs, longer, bits, depth).groupBy("lang", "leaf").agg(F.sum("c").alias("c")).write.parquet(path)
+    rows, tops = partition_prefixes(spark.read.parquet(path), depth, budget)
     nodes = saved(build_subtrees(rows, min_count).union(tops.where(F.col("f") >= min_count)))
     delete_path(spark, path)
     return nodes, words
@@ -329,8 +376,8 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000, max_wor
     lowest score counts, the smallest k of equal ones. A phrase whose words stand in a longer one that
     occurs as often is dropped (then one by one word longer does too). Order: score and a falling, phrase rising by bytes.
 
-    Method: a sketch of fixed size tells which words and pairs cannot reach ``min_count``; suffixes are cut there, which
-    changes no count that matters, whatever the sketch's collisions. The distinct suffixes are
+    Method: two sketches of fixed size tell which words, pairs and longer phrases cannot reach ``min_count``; suffixes
+    are cut there, which changes no count that matters, whatever the sketches' collisions. The distinct suffixes are
     dealt by prefixes within a memory budget (:func:`partition_prefixes`), each group's subtrees are built on
     their own (:func:`build_subtrees`), and all counts are totals of leaves. Scores are exact up to 38 digits.
 

@@ -97,7 +97,7 @@ def test_word_runs_keep_every_word_with_the_words_after_it(monkeypatch, stretch)
 def test_long_prefixes_are_extended_and_groups_hold_the_budget(spark):
     rows = [("en", f"hot {a} {b} ", 1) for a in range(20) for b in range(30)] + [("en", f"cold{a} x ", 2) for a in range(400)] + [("en", "hot ", 5)]
     leaves = spark.createDataFrame(rows, "lang string, leaf string, c long")
-    out, tops = c.partition_prefixes(leaves, 5, 50, 100)
+    out, tops = c.partition_prefixes(leaves, 5, 50, 1)
     assert [tuple(r) for r in tops.collect()] == [("en", "hot", 605)]
     got = out.collect()
     assert len(got) == 1000 and {r["depth"] for r in got if r["leaf"].startswith("hot")} == {2}
