@@ -1,8 +1,9 @@
 """Seeded 32-bit hash in plain long arithmetic: multiply, fold the high half into the low one, multiply.
 
-Multiplication modulo 2^32 (Knuth's constant) is split in 16-bit halves, so nothing overflows in
-ANSI mode and any SQL engine computes the same number, independent of partitioning. The fold between
-the two rounds breaks the linearity in the key, so hashes of different seeds are unrelated.
+Multiplication modulo 2^32 (Knuth's constant) takes the constant less 2^32, which leaves the residue as it is
+and keeps every product below 2^63, so nothing overflows in ANSI mode. Any SQL engine computes the same
+number, independent of partitioning (the SQL text splits the constant in 16-bit halves instead). The fold
+between the two rounds breaks the linearity in the key, so hashes of different seeds are unrelated.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ _SEED_STEP = 40503
 
 
 def _round(k: Column) -> Column:
-    return F.pmod(k * _LO + F.pmod(k * _HI, F.lit(1 << 16)) * (1 << 16), F.lit(U32))
+    """k * KNUTH modulo 2^32 for 0 <= k < 2^32; ``k`` stands once, as every use of a column repeats its expression."""
+    return F.pmod(k * F.lit(KNUTH - U32), F.lit(U32))
 
 
 def hash_u32(key, seed: int = 0) -> Column:

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.joins import gram_join
+from shelfwise.operators.joins import CELL_ROWS, gram_join
 from shelfwise.operators.topk import top_n
+from shelfwise.session import materialize
+
+#: Pairs of rows that a round of :func:`closest_items` may form; smaller tiers share a round.
+ROUND_PAIRS = 2_000_000
 
 
 def good_rows(flagged: DataFrame) -> DataFrame:
@@ -37,6 +43,88 @@ def item_closest(similarity: DataFrame) -> DataFrame:
     return best.select("book_id", F.col("other_id").alias("closest"), (F.col("n_both") / F.col("n_good")).alias("sim"))
 
 
+@dataclass(frozen=True)
+class ClosestItems:
+    """``rows``: (book_id, closest, n_both, n_good). ``pairs``: pairs of rating rows that were formed, of ``total``
+    that the whole self-join has; ``rounds``: joins that formed them."""
+
+    rows: DataFrame
+    rounds: int
+    pairs: int
+    total: int
+
+
+def partner_rounds(tiers: list[tuple[int, int, int]], round_pairs: int) -> list[tuple[int, int, int]]:
+    """(lowest tier, highest tier, bound) of each round, from (tier, pairs, largest n_good) rows: partners of
+    falling tiers, as many as fit ``round_pairs``, one at least. ``bound``: largest n_good of the partners left."""
+    out, at = [], 0
+    tiers = sorted(tiers, reverse=True)
+    while at < len(tiers):
+        to, pairs = at + 1, tiers[at][1]
+        while to < len(tiers) and pairs + tiers[to][1] <= round_pairs:
+            pairs += tiers[to][1]
+            to += 1
+        out.append((tiers[to - 1][0], tiers[at][0], tiers[to][2] if to < len(tiers) else 0))
+        at = to
+    return out
+
+
+def closest_items(flagged: DataFrame, only: DataFrame | None = None, round_pairs: int = ROUND_PAIRS,
+                  cell_rows: int = CELL_ROWS) -> ClosestItems:
+    """Most similar other item per item without the table of all pairs; ties go to the lowest id.
+
+    n_both(i, j) is at most n_good(i) and at most n_good(j). Partners are met by falling n_good, in tiers of powers
+    of two. After a round an item is settled once its best count exceeds what any partner left can reach,
+    min(n_good(i), largest n_good left); a partner that can only draw level might have a lower id, so such items stay
+    open. Only rows of open items enter the next join, so rare items are not paired with each other once each has a
+    better partner. Rows of large users are dealt over cells as in :func:`gram_join`.
+
+    The driver holds one line per tier (64 at most); best partners and open items are written tables. ``only``:
+    (book_id) rows, the items wanted. Input rows must be distinct per (user_id, book_id)."""
+    good = good_rows(flagged)
+    n_good = good.groupBy("book_id").agg(F.count(F.lit(1)).alias("n_good"))
+    n_user = good.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_user"))
+    cells = F.ceil(F.col("n_user") / F.lit(cell_rows)).cast("int")
+    base = good.join(n_good, "book_id").join(n_user, "user_id").select(
+        "user_id", "book_id", "n_good", (F.col("n_user") - 1).alias("pairs"), F.floor(F.log2("n_good")).cast("int").alias("tier"),
+        cells.alias("cells"), F.pmod(F.xxhash64("book_id"), cells).cast("int").alias("cell"))
+    base = materialize(base)
+    tiers = base.groupBy("tier").agg(F.sum("pairs").alias("pairs"), F.max("n_good").alias("most")).collect()
+    total = sum(r["pairs"] for r in tiers)
+    plan = partner_rounds([(r["tier"], r["pairs"], r["most"]) for r in tiers], round_pairs)
+    left = base if only is None else base.join(only.select("book_id").distinct(), "book_id", "left_semi")
+    other = F.explode(F.sequence(F.lit(0), F.col("cells") - 1))
+    best, formed, rounds = None, 0, 0
+    for low, high, bound in plan:
+        mine = left.select("user_id", "book_id", "n_good", F.col("cell").alias("a"), other.alias("b"))
+        theirs = base.where(F.col("tier").between(low, high)).select(
+            "user_id", F.col("book_id").alias("closest"), other.alias("a"), F.col("cell").alias("b"))
+        pairs = mine.join(theirs, ["user_id", "a", "b"]).where(F.col("book_id") != F.col("closest"))
+        found = pairs.groupBy("book_id", "closest").agg(F.count(F.lit(1)).alias("n_both"), F.first("n_good").alias("n_good"))
+        found = found.withColumn("formed", F.col("n_both"))
+        best = materialize(_best(found if best is None else found.unionByName(best.withColumn("formed", F.lit(0).cast("long")))))
+        formed += best.agg(F.sum("formed")).first()[0] or 0
+        rounds += 1
+        if not bound:
+            break
+        known = best.select("book_id", F.col("n_both").alias("_best"))
+        still = left.join(known, "book_id", "left").where(F.coalesce("_best", F.lit(0)) <= F.least("n_good", F.lit(bound))).drop("_best")
+        left = materialize(still)
+        if left.isEmpty():
+            break
+    if best is None:
+        best = base.select("book_id", F.col("book_id").alias("closest"), F.lit(0).cast("long").alias("n_both"), "n_good").limit(0)
+    return ClosestItems(best.select("book_id", "closest", "n_both", "n_good"), rounds, formed, total)
+
+
+def _best(found: DataFrame) -> DataFrame:
+    """Each item's partner of the highest count, ties to the lowest id; ``formed`` is added up."""
+    low = found.groupBy("book_id", "n_both").agg(
+        F.min("closest").alias("closest"), F.max("n_good").alias("n_good"), F.sum("formed").alias("formed"))
+    return low.groupBy("book_id").agg(F.max_by("closest", "n_both").alias("closest"), F.max("n_both").alias("n_both"),
+                                      F.max("n_good").alias("n_good"), F.sum("formed").alias("formed"))
+
+
 def _argmax(df: DataFrame, row: str, col: str, value: str, carry: str) -> DataFrame:
     """(row, col, value, carry) at the largest value of each row, ties to the lowest col; ``carry`` is
     constant within a row."""

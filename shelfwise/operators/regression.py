@@ -118,27 +118,25 @@ def fold_statistics(ratings_fold: DataFrame, book_tag_set: DataFrame, terms: Seq
     """One distributed pass: per fold, the raw-row Gram X^T X (with intercept column), X^T y, y^T y, n.
 
     X^T X is built from tag pairs of each book (a book has few tags), weighted by the book's row
-    count in the fold, so nothing per-row is ever expanded. Returns NumPy arrays keyed by fold
+    count in the fold, so nothing per-row is ever expanded. The rows are read once: a book's terms stand in an array
+    (at most p long), from which every cell follows. Returns NumPy arrays keyed by fold
     (size folds x p^2, independent of the row count). Rows take part whose book is among ``books``
     (book_id); by default the books with at least one of the terms."""
     per = ratings_fold.groupBy("fold", "book_id").agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.sum(y).cast("double").alias("sy"),
         F.sum(F.col(y) * F.col(y)).cast("double").alias("syy"))
-    tags = book_tag_set.where(F.col("tag_id").isin([int(t) for t in terms])).select("book_id", "tag_id")
-    books = (tags if books is None else books).select("book_id").distinct()
-    with_icpt = materialize(  # (book, term) rows incl. the intercept term: read by three aggregates
-        tags.unionByName(books.withColumn("tag_id", F.lit(INTERCEPT).cast("long"))))
-    per = per.join(books, "book_id", "left_semi")
-    a = with_icpt.withColumnRenamed("tag_id", "ti")
-    b = with_icpt.withColumnRenamed("tag_id", "tj")
-    # one job: X^T X cells (ti, tj), X^T y cells (ti, -1) and the y^T y / n row (-1, -1)
-    gram = per.join(a, "book_id").join(b, "book_id").groupBy("fold", "ti", "tj").agg(
-        F.sum("n").alias("v"), F.lit(0.0).alias("v2"))
-    xty = per.join(a, "book_id").groupBy("fold", "ti").agg(F.sum("sy").alias("v"), F.lit(0.0).alias("v2")).select(
-        "fold", "ti", F.lit(-1).cast("long").alias("tj"), "v", "v2")
-    yy = per.groupBy("fold").agg(F.sum("syy").alias("v"), F.sum("n").alias("v2")).select(
-        "fold", F.lit(-1).cast("long").alias("ti"), F.lit(-1).cast("long").alias("tj"), "v", "v2")
-    cells = gram.unionByName(xty).unionByName(yy).collect()  # folds x (p^2 + p + 1) rows
+    tags = book_tag_set.where(F.col("tag_id").isin([int(t) for t in terms])).groupBy("book_id").agg(F.collect_set("tag_id").alias("terms"))
+    if books is not None:
+        tags = books.select("book_id").distinct().join(tags, "book_id", "left")
+    icpt, none = F.lit(INTERCEPT).cast("long"), F.lit(-1).cast("long")
+    found = F.concat(F.array(icpt), F.coalesce("terms", F.array().cast("array<long>")))
+    cell = lambda i, j, v: F.struct(i.alias("ti"), j.alias("tj"), v.alias("v"), F.lit(0.0).alias("v2"))
+    # X^T X cells (ti, tj), X^T y cells (ti, -1) and the y^T y / n row (-1, -1)
+    gram = F.flatten(F.transform("terms", lambda i: F.transform("terms", lambda j: cell(i, j, F.col("n")))))
+    xty = F.transform("terms", lambda i: cell(i, none, F.col("sy")))
+    yy = F.array(F.struct(none.alias("ti"), none.alias("tj"), F.col("syy").alias("v"), F.col("n").alias("v2")))
+    rows = per.join(tags, "book_id").withColumn("terms", found).select("fold", F.explode(F.concat(gram, xty, yy)).alias("c"))
+    cells = rows.groupBy("fold", "c.ti", "c.tj").agg(F.sum("c.v").alias("v"), F.sum("c.v2").alias("v2")).collect()  # folds x (p^2 + p + 1)
     idx = {INTERCEPT: 0, **{int(t): i + 1 for i, t in enumerate(terms)}}
     p = len(idx)
     stats: dict = {}
@@ -157,27 +155,43 @@ def fold_statistics(ratings_fold: DataFrame, book_tag_set: DataFrame, terms: Seq
     return stats
 
 
-def lasso_gram(G: np.ndarray, c: np.ndarray, n: float, alpha: float, tol: float = 1e-12, max_iter: int = 100000) -> np.ndarray:
+def lasso_gram(G: np.ndarray, c: np.ndarray, n: float, alpha: float, tol: float = 1e-12, max_iter: int = 100000,
+               start: np.ndarray | None = None) -> np.ndarray:
     """Coordinate descent for 1/(2n) SSE + alpha L1 with an unpenalised intercept (column 0),
-    on sufficient statistics only (p x p). Returns beta with the intercept first."""
+    on sufficient statistics only (p x p), from ``start`` (a solution for another alpha) or zero. Returns beta with
+    the intercept first. Sweeps run over the active terms until these settle; then all terms are looked at
+    once, and the solution stands when none of them moves."""
     p = len(c)
     mean_x = G[0, 1:] / n
     mean_y = c[0] / n
     Gc = G[1:, 1:] - n * np.outer(mean_x, mean_x)
     cc = c[1:] - n * mean_x * mean_y
-    b = np.zeros(p - 1)
-    diag = np.diag(Gc)
+    b = np.zeros(p - 1) if start is None else start[1:].copy()
+    diag = np.diag(Gc).copy()
+    used, limit = np.flatnonzero(diag > 0), n * alpha
+    b[diag <= 0] = 0.0
+    rest = cc - Gc @ b  # X^T (y - X b), kept up to date
+
+    def sweep(terms: np.ndarray) -> float:
+        moved = 0.0
+        for j in terms.tolist():
+            rho = rest[j] + diag[j] * b[j]
+            new = (rho - limit if rho > limit else rho + limit if rho < -limit else 0.0) / diag[j]
+            step = new - b[j]
+            if step:
+                rest[:] -= Gc[j] * step
+                b[j] = new
+                moved = max(moved, abs(step))
+        return moved
+
     for _ in range(max_iter):
-        delta = 0.0
-        for j in range(p - 1):
-            if diag[j] <= 0:
-                continue
-            rho = cc[j] - Gc[j] @ b + diag[j] * b[j]
-            new = np.sign(rho) * max(abs(rho) - n * alpha, 0.0) / diag[j]
-            delta = max(delta, abs(new - b[j]))
-            b[j] = new
-        if delta < tol:
+        if sweep(used) < tol:
             return np.concatenate([[mean_y - mean_x @ b], b])
+        active = used[b[used] != 0]
+        for _ in range(max_iter):
+            if sweep(active) < tol:
+                break
+        rest = cc - Gc @ b  # without the rounding of many updates
     raise RuntimeError(f"lasso: not converged in {max_iter} sweeps at alpha {alpha}")
 
 
@@ -226,23 +240,31 @@ def r2_from_stats(beta: np.ndarray, s: dict) -> float:
     return float(1 - ssr / sst) if sst > 0 else float("nan")
 
 
+def lasso_path(s: dict, alphas: Sequence[float]) -> dict[float, np.ndarray]:
+    """{alpha: beta} by falling alpha, each solution starting from the one before it."""
+    out: dict[float, np.ndarray] = {}
+    beta = None
+    for a in sorted(set(map(float, alphas)), reverse=True):
+        out[a] = beta = lasso_gram(s["G"], s["c"], s["n"], a, start=beta)
+    return out
+
+
 def lasso_cv(stats: dict, alphas: Sequence[float]) -> list[tuple[float, float, float, float]]:
-    """K-fold CV of the R^2 score: for each alpha (alpha, mean, population std, std / sqrt(K))."""
-    folds = sorted(stats)
+    """K-fold CV of the R^2 score: for each alpha (alpha, mean, population std, std / sqrt(K)). One path of
+    solutions a fold (:func:`lasso_path`)."""
+    folds, scores = sorted(stats), {}
+    for f in folds:
+        train = {k: sum(stats[g][k] for g in folds if g != f) for k in ("G", "c", "yy", "n")}
+        scores[f] = {a: r2_from_stats(beta, stats[f]) for a, beta in lasso_path(train, alphas).items()}
     out = []
     for a in alphas:
-        scores = []
-        for f in folds:
-            tr = {k: sum(stats[g][k] for g in folds if g != f) for k in ("G", "c", "yy", "n")}
-            beta = lasso_gram(tr["G"], tr["c"], tr["n"], a)
-            scores.append(r2_from_stats(beta, stats[f]))
-        sc = np.array(scores)
+        sc = np.array([scores[f][float(a)] for f in folds])
         out.append((float(a), float(sc.mean()), float(sc.std()), float(sc.std() / np.sqrt(len(folds)))))
     return out
 
 
 __all__ = [
     "book_design", "ols_fit", "lasso_fit", "coefficient_table", "gradient_table", "r_squared_raw",
-    "ols_inference", "kkt_table", "fold_statistics", "lasso_gram", "lasso_cv", "total_statistics", "best_alpha", "kkt_ok",
+    "ols_inference", "kkt_table", "fold_statistics", "lasso_gram", "lasso_path", "lasso_cv", "total_statistics", "best_alpha", "kkt_ok",
     "inference_from_stats", "vector_to_array",
 ]

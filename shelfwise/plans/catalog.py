@@ -421,9 +421,8 @@ def tag_share(spark, sf):
   join (select book_id, count(*) as n_good from fx_good group by book_id) d on d.book_id = p.book_id) x where rn = 1""")
 def idxmax_per_row(spark, sf):
     # the argmax over the integer co-count equals the argmax of sim within a row
-    sim = collab.item_similarity(flagged(tables(spark, sf)))
-    out = collab.idxmax_per_row(sim, "book_id", "other_id", "n_both", "n_good")
-    return out.select("book_id", "best_other_id", r6(F.col("max_n_both") / F.col("n_good")).alias("max_sim"))
+    found = collab.closest_items(written_flags(tables(spark, sf))).rows
+    return found.select("book_id", F.col("closest").alias("best_other_id"), r6(F.col("n_both") / F.col("n_good")).alias("max_sim"))
 
 
 @q("label_counts", "select label, count(*) as n from embeddings group by label")
@@ -545,8 +544,20 @@ _CLOSEST_SQL = """select book_id, other_id as closest, round(n_both / n_good, 6)
 
 @q("item_closest", _CLOSEST_SQL)
 def item_closest(spark, sf):
-    sim = collab.item_similarity(flagged(tables(spark, sf)))
-    return collab.item_closest(sim).withColumn("sim", r6("sim"))
+    """Best partners by falling upper bounds; the table of all pairs is not formed."""
+    return _closest(collab.closest_items(written_flags(tables(spark, sf))))
+
+
+def _closest(found: collab.ClosestItems) -> DataFrame:
+    return found.rows.select("book_id", "closest", r6(F.col("n_both") / F.col("n_good")).alias("sim"))
+
+
+@q("item_closest_cost", """select cast((select sum(n * (n - 1)) from (select count(*) as n from fx_good group by user_id) s) as bigint) as total_pairs,
+  true as within_total""")
+def item_closest_cost(spark, sf):
+    """Pairs of rating rows that the whole self-join has, and whether the closest items were found with no more."""
+    found = collab.closest_items(written_flags(tables(spark, sf)))
+    return spark.createDataFrame([(found.total, found.pairs <= found.total)], "total_pairs long, within_total boolean")
 
 
 @q("join_add_names", """select c.book_id, b1.title, c.closest, b2.title as closest_title, c.sim
@@ -567,8 +578,7 @@ def ibcf_recommend(spark, sf):
     fl = written_flags(t)
     user = chosen_user(t)
     mine = fl.where((F.col("user_id") == user) & (F.col("good") == 1)).select("book_id")
-    closest = collab.item_closest(collab.item_similarity(fl, only=mine))
-    return collab.ibcf_recommend(fl, closest, user).withColumn("sim", r6("sim"))
+    return collab.ibcf_recommend(fl, _closest(collab.closest_items(fl, only=mine)), user)
 
 
 # ---------------------------------------------------------------- 2.15 re-aimed
@@ -863,14 +873,22 @@ def model_tags(t: Tables):
     """Inputs of the model queries, built once per query: the normalised book tags (written to
     the checkpoint folder), the kept tags resolved to a list (bounded by the top-n limit), the
     per-book 0/1 vectors (written) and the distinct (book, kept tag) set."""
+    def build():
+        nt, kl, tag_set = tag_rows(t)
+        return nt, kl, materialize(feat.dense_tag_arrays(nt, kl)), tag_set
+
+    return t.memo("model_tags", build)
+
+
+def tag_rows(t: Tables):
+    """The parts of :func:`model_tags` that need no vectors."""
     def build():
         nt = materialize(norm_tags(t))
         kl = feat.resolve_kept(feat.kept_tags(nt, t.tags()))
-        vecs = materialize(feat.dense_tag_arrays(nt, kl))
         tag_set = materialize(nt.where(F.col("tag_id").isin([tid for tid, _ in kl])).select("book_id", "tag_id").distinct())
-        return nt, kl, vecs, tag_set
+        return nt, kl, tag_set
 
-    return t.memo("model_tags", build)
+    return t.memo("tag_rows", build)
 
 
 def tag_vectors(t: Tables, with_terms: bool = False):
@@ -1175,7 +1193,7 @@ def lasso_cv(spark, sf):
 
 
 def _fold_stats(t: Tables):
-    _, kl, _, tag_set = model_tags(t)
+    _, kl, tag_set = tag_rows(t)
     terms = [tid for tid, _ in kl]
     folded = clean_ratings(t).withColumn("fold", F.floor(hash_pair_u32("user_id", "book_id") * 5 / F.lit(1 << 32)).cast("int"))
     return terms, reg.fold_statistics(folded, tag_set, terms)
@@ -1204,6 +1222,17 @@ def lasso_refit(spark, sf):
     return spark.createDataFrame([(int(i), bool(x)) for i, x in zip([0, *terms], ok)], "term long, kkt_ok boolean")
 
 
+@q("lasso_path", "select alpha, 1 + (select count(*) from fx_kept) as n_terms, true as kkt_ok from (select unnest(range(1, 31)) as alpha) x")
+def lasso_path(spark, sf):
+    """KKT certificate of the whole path on all rows: for the 30 alphas of the grid (numbered from the smallest)
+    every term satisfies its condition."""
+    terms, stats = _fold_stats(tables(spark, sf))
+    s = reg.total_statistics(stats)
+    path = reg.lasso_path(s, LASSO_GRID)
+    rows = [(i, len(terms) + 1, bool(reg.kkt_ok(path[a], s, a, KKT_TOL).all())) for i, a in enumerate(LASSO_GRID, 1)]
+    return spark.createDataFrame(rows, "alpha long, n_terms long, kkt_ok boolean")
+
+
 # ---------------------------------------------------------------- 2.12 PCA
 from shelfwise.operators import decompose as dec  # noqa: E402
 

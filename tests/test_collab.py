@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from itertools import permutations
 
@@ -80,3 +81,42 @@ def test_dense_ids_with_a_payload_at_scale(spark, tmp_path):
         # the numbers follow the order of the key
         low = out.where("dense <= 100000").agg(F.max("k")).first()[0]
         assert low < out.where("dense > 100000").agg(F.min("k")).first()[0]
+
+
+def _plain_closest(rows):
+    by_user, n_good = {}, Counter(i for _, i in rows)
+    for u, i in rows:
+        by_user.setdefault(u, set()).add(i)
+    both = Counter((a, b) for items in by_user.values() for a, b in permutations(items, 2))
+    best = {}
+    for (a, b), n in both.items():
+        best[a] = min(best.get(a, (0, 0)), (-n, b))
+    return {a: (b, -n, n_good[a]) for a, (n, b) in best.items()}, sum(both.values())
+
+
+def test_closest_items_equals_brute_force_and_forms_fewer_pairs(spark):
+    """A few popular books that everyone likes beside many rare ones; ties in counts; one user with most books."""
+    rng = random.Random(7)
+    rows = {(u, i) for u in range(300) for i in range(6) if rng.random() < 0.6}
+    rows |= {(u, 100 + rng.randrange(400)) for u in range(300) for _ in range(8)}
+    rows |= {(999, i) for i in range(100, 300)}
+    flagged = spark.createDataFrame([(u, i, 1) for u, i in sorted(rows)] + [(1, 7777, 0)], "user_id long, book_id long, good int")
+    want, total = _plain_closest(rows)
+    for round_pairs, cell_rows in ((10**9, 1024), (1, 1024), (1, 16), (3000, 50)):
+        got = collab.closest_items(flagged, round_pairs=round_pairs, cell_rows=cell_rows)
+        assert {r["book_id"]: (r["closest"], r["n_both"], r["n_good"]) for r in got.rows.collect()} == want
+        assert got.total == total and got.pairs <= total
+        if round_pairs == 10**9:
+            assert got.rounds == 1 and got.pairs == total
+    assert collab.closest_items(flagged, round_pairs=1).pairs < 0.8 * total
+    some = spark.createDataFrame([(0,), (150,), (150,), (5555,)], "book_id long")
+    got = collab.closest_items(flagged, only=some, round_pairs=1)
+    assert {r["book_id"]: (r["closest"], r["n_both"], r["n_good"]) for r in got.rows.collect()} == {i: want[i] for i in (0, 150)}
+    assert collab.closest_items(flagged.limit(0)).rows.count() == 0
+
+
+def test_partner_rounds_join_small_tiers():
+    tiers = [(0, 10, 1), (1, 20, 3), (2, 30, 6), (5, 500, 40)]
+    assert collab.partner_rounds(tiers, 1) == [(5, 5, 6), (2, 2, 3), (1, 1, 1), (0, 0, 0)]
+    assert collab.partner_rounds(tiers, 55) == [(5, 5, 6), (1, 2, 1), (0, 0, 0)]
+    assert collab.partner_rounds(tiers, 10**6) == [(0, 5, 0)] and collab.partner_rounds([], 5) == []

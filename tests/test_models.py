@@ -114,6 +114,38 @@ def test_singular_design_has_no_inference_and_p_values_are_student(spark):
     assert abs(reg.student_p_values(spark, [-2.042272], 30)[0] - 0.05) < 1e-6
 
 
+def test_lasso_path_equals_cold_starts():
+    rng = np.random.default_rng(11)
+    x = (rng.random((400, 12)) < 0.3).astype(float)
+    x[:, 7] = 0.0  # a term that no row has
+    y = x @ rng.normal(size=12) + rng.normal(size=400)
+    a = np.column_stack([np.ones(400), x])
+    s = {"G": a.T @ a, "c": a.T @ y, "yy": float(y @ y), "n": 400.0}
+    alphas = [10 ** (-4 + i / 4) for i in range(16)]
+    path = reg.lasso_path(s, alphas)
+    for alpha in alphas:
+        cold = reg.lasso_gram(s["G"], s["c"], 400.0, alpha)
+        assert np.abs(path[alpha] - cold).max() < 1e-8
+        assert reg.kkt_ok(path[alpha], s, alpha, 1e-8).all()
+    assert [int((path[a][1:] != 0).sum()) for a in (alphas[0], alphas[-1])][0] > 5
+
+
+def test_fold_statistics_equal_numpy(spark):
+    rng = np.random.default_rng(3)
+    tags = sorted({(int(b), int(t)) for b, t in zip(rng.integers(1, 30, 90), rng.choice([3, 5, 8, 99], 90))})
+    rows = [(int(u), int(rng.integers(1, 35)), int(rng.integers(1, 6)), int(rng.integers(0, 3))) for u in range(300)]
+    df = spark.createDataFrame(rows, "user_id long, book_id long, rating int, fold int")
+    tag = spark.createDataFrame(tags + tags[:5], "book_id long, tag_id long")
+    for books in (None, spark.createDataFrame([(b,) for b in range(1, 33)], "book_id long")):
+        got = reg.fold_statistics(df, tag, [3, 5, 8], books=books)
+        member = {b for b, t in tags if t in (3, 5, 8)} if books is None else set(range(1, 33))
+        for f in range(3):
+            x = np.array([[1.0] + [float((b, t) in set(tags)) for t in (3, 5, 8)] for _, b, _, g in rows if g == f and b in member])
+            y = np.array([float(r) for _, b, r, g in rows if g == f and b in member])
+            assert np.array_equal(got[f]["G"], x.T @ x) and np.array_equal(got[f]["c"], x.T @ y)
+            assert (got[f]["yy"], got[f]["n"]) == (y @ y, len(y))
+
+
 def test_lasso_raises_when_it_does_not_converge():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(30, 4)) + rng.normal(size=(30, 1)) * 5

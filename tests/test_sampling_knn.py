@@ -74,3 +74,17 @@ def test_hot_group_is_spread_over_salt_cells(spark):
     assert prev == {1: 4, 2: 1}
     pairs = joins.gram_join(df, "user_id", "book_id")
     assert pairs.agg(F.sum("n")).first()[0] == n * (n - 1) + 2
+
+
+def test_hash_equals_plain_integers(spark):
+    from shelfwise.functions.hashing import KNUTH, U32, hash_pair_u32, hash_u32
+
+    def plain(k, seed):
+        a = (k + seed * 40503) % U32 * KNUTH % U32
+        return (a + (a >> 16) * (2 * seed + 1)) % U32 * KNUTH % U32
+
+    keys = [0, 1, -1, 7, U32 - 1, U32, U32 + 5, 2**31, 2**40 + 3, -(2**35) - 9]
+    df = spark.createDataFrame([(k, 13 * k) for k in keys], "k long, j long")
+    for seed in (0, 1, 9):
+        got = df.select("k", "j", hash_u32("k", seed).alias("h"), hash_pair_u32("k", "j", seed).alias("p")).collect()
+        assert all(r["h"] == plain(r["k"], seed) and r["p"] == plain(plain(r["k"], seed) + r["j"], seed) for r in got)
