@@ -147,7 +147,7 @@ def _open_phrases(w: Words, langs: np.ndarray, depth: int, bits: int, pairs: np.
 def sketch(src: DataFrame, min_count: int, bits: int, depth: int, pairs: Broadcast | None) -> tuple[np.ndarray, DataFrame]:
     """(bits, (lang, n) with the number of words): a phrase whose place in the sketch has fewer than ``min_count``
     occurrences over all texts is rare. Without ``pairs`` words and pairs are counted; with these, the phrases of 3
-    words or more whose words and pairs may all be frequent. Counters stop at ``min_count``, which
+    words or more whose words and pairs may all be frequent, and the words of such pairs. Counters stop at ``min_count``, which
     changes no sum that matters; a task sends them once, in slices, whatever the data's size."""
     size, part = 1 << bits, (1 << bits) // SLICES
     small = np.uint8 if min_count < 256 else np.uint32
@@ -167,8 +167,13 @@ def sketch(src: DataFrame, min_count: int, bits: int, depth: int, pairs: Broadca
                     for k, n in enumerate(np.bincount(w.lang[: w.counted], minlength=len(names)).tolist()):
                         words[names[k]] = words.get(names[k], 0) + n
                 else:
+                    word = None
                     for k, at, still in _open_phrases(w, hashes, depth, bits, pairs.value):
-                        if k > 2:
+                        word = at if k == 1 else word
+                        if k == 2:
+                            np.add.at(sums, word[: w.counted][still[: w.counted]], np.uint32(1))
+                            np.add.at(sums, word[1:][: w.counted][still[:-1][: w.counted]], np.uint32(1))
+                        elif k > 2:
                             np.add.at(sums, at[: w.counted][still[: w.counted]], np.uint32(1))
         if sums is not None:
             sums = np.minimum(sums, min_count).astype(small)
@@ -203,7 +208,7 @@ def sketch(src: DataFrame, min_count: int, bits: int, depth: int, pairs: Broadca
 
 
 def truncated_suffixes(src: DataFrame, pairs: Broadcast, longer: Broadcast, bits: int, depth: int) -> DataFrame:
-    """(lang, leaf, c): at every word that may be frequent the suffix of up to ``depth`` words within its piece, cut
+    """(lang, leaf, c): at every word that stands in a pair that may be frequent the suffix of up to ``depth`` words within its piece, cut
     where the phrase so far becomes rare; counted within the task as far as ``HELD`` leaves go. The words of a leaf
     are each followed by one space."""
     def merged(parts: list[pa.RecordBatch]) -> pa.Table:
@@ -228,7 +233,7 @@ def truncated_suffixes(src: DataFrame, pairs: Broadcast, longer: Broadcast, bits
             for w in word_runs(batch.column(1), lang, depth):
                 length, goes_on = np.zeros(len(w.code), np.int64), np.ones(len(w.code), bool)
                 for k, at, still in _open_phrases(w, hashes, depth, bits, pairs.value):
-                    goes_on = goes_on & still & (_common(longer.value, at) if k > 2 else True)
+                    goes_on = goes_on & still & (_common(longer.value, at) if k != 2 else True)
                     length += goes_on
                 at = np.flatnonzero(length[: w.counted])
                 if not len(at):
@@ -351,7 +356,8 @@ def build_subtrees(rows: DataFrame, min_count: int) -> DataFrame:
 
 def phrase_counts(docs: DataFrame, min_count: int, depth: int, lang_col: str, text_col: str, budget: int = BUDGET,
                   bits: int = SLOT_BITS) -> tuple[DataFrame, DataFrame]:
-    """((lang, phrase, f) of all phrases of up to ``depth`` words that occur ``min_count`` times, (lang, n))."""
+    """((lang, phrase, f) of all phrases of up to ``depth`` words that occur ``min_count`` times, without some of the
+    single words that no phrase of two words among them holds, (lang, n))."""
     spark = docs.sparkSession
     send = spark.sparkContext.broadcast
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
