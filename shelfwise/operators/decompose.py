@@ -87,7 +87,7 @@ class SvdResult(NamedTuple):
     products: int
 
 
-def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 150, tol: float = 1e-6,
+def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 300, tol: float = 1e-6,
                max_products: int = 120, seed: int = 7) -> SvdResult:
     """The ``k`` leading singular triplets of the sparse matrix in ``entries`` (row, col, value), iterated
     until ||A^T u - s v|| <= tol * s for each (A v = s u holds by construction). Raises RuntimeError when
@@ -110,14 +110,22 @@ def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 15
     limit = max(basis, 2 * block + k)
     first = materialize(_gaussian(names, seed, block))
     turn, width = _whiten(_gram(first, ["vec"]))
-    cols = _rows(first, "col", ["vec"], ["v", "w", "q"], lambda x, t=turn: (x[:, :0], x[:, :0], x @ t))
-    m = 0
+    full, ins, advance = first, ["vec"], lambda x, t=turn: (x[:, :0], x[:, :0], x @ t)
     for done in range(1, max_products + 1):
-        y = materialize(_multiply(e, cols.select("col", F.col("q").alias("vec")), "col", "row", width))
-        w = _multiply(e, y, "row", "col", width).withColumnRenamed("vec", "_w")
-        full = materialize(cols.join(w, "col").select("col", F.concat("v", "q").alias("v"), F.concat("w", "_w").alias("w")))
-        m += width
-        g = _gram(full, ["v", "w"])
+        q = _rows(full, "col", ins, ["vec"], lambda *x, f=advance: (f(*x)[2],))
+        w = _multiply(e, _multiply(e, q, "col", "row", width), "row", "col", width).withColumnRenamed("vec", "_w")
+
+        def extend(*x, f=advance):
+            v, w, q = f(*x[:-1])
+            return np.hstack([v, q]), np.hstack([w, x[-1]])
+
+        full, ins = materialize(_rows(full.join(w, "col"), "col", [*ins, "_w"], ["v", "w"], extend)), ["v", "w"]
+        g = _gram(full, ins)
+        # V is orthonormal but for the rounding of the projections: t mends it, and W = A^T A V follows
+        n = len(g) // 2
+        t, m = _whiten(g[:n, :n], np.ones(n))
+        both = np.kron(np.eye(2), t)
+        g = both.T @ g @ both
         ritz, z = np.linalg.eigh((g[:m, m:] + g[:m, m:].T) / 2)
         ritz, z = ritz[::-1], z[:, ::-1]
         lead, sq = z[:, :k], np.clip(ritz[:k], 0, None)
@@ -125,27 +133,21 @@ def svd_krylov(entries: DataFrame, k: int = 10, block: int = 30, basis: int = 15
         off = np.sqrt(np.clip(dot(g[m:, m:]) - 2 * sq * dot(g[:m, m:]) + sq**2, 0, None))
         if m >= min(k, n_col) and (off <= tol * sq + 1e-12 * sq[0]).all():
             break
-        # the next block: what A^T A made of the last one, orthogonal to V and orthonormal in two passes
-        h1 = g[:m, 2 * m - width :]
-        t1, width = _whiten(g[2 * m - width :, 2 * m - width :] - h1.T @ h1, np.diag(g)[2 * m - width :])
+        # the next block: what A^T A made of the last one (its columns of W in terms of the mended V), less its
+        # part in V, orthonormal
+        last = np.linalg.pinv(t)[:, n - width :]
+        made = last.T @ g[m:, m:] @ last
+        h = g[:m, m:] @ last
+        t1, width = _whiten(made - h.T @ h, np.diag(made))
         if not width:  # V spans all that A^T A reaches
             break
-        once = lambda v, w, h=h1, t=t1: (w[:, -h.shape[1] :] - v @ h) @ t
-        g2 = _gram(_rows(full, "col", ["v", "w"], ["v", "q"], lambda v, w, f=once: (v, f(v, w))), ["v", "q"])
-        h2 = g2[:m, m:]
-        t2, width = _whiten(g2[m:, m:] - h2.T @ h2, np.diag(g2)[m:])
-        if not width:
-            break
-        keep = z[:, : k + block] if m + width > limit else None
-
-        def advance(v, w, f=once, h=h2, t=t2, z=keep):
-            q = (f(v, w) - v @ h) @ t
-            return (v, w, q) if z is None else (v @ z, w @ z, q)
+        keep = t @ z[:, : k + block] if m + width > limit else t
 
-        cols = _rows(full, "col", ["v", "w"], ["v", "w", "q"], advance)
-        m = m if keep is None else keep.shape[1]
+        def advance(v, w, keep=keep, a=t @ (last @ t1), b=t @ (h @ t1)):
+            return v @ keep, w @ keep, w @ a - v @ b
     else:
         raise RuntimeError(f"svd: not converged to {tol} in {max_products} block products")
+    lead = t @ lead
     some = sq > 1e-13 * max(float(sq[0]), 1e-300)  # what is smaller is rounding of A^T A
     lead, s = lead[:, some], np.sqrt(sq[some])
     v = materialize(_rows(full, "col", ["v"], ["vec"], lambda v: (v @ lead,)))
@@ -196,12 +198,17 @@ def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
 
+def _lists(x: np.ndarray) -> pa.Array:
+    ends = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(x, dtype=np.float64).ravel()))
+
+
 def _rows(df: DataFrame, key: str, ins: Sequence[str], outs: Sequence[str], fn) -> DataFrame:
     """Row-local map of array columns: ``fn`` takes one matrix per input column and returns one per output."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                lists = [pa.array(list(x), pa.list_(pa.float64())) for x in fn(*[_matrix(batch, c) for c in ins])]
+                lists = [_lists(x) for x in fn(*[_matrix(batch, c) for c in ins])]
                 yield pa.RecordBatch.from_arrays([batch.column(key), *lists], [key, *outs])
 
     return df.select(key, *ins).mapInArrow(run, ", ".join([f"{key} long", *(f"{c} array<double>" for c in outs)]))
