@@ -835,6 +835,25 @@ def pairwise_overlap_summary(spark, sf):
     return _r6_all(d, ["mean", "std", "min", "p25", "p50", "p75", "max"])
 
 
+FIRST_BOOKS = 1000  # fixed value of the reference workflow
+
+
+@q("pairwise_overlap_first", """with first as (select distinct book_id from fx_set order by book_id limit 1000),
+st as (select * from fx_set where book_id in (select book_id from first)),
+df as (select tag_id, count(*) as df from st group by tag_id),
+mo as (select s.book_id, sum(df.df) / (select count(*) from first) as v from st s join df on df.tag_id = s.tag_id group by s.book_id)
+select count(v) as "count", round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std, round(min(v), 6) as min,
+  round(quantile_cont(v, 0.25), 6) as p25, round(quantile_cont(v, 0.5), 6) as p50, round(quantile_cont(v, 0.75), 6) as p75,
+  round(max(v), 6) as max from mo""")
+def pairwise_overlap_first(spark, sf):
+    """The same summary for the matrix of the first 1000 books."""
+    from shelfwise.operators.distances import mean_overlap
+
+    mo = mean_overlap(model_tags(tables(spark, sf))[3], FIRST_BOOKS)
+    d = agg.describe_column(mo, ["mean_overlap"]).drop("column")
+    return _r6_all(d, ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
 # ---------------------------------------------------------------- UBCF and user comparison
 @q("user_similarity", """select g1.user_id, g2.user_id as other_user, count(*) as n_common
 from fx_good g1 join fx_good g2 on g2.book_id = g1.book_id and g2.user_id <> g1.user_id
@@ -1130,21 +1149,41 @@ def ols_brand_inference(spark, sf):
     return out.select(F.col("name").alias("term"), r6("coef").alias("coef"), r6("std_err").alias("std_err"), F.round("t_value", 4).alias("t_value"))
 
 
+def _brand_fitted(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ratings, brand of each book, and the fitted value of each brand (tag_id, fitted)."""
+    ratings, of_book, brands = _brand_design(t)
+    fit = reg.ols_inference(ratings, of_book, [i for i, _ in brands[1:]], books=of_book.select("book_id"))
+    coef = {r["term"]: r["coef"] for r in fit.collect()}  # one number per brand
+    rows = [(i, coef[0] + coef.get(i, 0.0)) for i, _ in brands]
+    return ratings, of_book, t.spark.createDataFrame(rows, "tag_id long, fitted double")
+
+
 @q("ols_brand_residuals", """select rb.user_id, rb.book_id, rb.rating, round(gb.m, 6) as fitted, round(rb.rating - gb.m, 6) + 0.0 as residual
 from rb join gb on gb.brand = rb.brand""", ctes=_BRAND)
 def ols_brand_residuals(spark, sf):
     """Fitted value and residual of every rating under the fit on brand columns."""
     t = tables(spark, sf)
-    ratings, of_book, brands = _brand_design(t)
-    fit = reg.ols_inference(ratings, of_book, [i for i, _ in brands[1:]], books=of_book.select("book_id"))
-    coef = {r["term"]: r["coef"] for r in fit.collect()}  # one number per brand
-    rows = [(i, coef[0] + coef.get(i, 0.0)) for i, _ in brands]
-    per_brand = spark.createDataFrame(rows, "tag_id long, fitted double")
+    ratings, of_book, per_brand = _brand_fitted(t)
     j = ratings.join(of_book, "book_id").join(F.broadcast(per_brand), "tag_id")
     return j.select("user_id", "book_id", "rating", r6("fitted").alias("fitted"),
                     (r6(F.col("rating") - F.col("fitted")) + F.lit(0.0)).alias("residual"))
 
 
+@q("ols_brand_predict_item", """select cast(18 as bigint) as book_id, round(max(gb.m), 6) as pred, count(rb.rating) as "count",
+  round(avg(rb.rating), 6) as mean, round(stddev_samp(rb.rating), 6) as std, round(cast(min(rb.rating) as double), 6) as min,
+  round(quantile_cont(rb.rating, 0.25), 6) as p25, round(quantile_cont(rb.rating, 0.5), 6) as p50,
+  round(quantile_cont(rb.rating, 0.75), 6) as p75, round(cast(max(rb.rating) as double), 6) as max
+from rb join gb on gb.brand = rb.brand where rb.book_id = 18""", ctes=_BRAND)
+def ols_brand_predict_item(spark, sf):
+    """Prediction for book 18 under the fit on brand columns next to the distribution of its actual ratings."""
+    ratings, of_book, per_brand = _brand_fitted(tables(spark, sf))
+    own = ratings.where(F.col("book_id") == 18)
+    pred = own.join(of_book, "book_id").join(F.broadcast(per_brand), "tag_id").agg(F.max("fitted")).scalar()
+    d = agg.describe_column(own.withColumn("rating", F.col("rating").cast("double")), ["rating"]).drop("column")
+    out = d.select(F.lit(18).cast("long").alias("book_id"), r6(pred).alias("pred"), "*")
+    return _r6_all(out, ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
 @q("ols_predict_item")
 def ols_predict_item(spark, sf):
     """Predicted rating of book 18 next to the distribution of its actual ratings."""

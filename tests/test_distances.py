@@ -59,6 +59,10 @@ def test_mean_overlap_equals_dense_product(spark):
     ids = np.nonzero(keep)[0] + 1
     for i, e in zip(ids, expect):
         assert math.isclose(got[i], e)
+    first = {r["book_id"]: r["mean_overlap"] for r in mean_overlap(df, first_n=7).collect()}
+    few = sub[:7]
+    assert sorted(first) == list(ids[:7])
+    assert np.allclose([first[i] for i in ids[:7]], (few @ few.T).mean(axis=1))
 
 
 def test_describe_quartiles_are_exact(spark):
