@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.tokencount import byte_letters
@@ -110,15 +110,11 @@ def format_turns(conversations: DataFrame, tokenizer_path: str, conv: str = "con
                 ["conv_id", "turn", "seq", "ids", "loss"])
 
     src = _source(conversations, conv, turn, role, text)
-    # the first row of a conversation and the numbers of repeated turns, from counts of (turn, role, text)
-    rows = src.groupBy("conv_id", "turn", "role", "text").agg(F.count(F.lit(1)).alias("_n"))
+    # the first row of a conversation; repeated turns are numbered by a window, which spills and holds one row at a time
     first = src.groupBy("conv_id").agg(F.min(F.coalesce("turn", F.lit(-(1 << 63)))).alias("_first"))
     first = first.withColumnRenamed("conv_id", "_c")
-    ranked = rows.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(F.struct("role", "text", "_n"))).alias("_r"))
-    ranked = ranked.select("conv_id", "turn", F.flatten(F.transform(
-        "_r", lambda x: F.transform(F.sequence(F.lit(1), x["_n"]), lambda _: F.struct(x["role"].alias("role"), x["text"].alias("text"))))).alias("_r"))
-    rows = ranked.select("conv_id", "turn", F.posexplode("_r").alias("seq", "_x")).select(
-        "conv_id", "turn", F.col("seq").cast("long"), "_x.role", "_x.text")
+    repeats = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    rows = src.withColumn("seq", F.row_number().over(repeats).cast("long") - 1)
     rows = rows.join(first, F.col("conv_id").eqNullSafe(F.col("_c")))
     opens = (F.col("seq") == 0) & (F.coalesce("turn", F.lit(-(1 << 63))) == F.col("_first"))
     rows = rows.select("conv_id", "turn", "seq", "role", "text", opens.alias("opens"))
