@@ -19,8 +19,8 @@ _NEVER = np.int64(1) << 60
 TEXT_BYTES, INDEX_CHARS = 6 << 20, 400_000
 #: Segments longer than this are cut between characters that no piece holds side by side.
 CUT = 48
-#: Distinct segments kept with their ids by each Python worker.
-KEEP = 400_000
+#: Distinct segments kept with their ids by each Python worker, and the characters they may hold together.
+KEEP, KEEP_CHARS = 400_000, 8_000_000
 
 
 class PieceModel:
@@ -233,19 +233,21 @@ class PieceModel:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.ids, self.per = np.empty(0, np.int32), np.empty(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, as the library gives them without begin and end.
 
-        Segments met before are looked up; the store is emptied when it holds ``KEEP`` of them."""
-        if len(self.known) > KEEP:
-            self._forget()
+        Segments met before are looked up; the store is emptied after a call that leaves more than ``KEEP`` of them
+        or more than ``KEEP_CHARS`` characters in it, so long segments do not stay."""
         known, before, rows = self.known, len(self.known), []
         for text in texts:
             found = _SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
             rows.append(np.array([known.setdefault(s, len(known)) for s in found], np.int64))
-        ids, per = self.encode_segments(list(islice(known, before, None)))
+        new = list(islice(known, before, None))
+        self.chars += sum(map(len, new))
+        ids, per = self.encode_segments(new)
         ids, per = np.concatenate((self.ids, ids)), np.concatenate((self.per, per))
         self.ids, self.per = ids, per
         off = np.cumsum(per) - per
@@ -254,6 +256,8 @@ class PieceModel:
             n = per[row]
             ends = np.cumsum(n)
             out.append(ids[np.repeat(off[row] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)])
+        if len(known) > KEEP or self.chars > KEEP_CHARS:
+            self._forget()
         return out
 
     def decode(self, ids: np.ndarray) -> str:
