@@ -12,8 +12,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept per Python worker with their counts; the store is emptied beyond that.
-KEEP_WORDS = 300_000
+#: Words kept per Python worker with their counts, and the characters they may hold together; the store is emptied
+#: after a text that leaves more.
+KEEP_WORDS, KEEP_CHARS = 300_000, 8_000_000
 #: Pre-tokens of up to so many bytes are merged by a plain scan.
 SHORT = 40
 _NONE, _LOW = 1 << 62, (1 << 20) - 1
@@ -132,6 +133,7 @@ class Counter:
     def __init__(self, vocab: Vocabulary, whole: list[str]):
         self.vocab, self.whole = vocab, whole
         self.words: dict[str, int] = dict.fromkeys(whole, 1)
+        self.chars = 0
         self.find = regex.compile(vocab.pattern).findall
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocab.specials, key=len, reverse=True))) or "(?!)")
 
@@ -146,9 +148,10 @@ class Counter:
                 for w in found:
                     if w not in words:
                         words[w] = self.vocab.merge_count(w)
+                        self.chars += len(w)
                 total += sum([words[w] for w in found])
-        if len(words) > len(self.whole) + KEEP_WORDS:
-            self.words = dict.fromkeys(self.whole, 1)
+        if len(words) > len(self.whole) + KEEP_WORDS or self.chars > KEEP_CHARS:
+            self.words, self.chars = dict.fromkeys(self.whole, 1), 0
         return total
 
 

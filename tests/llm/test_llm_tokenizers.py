@@ -100,6 +100,18 @@ def test_long_pre_tokens_merge_alike(word_counter, monkeypatch):
     assert [word_counter[0].vocab.merge_count(w) for w in words] == want
 
 
+def test_stores_are_bounded_by_characters(piece_model, word_counter, monkeypatch):
+    monkeypatch.setattr(pieces, "KEEP_CHARS", 20_000)
+    monkeypatch.setattr(tokencount, "KEEP_CHARS", 20_000)
+    letters = "abcdefghijklmnopqrstuvwxyzé"
+    for i in range(30):  # texts without a space: each is one segment
+        text = "".join(letters[(i * 7 + j * j * (i + 1)) % len(letters)] for j in range(3000))
+        assert piece_model[0].encode([text])[0].tolist() == piece_model[1].encode(text)
+        assert sum(map(len, piece_model[0].known)) <= 20_000
+        assert word_counter[0].count(text) == len(word_counter[1].encode(text, add_special_tokens=False).ids)
+        assert sum(len(w) for w in list(word_counter[0].words)[len(word_counter[0].whole):]) <= 20_000
+
+
 def test_token_counts_of_the_table_and_edges(spark, word_counter):
     tok = word_counter[1]
     count = lambda t: len(tok.encode(t or "", add_special_tokens=False).ids)
@@ -168,5 +180,15 @@ def test_chat_edges(spark):
     assert chat.read_back(chat.format_turns(df.limit(0), queries.BYTE_BPE), queries.BYTE_BPE).count() == 0
 
 
+def test_chat_with_many_equal_and_null_turns(spark):
+    rows = [(None if i % 2 else 5, None, "assistant" if i % 3 else "user", f"line {i % 50}") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    out = chat.format_turns(df, queries.BYTE_BPE)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan  # no turn is gathered into one row
+    got = {r["conv_id"]: tuple(r)[1:] for r in chat.read_back(out, queries.BYTE_BPE).collect()}
+    assert got == plain_chat(rows)
+
+
 def test_tokenizer_paths_are_the_public_files():
     assert queries.PIECES == public_tokenizers.path("piece_bpe_32k.model")
