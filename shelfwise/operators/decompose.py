@@ -261,7 +261,7 @@ class AlsFit:
         self.items = materialize(relevel_ids(ratings, "book_id", "_i"))
         als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="_u", itemCol="_i", ratingCol="rating",
                   coldStartStrategy="drop", nonnegative=False)
-        self.model = als.fit(self._numbered(ratings))
+        self.model, self.reg = als.fit(self._numbered(ratings)), reg
 
     def _numbered(self, ratings: DataFrame) -> DataFrame:
         j = ratings.join(self.users, "user_id").join(self.items, "book_id")
@@ -271,6 +271,32 @@ class AlsFit:
         """The rows with a known user and item, with ``prediction``."""
         return self.model.transform(self._numbered(ratings)).drop("_u", "_i")
 
+    def user_factors(self) -> DataFrame:
+        """(user_id, vec)"""
+        f = self.model.userFactors.select(F.col("id").alias("_u"), F.col("features").cast("array<double>").alias("vec"))
+        return f.join(self.users, "_u").select("user_id", "vec")
+
+    def item_factors(self) -> DataFrame:
+        """(book_id, vec)"""
+        f = self.model.itemFactors.select(F.col("id").alias("_i"), F.col("features").cast("array<double>").alias("vec"))
+        return f.join(self.items, "_i").select("book_id", "vec")
+
+    def user_gradients(self, ratings: DataFrame) -> DataFrame:
+        """(user_id, n, gradient): certificate of the last half-step, which solves every user's normal equations
+        sum (x.v - r) v + reg n x = 0 for the final item factors. ``gradient`` is the largest entry of the left side
+        relative to the largest of sum |r v|; what remains is the rounding of the factors to single precision."""
+        rows = ratings.select("user_id", "book_id", "rating").join(
+            self.user_factors().withColumnRenamed("vec", "_x"), "user_id").join(self.item_factors(), "book_id")
+        err = F.aggregate(F.zip_with("_x", "vec", lambda x, v: x * v), F.lit(0.0), lambda s, x: s + x) - F.col("rating")
+        rows = rows.withColumn("_e", err)
+        k = range(self.model.rank)
+        sums = [F.sum(F.col("_e") * F.col("vec")[j]).alias(f"_g{j}") for j in k]
+        sizes = [F.sum(F.abs(F.col("rating") * F.col("vec")[j])).alias(f"_s{j}") for j in k]
+        out = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.first("_x").alias("_x"), *sums, *sizes)
+        off = [F.abs(F.col(f"_g{j}") + F.lit(self.reg) * F.col("n") * F.col("_x")[j]) for j in k]
+        most = lambda cols: F.array_max(F.array(*cols))
+        return out.select("user_id", "n", F.try_divide(most(off), most([F.col(f"_s{j}") for j in k])).alias("gradient"))
+
 
 __all__ = ["covariance_long", "PcaFit", "variance_table", "select_components", "loadings_table",
            "svd_krylov", "svd_certificate", "SvdResult", "AlsFit", "vector_to_array"]

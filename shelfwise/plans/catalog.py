@@ -1274,6 +1274,7 @@ def lasso_path(spark, sf):
 
 # ---------------------------------------------------------------- 2.12 PCA
 from shelfwise.operators import decompose as dec  # noqa: E402
+from shelfwise.operators import products  # noqa: E402
 
 PCA_SHARE = 0.015
 
@@ -1583,6 +1584,39 @@ def factorize_ratings(spark, sf):
     return als_rmse.select("rmse_als", base.select("rmse_mean").scalar().alias("rmse_mean"))
 
 
+@q("factorize_certificate", "select count(distinct user_id) as n_users, true as normal_equations_hold from fx_clean")
+def factorize_certificate(spark, sf):
+    """Certificate of the factorisation's last half-step: every user's normal equations hold."""
+    c = materialize(clean_ratings(tables(spark, sf)))
+    off = dec.AlsFit(c).user_gradients(c)
+    return off.agg(F.count(F.lit(1)).alias("n_users"), F.bool_and(F.col("gradient") < 1e-5).alias("normal_equations_hold"))
+
+
+FACTOR_TOP = 5
+
+
+def _factor_top(c: DataFrame) -> products.TopProducts:
+    fit = dec.AlsFit(c)
+    return products.top_products(fit.user_factors(), fit.item_factors(), FACTOR_TOP, seen=c)
+
+
+@q("factorize_recommend")
+def factorize_recommend(spark, sf):
+    """The five books without a rating of the user that the factors score highest, for every user."""
+    return _factor_top(materialize(clean_ratings(tables(spark, sf)))).rows
+
+
+@q("factorize_recommend_check", f"""select user_id, least({FACTOR_TOP}, (select count(distinct book_id) from fx_clean) - count(*)) as n_books,
+cast(0 as bigint) as n_rated from fx_clean group by user_id
+having count(*) < (select count(distinct book_id) from fx_clean)""")
+def factorize_recommend_check(spark, sf):
+    """Books recommended to each user from the factors, and how many of these the user has rated."""
+    c = materialize(clean_ratings(tables(spark, sf)))
+    mark = c.select("user_id", "book_id", F.lit(1).alias("_rated"))
+    rows = _factor_top(c).rows.join(mark, ["user_id", "book_id"], "left")
+    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_books"), F.count("_rated").alias("n_rated"))
+
+
 # ---------------------------------------------------------------- single metrics and the remaining views
 @q("entropy", """select round(sum(-p * log2(p)), 6) as entropy
 from (select count(*) / (select count(*) from fx_clean) as p from fx_clean group by rating) s""")

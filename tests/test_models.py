@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import cluster as clu
 from shelfwise.operators import decompose as dec
 from shelfwise.operators import neighbors as nbrs
+from shelfwise.operators import products
 from shelfwise.operators import regression as reg
 
 
@@ -280,6 +281,55 @@ def test_als_takes_ids_beyond_32_bits(spark):
     assert err < np.std([r[2] for r in rows])
 
 
+def test_als_last_half_step_solves_the_normal_equations(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), int(j), int(rng.integers(1, 6))) for i in range(25) for j in range(15) if rng.random() < 0.6]
+    df = spark.createDataFrame(rows, "user_id long, book_id long, rating int")
+    fit = dec.AlsFit(df, rank=3, max_iter=4, reg=0.2)
+    x = {r["user_id"]: np.array(r["vec"]) for r in fit.user_factors().collect()}
+    v = {r["book_id"]: np.array(r["vec"]) for r in fit.item_factors().collect()}
+    got = {r["user_id"]: r["gradient"] for r in fit.user_gradients(df).collect()}
+    assert got.keys() == x.keys() and max(got.values()) < 1e-5
+    for user in x:
+        mine = [(b, r) for u, b, r in rows if u == user]
+        a = np.array([v[b] for b, _ in mine])
+        want = np.linalg.solve(a.T @ a + 0.2 * len(mine) * np.eye(3), a.T @ [r for _, r in mine])
+        assert np.allclose(x[user], want, atol=1e-4)
+    worse = df.withColumn("rating", F.col("rating") + 1)  # other ratings do not fit the factors
+    assert fit.user_gradients(worse).agg(F.max("gradient")).first()[0] > 1e-2
+
+
+@pytest.mark.parametrize("cells", [(2048, 2048), (7, 5)])
+def test_top_products_equal_brute_force(spark, cells):
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(40, 4)), 2)
+    x[3] = 0  # every score ties
+    v = np.round(rng.normal(size=(120, 4)) * (0.05 + (np.arange(120) % 10 == 0) * 3.0)[:, None], 2)
+    v[50] = v[40]
+    ids = np.arange(1000, 1120)
+    seen = [(i, int(j)) for i in range(40) for j in rng.choice(ids, 6, replace=False)] + [(39, int(j)) for j in ids[:117]]
+    seen = sorted(set(seen))
+    out = products.top_products(_frame(spark, range(40), x, "user_id"), _frame(spark, ids, v, "book_id"), 5,
+                                spark.createDataFrame(seen, "user_id long, book_id long"), *cells)
+    got = {}
+    for r in out.rows.orderBy("user_id", "rank").collect():
+        got.setdefault(r["user_id"], []).append((r["book_id"], r["score"]))
+    for i in range(40):
+        score = np.round(v @ x[i], 9)
+        free = [k for k in range(120) if (i, int(ids[k])) not in set(seen)]
+        want = sorted(free, key=lambda k: (-score[k], ids[k]))[:5]
+        assert [b for b, _ in got[i]] == [int(ids[k]) for k in want]
+        assert np.allclose([s for _, s in got[i]], score[want])
+    assert len(got[39]) <= 5 and out.formed < 0.7 * out.total  # few users go on to the small norms
+
+
+def test_top_products_of_empty_tables(spark):
+    users, items = _frame(spark, range(2), np.ones((2, 2)), "user_id"), _frame(spark, [7], np.ones((1, 2)), "book_id")
+    assert products.top_products(users.limit(0), items, 3).rows.count() == 0
+    assert products.top_products(users, items.limit(0), 3).rows.count() == 0
+    assert [tuple(r) for r in products.top_products(users, items, 3).rows.orderBy("user_id").collect()] == [(0, 1, 7, 2.0), (1, 1, 7, 2.0)]
+
+
 def _likes(spark, pairs):
     return spark.createDataFrame(pairs, "user_id long, book_id long")
 
