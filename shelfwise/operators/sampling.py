@@ -44,8 +44,9 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 
 
 def _with_sizes(df: DataFrame, label: str) -> DataFrame:
-    """Rows with the size of their class, from an aggregate joined back (AQE broadcasts it when small)."""
-    return df.join(class_sizes(df, label), label)
+    """Rows with the size of their class. The sizes (one row per class) are broadcast: dealt by class, the rows of a
+    class would all be shuffled to one task."""
+    return df.join(F.broadcast(class_sizes(df, label)), label)
 
 
 def _thin(rows: DataFrame, target: Column, hashed: Column) -> DataFrame:

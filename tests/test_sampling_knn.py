@@ -88,3 +88,11 @@ def test_hash_equals_plain_integers(spark):
     for seed in (0, 1, 9):
         got = df.select("k", "j", hash_u32("k", seed).alias("h"), hash_pair_u32("k", "j", seed).alias("p")).collect()
         assert all(r["h"] == plain(r["k"], seed) and r["p"] == plain(plain(r["k"], seed) + r["j"], seed) for r in got)
+
+
+def test_class_sizes_reach_the_rows_without_a_shuffle_by_class(spark):
+    """Dealt by class, all rows of a class would meet in one task."""
+    df = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 7 == 0).cast("int").alias("y"))
+    plan = sampling._with_sizes(df.repartition(4, "k"), "y")._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan or "leftHint=(strategy=broadcast)" in plan
+    assert sampling._with_sizes(df, "y").where(F.col("n_class") == 286).count() == 286
