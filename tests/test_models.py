@@ -371,3 +371,24 @@ def test_kmeans_equals_numpy_lloyd_for_several_k_at_once(spark):
         assert math.isclose(cost[k], ((x - c[lab]) ** 2).sum(), abs_tol=1e-6)
     check = clu.certificate(good, users, assigned, centers).first()
     assert check["n_users"] == check["n_nearest"] == 120 and check["max_center_error"] < 1e-12
+
+
+def test_svd_keeps_one_product_beside_its_basis(spark, monkeypatch):
+    """The written table holds V and the newest product, not a second table as wide as V; its forerunners are gone."""
+    rng = np.random.default_rng(3)
+    a = (rng.random((90, 80)) < 0.2).astype(float)
+    sizes, gram = [], dec._gram
+    monkeypatch.setattr(dec, "_gram", lambda df, names, **kw: (sizes.append(g := gram(df, names, **kw)), g)[1])
+    svd = dec.svd_krylov(_entries(spark, a), 4, block=5, basis=25, tol=1e-7)
+    assert np.allclose(svd.s, np.linalg.svd(a, compute_uv=False)[:4], rtol=1e-9)
+    assert svd.products > 5 and max(len(g) for g in sizes) <= 25 + 2 * 5
+
+
+def test_svd_basis_gets_narrower_on_long_matrices(spark, monkeypatch):
+    monkeypatch.setattr(dec, "BASIS_NUMBERS", 1000, raising=False)
+    a = (np.random.default_rng(4).random((70, 60)) < 0.2).astype(float)
+    sizes, gram = [], dec._gram
+    monkeypatch.setattr(dec, "_gram", lambda df, names, **kw: (sizes.append(g := gram(df, names, **kw)), g)[1])
+    svd = dec.svd_krylov(_entries(spark, a), 3, tol=1e-7)
+    assert np.allclose(svd.s, np.linalg.svd(a, compute_uv=False)[:3], rtol=1e-9)
+    assert max(len(g) for g in sizes) <= 18 + 2 * 3
