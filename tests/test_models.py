@@ -392,3 +392,19 @@ def test_svd_basis_gets_narrower_on_long_matrices(spark, monkeypatch):
     svd = dec.svd_krylov(_entries(spark, a), 3, tol=1e-7)
     assert np.allclose(svd.s, np.linalg.svd(a, compute_uv=False)[:3], rtol=1e-9)
     assert max(len(g) for g in sizes) <= 18 + 2 * 3
+
+
+def test_gradient_rows_move_once_by_user(spark):
+    """The join with the user factors and the sums per user share one exchange of the rows."""
+    rows = [(u, b, (u * 7 + b * 3) % 5 + 1) for u in range(12) for b in range(9) if (u + b) % 3]
+    ratings = spark.createDataFrame(rows, "user_id long, book_id long, rating int")
+    fit, was = dec.AlsFit(ratings, rank=3, max_iter=3), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = fit.user_gradients(ratings)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert plan.count("Exchange hashpartitioning(user_id") == 2  # the rows and the factors
+    assert len(got) == 12 and max(r["gradient"] for r in got) < 1e-5
