@@ -120,3 +120,25 @@ def test_partner_rounds_join_small_tiers():
     assert collab.partner_rounds(tiers, 1) == [(5, 5, 6), (2, 2, 3), (1, 1, 1), (0, 0, 0)]
     assert collab.partner_rounds(tiers, 55) == [(5, 5, 6), (1, 2, 1), (0, 0, 0)]
     assert collab.partner_rounds(tiers, 10**6) == [(0, 5, 0)] and collab.partner_rounds([], 5) == []
+
+
+def _tags(rng):
+    sets = [tuple(sorted(rng.sample(range(10, 22), rng.randint(1, 4)))) for _ in range(25)]
+    return [(g, i) for i in range(60) for g in sets[rng.randrange(25)]] + [(99, 1000)]
+
+
+def test_gram_join_in_cells_equals_brute_force(spark):
+    rows = _tags(random.Random(4))
+    df = spark.createDataFrame(rows, "g long, i long")
+    got = {(r["item_a"], r["item_b"]): r["n"] for r in joins.gram_join(df, "g", "i", in_cells=True, cell_items=7).collect()}
+    assert got == dict(_brute_pairs(rows))
+
+
+def test_gram_classes_hold_all_pairs_without_forming_those_of_twins(spark):
+    rows = _tags(random.Random(4))
+    pairs, members = joins.gram_classes(spark.createDataFrame(rows, "g long, i long"), "g", "i", cell_items=5)
+    pairs, rep = pairs.collect(), {r["i"]: r["rep"] for r in members.collect()}
+    n = {(r["rep"], r["other"]): r["n"] for r in pairs}
+    assert len(n) == len(pairs) < len(_brute_pairs(rows)) / 3
+    assert all(r["others"] == sum(x == r["other"] for x in rep.values()) for r in pairs)
+    assert {(a, b): n[rep[a], rep[b]] for a in rep for b in rep if a != b and (rep[a], rep[b]) in n} == dict(_brute_pairs(rows))
