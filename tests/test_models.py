@@ -323,6 +323,29 @@ def test_top_products_equal_brute_force(spark, cells):
     assert len(got[39]) <= 5 and out.formed < 0.7 * out.total  # few users go on to the small norms
 
 
+def test_block_top_equals_brute_force_and_skips_leaves(monkeypatch):
+    rng, shapes = np.random.default_rng(1), []
+    for m, k in [(1, 1), (3, 40), (40, 300), (30, 700)]:
+        u, v = np.round(rng.normal(size=(m, 3)), 1), np.round(rng.normal(size=(k, 3)), 1)
+        u[0] = 0  # every score ties
+        ids, seen = rng.permutation(k) + 1000, np.unique(rng.integers(0, m * k, size=m * k // 5))
+        last = np.where(rng.random(m) < 0.5, -np.inf, np.round(rng.normal(size=m), 1))
+        last_id = rng.integers(1000, 1000 + k, size=m)
+        score, want = np.round(u @ v.T, 9), []
+        for i in range(m):
+            free = [(-score[i, j], ids[j]) for j in range(k) if i * k + j not in seen
+                    and (score[i, j] > last[i] or (score[i, j] == last[i] and ids[j] < last_id[i]))]
+            want += [(i, b) for _, b in sorted(free)[:5]]
+        user, item, got = products.block_top(u, v, ids, 5, last, last_id, seen)
+        assert sorted(zip(user, -got, ids[item])) == sorted((i, -score[i, list(ids).index(b)], b) for i, b in want)
+    # near vectors share leaves: most products are not worked out
+    v = np.repeat(rng.normal(size=(40, 6)), 128, axis=0) + rng.normal(size=(5120, 6)) * 0.01
+    einsum = np.einsum
+    monkeypatch.setattr(np, "einsum", lambda *a: shapes.append(a[1].shape[0]) or einsum(*a))
+    products.block_top(rng.normal(size=(50, 6)), v, np.arange(5120), 5, np.full(50, -np.inf), np.zeros(50, int), np.zeros(0, int))
+    assert sum(shapes) < 0.2 * 50 * 5120
+
+
 def test_top_products_of_empty_tables(spark):
     users, items = _frame(spark, range(2), np.ones((2, 2)), "user_id"), _frame(spark, [7], np.ones((1, 2)), "book_id")
     assert products.top_products(users.limit(0), items, 3).rows.count() == 0
