@@ -91,3 +91,32 @@ def test_jdbc_filter_is_pushed_down(spark, derby):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*IsNotNull(ID), *EqualTo(ID,1)]" in plan or "EqualTo(ID,1)" in plan
     assert [tuple(r) for r in df.collect()] == [(1, 10, "title 1")]
+
+
+def test_dealt_ratings_equal_the_planned_ones(spark, tmp_path, monkeypatch):
+    from shelfwise.operators import aggregates as agg
+    from shelfwise.plans.catalog import clean_ratings
+    from shelfwise.sources import fixtures
+
+    orders = [(i, i % 7) for i in range(40)] + [(3, 5), (None, 1), (41, None)]
+    lines = [(i % 42, i % 9, float(i % 50 + 1)) for i in range(400)] + [(None, 1, 1.0), (2, None, 4.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=str)
+
+    plain = fixtures.tables(spark, str(tmp_path))
+    want, clean_want = rows(plain.ratings()), rows(clean_ratings(plain))
+    counts = rows(plain.ratings().groupBy("user_id").count())
+    assert rows(plain.ratings_per_user()) == counts
+    assert rows(plain.ratings_of(F.lit(6).cast("long"))) == [r for r in want if r[0] == 6]
+    monkeypatch.setattr(fixtures, "LARGE_ROWS", 10)
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 25)
+    dealt = fixtures.tables(spark, str(tmp_path))
+    assert rows(dealt.ratings()) == want and rows(clean_ratings(dealt)) == clean_want
+    # tasks follow the rows, not the planner's number of partitions, and the second count of the keys moves no rows
+    assert clean_ratings(dealt).rdd.getNumPartitions() == 17
+    check = agg.duplicate_check(clean_ratings(dealt))
+    assert check.first()[0] == 0
+    assert check._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(user_id") == 1
