@@ -23,10 +23,10 @@ def with_vectors(books: DataFrame, vectors: DataFrame, width: Column | int, miss
 
 
 def knn_scores(flagged: DataFrame, books: DataFrame, vectors: DataFrame, width, user: Column,
-               k: int = 2, weights: str = "distance", n_candidates: int = 1000) -> DataFrame:
+               k: int = 2, weights: str = "distance", n_candidates: int = 1000, mine: DataFrame | None = None) -> DataFrame:
     """Score the user's ``n_candidates`` best unread books with a kNN fitted on the user's own
-    good/not-good labels: (book_id, pred, dist) for every candidate."""
-    mine = flagged.where(F.col("user_id") == user).select("book_id", "good")
+    good/not-good labels: (book_id, pred, dist) for every candidate. ``mine``: the user's rows of ``flagged``, if known."""
+    mine = (flagged.where(F.col("user_id") == user) if mine is None else mine).select("book_id", "good")
     cands = top_unread_books(flagged, mine, n_candidates).select("book_id")
     cands = books.select(F.col("id").alias("book_id")).join(cands, "book_id", "left_semi")
     # the user's rows and the (at most n_candidates) candidates are read by several jobs

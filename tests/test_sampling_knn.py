@@ -96,3 +96,14 @@ def test_class_sizes_reach_the_rows_without_a_shuffle_by_class(spark):
     plan = sampling._with_sizes(df.repartition(4, "k"), "y")._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=broadcast)" in plan or "leftHint=(strategy=broadcast)" in plan
     assert sampling._with_sizes(df, "y").where(F.col("n_class") == 286).count() == 286
+
+
+def test_unread_books_are_averaged_before_the_join(spark):
+    from shelfwise.operators import topk
+
+    rows = [(u, b, int((u + b) % 3 == 0)) for u in range(12) for b in range(u % 4, 15)]
+    flagged = spark.createDataFrame(rows, "user_id long, book_id long, good int")
+    out = topk.top_unread_books(flagged, flagged.where("user_id = 3"), 4)
+    assert [r["book_id"] for r in out.collect()] == [0, 1, 2]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("Aggregate [book_id")  # the join meets one row a book
