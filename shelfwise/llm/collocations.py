@@ -30,6 +30,9 @@ STRETCH = 2 << 20
 HELD = 400_000
 #: Counters of the sketch (a power of two) and parts it is added up in.
 SLOT_BITS, SLICES = 23, 64
+#: Tasks per core, and input splits per task, up to which splits are read together: a task sends its sketches and each
+#: of its distinct leaves once, so fewer tasks send less.
+TASKS_PER_CORE, SPLITS = 2, 8
 #: Leaves (distinct truncated suffixes) a group of prefixes may hold, and the least and most groups: fewer leaves
 #: are cut finer, so that all tasks have work; beyond MAX_GROUPS * BUDGET leaves the budget rises, so that the
 #: table of extended prefixes stays bounded. Subtrees are built from sorted leaves one after another, so a larger
@@ -116,29 +119,44 @@ def _language_hashes(names: list[str]) -> np.ndarray:
     return mix64(np.array([zlib.crc32(x.encode()) + 1 for x in names], np.uint64))
 
 
-def _grams(w: Words, langs: np.ndarray, depth: int, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For 1 to ``depth`` words: (place in the sketch, within a piece) of the phrase that begins at each word."""
+def _grams(w: Words, langs: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For 1 to ``depth`` words: (hash, within a piece) of the phrase that begins at each word."""
     own = mix64(word_hashes(*string_buffer(w.names))[0])[w.code] ^ langs[w.lang]
-    h, inside, shift = own, np.ones(len(own), bool), np.uint64(64 - bits)
+    h, inside = own, np.ones(len(own), bool)
     for k in range(1, depth + 1):
         if k > 1:
             inside = np.append(inside[:-1] & ~w.begins[1:] if k == 2 else inside[:-1] & inside[1:], False)
             h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + np.append(own[k - 1 :], np.zeros(min(k - 1, len(own)), np.uint64)))
-        yield (mix64(h + np.uint64(k)) >> shift).astype(np.int64), inside
+        yield mix64(h + np.uint64(k)), inside
+
+
+def _place(h: np.ndarray, bits: int) -> np.ndarray:
+    """A phrase's place in a sketch."""
+    return (h >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _other_place(h: np.ndarray, bits: int) -> np.ndarray:
+    """A pair's place in the second sketch, from other bits: what shares its place in the first one rarely shares this."""
+    return (h & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def _common(found: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (found[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _open_phrases(w: Words, langs: np.ndarray, depth: int, bits: int, pairs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(words, place, open) for 1 to ``depth`` words: the phrases all of whose words and pairs may be frequent."""
+def _open_phrases(w: Words, langs: np.ndarray, depth: int, bits: int, pairs: np.ndarray,
+                  longer: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(words, place in the second sketch, open) for 1 to ``depth`` words: the phrases all of whose words and pairs may
+    be frequent, by the first sketch and, if given, the second."""
     one, two, still = None, None, None
-    for k, (at, inside) in enumerate(_grams(w, langs, depth, bits), 1):
+    for k, (h, inside) in enumerate(_grams(w, langs, depth), 1):
+        at = _other_place(h, bits) if k == 2 else _place(h, bits)
         if k == 1:
             one = still = _common(pairs, at)
         elif k == 2:
-            two = still = one & np.append(one[1:], False) & inside & _common(pairs, at)
+            two = still = one & np.append(one[1:], False) & inside & _common(pairs, _place(h, bits))
+            if longer is not None:
+                two = still = two & _common(longer, at)
         else:
             still = still & np.append(two[k - 2 :], np.zeros(min(k - 2, len(two)), bool))
         yield k, at, still
@@ -146,8 +164,9 @@ def _open_phrases(w: Words, langs: np.ndarray, depth: int, bits: int, pairs: np.
 
 def sketch(src: DataFrame, min_count: int, bits: int, depth: int, pairs: Broadcast | None) -> tuple[np.ndarray, DataFrame]:
     """(bits, (lang, n) with the number of words): a phrase whose place in the sketch has fewer than ``min_count``
-    occurrences over all texts is rare. Without ``pairs`` words and pairs are counted; with these, the phrases of 3
-    words or more whose words and pairs may all be frequent, and the words of such pairs. Counters stop at ``min_count``, which
+    occurrences over all texts is rare. Without ``pairs`` words and pairs are counted; with these, the phrases of 2
+    words or more whose words and pairs may all be frequent, and the words of such pairs; a pair then stands at another place,
+    so that a rare one that shares its first place with a frequent phrase is told as rare all the same. Counters stop at ``min_count``, which
     changes no sum that matters; a task sends them once, in slices, whatever the data's size."""
     size, part = 1 << bits, (1 << bits) // SLICES
     small = np.uint8 if min_count < 256 else np.uint32
@@ -162,8 +181,8 @@ def sketch(src: DataFrame, min_count: int, bits: int, depth: int, pairs: Broadca
                 if sums is None:
                     sums = np.zeros(size, np.uint32)
                 if pairs is None:
-                    for at, inside in _grams(w, hashes, 2, bits):
-                        np.add.at(sums, at[: w.counted][inside[: w.counted]], np.uint32(1))
+                    for h, inside in _grams(w, hashes, 2):
+                        np.add.at(sums, _place(h, bits)[: w.counted][inside[: w.counted]], np.uint32(1))
                     for k, n in enumerate(np.bincount(w.lang[: w.counted], minlength=len(names)).tolist()):
                         words[names[k]] = words.get(names[k], 0) + n
                 else:
@@ -173,7 +192,7 @@ def sketch(src: DataFrame, min_count: int, bits: int, depth: int, pairs: Broadca
                         if k == 2:
                             np.add.at(sums, word[: w.counted][still[: w.counted]], np.uint32(1))
                             np.add.at(sums, word[1:][: w.counted][still[:-1][: w.counted]], np.uint32(1))
-                        elif k > 2:
+                        if k > 1:
                             np.add.at(sums, at[: w.counted][still[: w.counted]], np.uint32(1))
         if sums is not None:
             sums = np.minimum(sums, min_count).astype(small)
@@ -232,8 +251,8 @@ def truncated_suffixes(src: DataFrame, pairs: Broadcast, longer: Broadcast, bits
             hashes = _language_hashes(names)
             for w in word_runs(batch.column(1), lang, depth):
                 length, goes_on = np.zeros(len(w.code), np.int64), np.ones(len(w.code), bool)
-                for k, at, still in _open_phrases(w, hashes, depth, bits, pairs.value):
-                    goes_on = goes_on & still & (_common(longer.value, at) if k != 2 else True)
+                for _, at, still in _open_phrases(w, hashes, depth, bits, pairs.value, longer.value):
+                    goes_on = goes_on & still & _common(longer.value, at)
                     length += goes_on
                 at = np.flatnonzero(length[: w.counted])
                 if not len(at):
@@ -354,6 +373,13 @@ def build_subtrees(rows: DataFrame, min_count: int) -> DataFrame:
     return rows.repartition("group").sortWithinPartitions(*sort).select(*sort, "c").mapInArrow(run, "lang string, phrase string, f long")
 
 
+def _gathered(src: DataFrame) -> DataFrame:
+    """The rows in tasks of up to ``SPLITS`` input splits each, ``TASKS_PER_CORE`` tasks a core at least as far as there
+    are splits."""
+    splits = src.rdd.getNumPartitions()
+    return src.coalesce(max(1, min(splits, TASKS_PER_CORE * src.sparkSession.sparkContext.defaultParallelism), math.ceil(splits / SPLITS)))
+
+
 def phrase_counts(docs: DataFrame, min_count: int, depth: int, lang_col: str, text_col: str, budget: int = BUDGET,
                   bits: int = SLOT_BITS) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, f) of all phrases of up to ``depth`` words that occur ``min_count`` times, without some of the
@@ -361,6 +387,7 @@ def phrase_counts(docs: DataFrame, min_count: int, depth: int, lang_col: str, te
     spark = docs.sparkSession
     send = spark.sparkContext.broadcast
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    src = _gathered(src)
     found, words = sketch(src, min_count, bits, depth, None)
     pairs = send(found)
     longer = send(sketch(src, min_count, bits, depth, pairs)[0])

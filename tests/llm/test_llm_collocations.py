@@ -104,3 +104,33 @@ def test_long_prefixes_are_extended_and_groups_hold_the_budget(spark):
     assert max(collections.Counter(r["group"] for r in got).values()) < 5 * 50
     nodes = {r["phrase"]: r["f"] for r in c.build_subtrees(out, 2).collect()}
     assert nodes == {**{f"hot {a}": 30 for a in range(20)}, **{f"cold{a}": 2 for a in range(400)}, **{f"cold{a} x": 2 for a in range(400)}}
+
+
+def test_rare_pairs_that_share_a_place_with_frequent_ones_are_told_by_the_second_sketch(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    pairs = [(a, b) for a in words for b in words]
+    rng.shuffle(pairs)
+    texts = [" ".join(p) for p in pairs[:300] * 50 + pairs[300:] * 2]
+    src = spark.createDataFrame([("en", t) for t in texts], "lang string, text string")
+    send = spark.sparkContext.broadcast
+    first = send(c.sketch(src, 50, 12, 5, None)[0])
+    second = send(c.sketch(src, 50, 12, 5, first)[0])
+    leaves = c.truncated_suffixes(src, first, second, 12, 5).groupBy("leaf").sum("c").collect()
+    held = {tuple(r["leaf"].split()): r["sum(c)"] for r in leaves if len(r["leaf"].split()) == 2}
+    assert {p: held.get(p) for p in pairs[:300]} == dict.fromkeys(pairs[:300], 50)
+    assert len(held) < 300 + 60  # 3,300 rare pairs, of which about one in twelve shares its place with a frequent phrase
+
+
+def test_input_splits_are_read_together(spark, monkeypatch):
+    rows = [(i, "en", f"all of the same words {i % 7}") for i in range(640)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(64)
+    cores = spark.sparkContext.defaultParallelism
+    assert c._gathered(df).rdd.getNumPartitions() == max(8, min(64, 2 * cores))
+    assert c._gathered(df.coalesce(2)).rdd.getNumPartitions() == 2
+    made = []
+    leaves = c.truncated_suffixes
+    monkeypatch.setattr(c, "truncated_suffixes", lambda *x: made.append(leaves(*x)) or made[-1])
+    assert mined(df, min_count=50) == plain([r[1:] for r in rows], 50)
+    n = made[0].count()
+    assert n <= max(8, 2 * cores) * made[0].select("leaf").distinct().count() and made[0].rdd.getNumPartitions() <= max(8, 2 * cores)
