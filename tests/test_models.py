@@ -281,6 +281,22 @@ def test_als_takes_ids_beyond_32_bits(spark):
     assert err < np.std([r[2] for r in rows])
 
 
+def test_als_numbers_the_ratings_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from shelfwise.plans import catalog
+
+    calls, numbered = [], dec.AlsFit._numbered
+    monkeypatch.setattr(dec.AlsFit, "_numbered", lambda self, df: calls.append(1) or numbered(self, df))
+    got = catalog.factorize_ratings(spark, SF_SMALL).first()
+    assert len(calls) == 1 and 0 < got["rmse_als"] < got["rmse_mean"]
+    rows = [(i, j, i % 3 + j % 2 + 1) for i in range(12) for j in range(9) if (i + j) % 4] + [(None, 1, 5), (1, None, 5)]
+    df = spark.createDataFrame(rows, "user_id long, book_id long, rating int")
+    fit = dec.AlsFit(df, rank=2, max_iter=3)
+    want = sorted((r["rating"], r["prediction"]) for r in fit.predict(df).collect())
+    assert sorted(tuple(r) for r in fit.predict_fitted().collect()) == want and len(want) == len(rows) - 2
+
+
 def test_als_last_half_step_solves_the_normal_equations(spark):
     rng = np.random.default_rng(5)
     rows = [(int(i), int(j), int(rng.integers(1, 6))) for i in range(25) for j in range(15) if rng.random() < 0.6]
