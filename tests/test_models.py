@@ -447,3 +447,25 @@ def test_gradient_rows_move_once_by_user(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert plan.count("Exchange hashpartitioning(user_id") == 2  # the rows and the factors
     assert len(got) == 12 and max(r["gradient"] for r in got) < 1e-5
+
+
+def test_topk_abs_per_group_keeps_pairs_that_never_co_occur(spark, tmp_path):
+    """Two frequent tags without a common book have the largest |covariance|."""
+    from shelfwise.operators import topk
+    from shelfwise.plans import catalog
+
+    x = np.zeros((12, 4))
+    x[:6, 0] = x[6:, 1] = x[0, 2] = x[6, 3] = 1
+    tags = spark.createDataFrame([(int(b), int(t)) for b, t in zip(*np.nonzero(x))], "book_id long, tag_id long")
+    cov, exact = dec.covariance_long(tags, all_pairs=True), np.cov(x, rowvar=False)
+    got = {(r["ti"], r["tj"]): r["cov"] for r in cov.collect()}
+    assert got.keys() == {(i, j) for i in range(4) for j in range(4)}
+    assert all(math.isclose(v, exact[k], abs_tol=1e-12) for k, v in got.items())
+    top = topk.topk_abs_per_group(cov.where("ti <> tj"), "ti", "cov", "tj", 1).collect()
+    assert {r["ti"]: r["tj"] for r in top}[0] == 1
+    # the query, on rows of its own: red and blue are never the words of one book
+    rows = [(k, ("red" if k < 6 else "blue") + f" w{k % 3}", "B", "T", 1) for k in range(12)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = catalog.topk_abs_per_group(spark, str(tmp_path)).collect()
+    first = [(r["ti"], r["tj"]) for r in got if r["rank"] == 1 and math.isclose(r["cov"], -36 / 132, abs_tol=1e-6)]
+    assert len(first) == 2 and first[0] == first[1][::-1] and len(got) == 8 * 5
