@@ -469,3 +469,28 @@ def test_topk_abs_per_group_keeps_pairs_that_never_co_occur(spark, tmp_path):
     got = catalog.topk_abs_per_group(spark, str(tmp_path)).collect()
     first = [(r["ti"], r["tj"]) for r in got if r["rank"] == 1 and math.isclose(r["cov"], -36 / 132, abs_tol=1e-6)]
     assert len(first) == 2 and first[0] == first[1][::-1] and len(got) == 8 * 5
+
+
+def test_svd_sends_blocks_of_vectors_instead_of_a_row_per_entry(spark, monkeypatch):
+    """Many blocks and cells, values of all kinds, repeated entries, null keys: the products and the triplets equal NumPy's."""
+    monkeypatch.setattr(dec, "BLOCK_COLS", 7, raising=False)
+    monkeypatch.setattr(dec, "CELL_ENTRIES", 150, raising=False)
+    rng = np.random.default_rng(8)
+    a = np.round(rng.normal(size=(50, 40)), 2) * (rng.random((50, 40)) < 0.3)
+    entries = _entries(spark, a)
+    twice = spark.createDataFrame([(3, 5, 0.5), (3, 5, 0.25), (None, 4, 9.0), (2, None, 9.0)], "row long, col long, value double")
+    a[2, 4] += 0.75
+    calls, multiply = [], dec._multiply
+    monkeypatch.setattr(dec, "_multiply", lambda *x: calls.append(1) or multiply(*x))
+    svd = dec.svd_krylov(entries.unionByName(twice), 4, block=4, basis=24, tol=1e-7)
+    assert len(calls) == 1 and svd.products > 1  # for U at the end, not for the products
+    assert np.allclose(svd.s, np.linalg.svd(a, compute_uv=False)[:4], rtol=1e-9)
+    v = _factor(svd.v, "col", 40, 4)
+    assert np.allclose(a.T @ (a @ v), v * svd.s**2, atol=1e-5) and np.allclose(v.T @ v, np.eye(4), atol=1e-9)
+    # one product by hand
+    cells = dec._Cells(entries)
+    x = rng.normal(size=(40, 3))
+    rows = cells.cols.join(spark.createDataFrame([(j + 1, x[j].tolist()) for j in range(40)], "col long, vec array<double>"), "col")
+    got = _factor(cells.unstacked(cells.product(cells.stacked(rows))), "col", 40, 3)
+    a[2, 4] -= 0.75
+    assert cells.cells.count() > 1 and np.allclose(got, a.T @ (a @ x), atol=1e-9)
