@@ -494,3 +494,33 @@ def test_svd_sends_blocks_of_vectors_instead_of_a_row_per_entry(spark, monkeypat
     got = _factor(cells.unstacked(cells.product(cells.stacked(rows))), "col", 40, 3)
     a[2, 4] -= 0.75
     assert cells.cells.count() > 1 and np.allclose(got, a.T @ (a @ x), atol=1e-9)
+
+
+def test_kmeans_rounds_move_blocks_of_books_and_equal_the_single_steps(spark, monkeypatch):
+    """Many blocks and cells, ratings without a book or a user, users without a rating or beyond the list, ks that end at different rounds."""
+    monkeypatch.setattr(dec, "BLOCK_COLS", 5, raising=False)
+    monkeypatch.setattr(clu, "CELL_ENTRIES", 40, raising=False)
+    monkeypatch.setattr(dec, "FEW_ENTRIES", 40, raising=False)
+    rng = np.random.default_rng(9)
+    x = (rng.random((60, 23)) < np.where(np.arange(60)[:, None] % 3, 0.1, 0.5)).astype(float)
+    x[11] = 0
+    pairs = [(int(u) + 1, int(b) + 1) for u, b in zip(*np.nonzero(x))] + [(4, None), (9, None), (70, 2), (-3, 7)]
+    users, ks = spark.range(1, 61).select(F.col("id").alias("user_id")), [1, 2, 3, 6]
+    for good in (_likes(spark, pairs), _likes(spark, [*pairs, (None, 3)])):
+        centers, last = clu.first_users_as_centers(good, ks), None
+        while True:  # the rounds by the single steps
+            now = clu.assign(good, users, centers).localCheckpoint()
+            rows = sorted((r["k"], r["user_id"], r["cluster"], r["d2"]) for r in now.collect())
+            if last is not None and [r[:3] for r in rows] == [r[:3] for r in last]:
+                break
+            made = clu.means(good, now)
+            gone = now.select("k", "cluster").distinct().join(made, ["k", "cluster"], "left_anti")
+            last, centers = rows, made.unionByName(gone.select("k", "cluster", F.lit(-1).cast("long").alias("book_id"), F.lit(0.0).alias("v"))).localCheckpoint()
+        calls, assign = [], clu.assign
+        with monkeypatch.context() as m:
+            m.setattr(clu, "assign", lambda *a: calls.append(1) or assign(*a))
+            assigned, found = clu.kmeans(good, users, ks)
+        assert not calls
+        assert np.allclose(sorted((r["k"], r["user_id"], r["cluster"], r["d2"]) for r in assigned.collect()), rows, atol=2e-9)
+        key = lambda df: {(r["k"], r["cluster"], r["book_id"]): r["v"] for r in df.collect()}
+        assert key(found) == pytest.approx(key(centers))
