@@ -524,3 +524,22 @@ def test_kmeans_rounds_move_blocks_of_books_and_equal_the_single_steps(spark, mo
         assert np.allclose(sorted((r["k"], r["user_id"], r["cluster"], r["d2"]) for r in assigned.collect()), rows, atol=2e-9)
         key = lambda df: {(r["k"], r["cluster"], r["book_id"]): r["v"] for r in df.collect()}
         assert key(found) == pytest.approx(key(centers))
+
+
+def test_als_blocks_grow_with_the_ratings_and_shuffles_are_removed(spark, monkeypatch):
+    monkeypatch.setattr(dec, "ALS_RATINGS", 20, raising=False)
+    made, als = [], dec.ALS
+    monkeypatch.setattr(dec, "ALS", lambda **kw: made.append(als(**kw)) or made[-1])
+    rows = [(u, b, (u * 7 + b * 3) % 5 + 1) for u in range(30) for b in range(12) if (u + b) % 3]
+    df = spark.createDataFrame(rows, "user_id long, book_id long, rating int")
+    fit = dec.AlsFit(df, rank=3, max_iter=5)
+    assert made[0].getNumUserBlocks() == made[0].getNumItemBlocks() == len(rows) // 20 == 12
+    assert made[0].getCheckpointInterval() == 2  # Spark removes the shuffles of the iterations before
+    got = fit.user_gradients(df).collect()
+    assert len(got) == 30 and max(r["gradient"] for r in got) < 1e-5
+    monkeypatch.setattr(dec, "ALS_RATINGS", 1000)
+    dec.AlsFit(df, rank=2, max_iter=1)
+    assert made[1].getNumUserBlocks() == 10  # Spark's own number, and so the same start, on smaller tables
+    # factors travel in the single precision they have
+    plan = fit.user_gradients(df)._jdf.queryExecution().analyzed().toString()
+    assert "cast(features" in plan and "as array<float>" in plan
